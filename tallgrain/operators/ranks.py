@@ -17,7 +17,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# One sketch yields this many candidate edges; they are thinned to what the data needs.
+# One sketch yields up to this many candidate edges; they are thinned to what the data needs.
 MAX_EDGES = 4096
 # Rows one (group, range) should hold at most, ties counted once.
 ROWS_PER_RANGE = 1_000_000
@@ -55,21 +55,22 @@ def value_grid(
 ) -> ValueGrid:
     """Edges for every column from one map-side aggregation; a few numbers reach the driver."""
     spark = df.sparkSession
-    wanted = [i / MAX_EDGES for i in range(1, MAX_EDGES)]
+    slots = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
+    marks = min(MAX_EDGES, max(512, 16 * slots))
+    # as text: building thousands of literals one by one costs more than the scan
+    wanted = F.expr("array(" + ",".join(f"{i / marks}D" for i in range(1, marks)) + ")")
     groups = F.approx_count_distinct(F.struct(*by)) if by else F.lit(1)
     picked = [F.percentile_approx(number(df, c), wanted, 20000).alias(f"e{i}") for i, c in enumerate(cols)]
     row = df.agg(F.count(F.lit(1)).alias("n"), groups.alias("g"), *picked).first()
     if ranges is None:
-        slots = max(
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-            spark.sparkContext.defaultParallelism,
-        )
         ranges = max(slots, math.ceil(row["n"] / ROWS_PER_RANGE))
-    ranges = max(1, min(ranges, MAX_EDGES))
+    ranges = max(1, min(ranges, marks))
     edges = {}
     for i, c in enumerate(cols):
         all_edges = row[f"e{i}"] or []
-        step = MAX_EDGES / ranges
+        step = marks / ranges
         thinned = [all_edges[int(k * step) - 1] for k in range(1, ranges)] if all_edges else []
         edges[c] = sorted({e for e in thinned if math.isfinite(e)})
     return ValueGrid(edges, row["n"], max(1, row["g"]))
