@@ -1 +1,308 @@
-"""Pending."""
+"""Hypothesis tests, correlations and effect sizes."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..stats import corr as R
+from ..stats import moments as M
+from ..stats import ranktests as T
+from . import query
+from .summaries import rounded
+
+
+def measured(t):
+    """Events with a second measure out of their JSON properties."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    return t.events.select("event_id", "event_type", "user_id", "value", k.alias("k"))
+
+
+E = "(select *, cast(json_extract_string(props, '$.k') as int) as k from events)"
+
+
+@query("shapiro")
+def _(t):
+    return T.shapiro(t.events, "value", ["event_type"])
+
+
+@query(
+    "skewness",
+    """select event_type, round(avg(pow(value - m, 3)) / pow(avg(pow(value - m, 2)), 1.5), 6) as value
+       from events join (select event_type, avg(value) as m from events group by 1) using (event_type) group by 1""",
+)
+def _(t):
+    return rounded(M.skewness(t.events, ["value"], ["event_type"]), ["value"])
+
+
+@query(
+    "ttest_paired",
+    f"""select event_type, n, round(m, 6) as mean_diff, round(s, 6) as sd_diff, round(m / s, 6) as cohen_d,
+               round(m / s * sqrt(n), 6) as t
+        from (select event_type, count(*) as n, avg(value - k) as m, stddev_samp(value - k) as s from {E} group by 1)""",
+)
+def _(t):
+    found = M.ttest_rel(measured(t), "value", "k", ["event_type"], p_value=False)
+    return rounded(found, ["mean_diff", "sd_diff", "cohen_d", "t"])
+
+
+@query("ttest_paired_p")
+def _(t):
+    return M.ttest_rel(measured(t), "value", "k", ["event_type"])
+
+
+WILCOXON = """with d as (select event_type, {x} as x, n_all from (select *, count(*) over (partition by event_type) as n_all
+     from {e})), r as (select event_type, x, n_all, rank() over w + (count(*) over (partition by event_type, abs(x)) - 1) / 2.0 as r
+     from d where x is not null and x <> 0 window w as (partition by event_type order by abs(x)))
+   select event_type, n_all as n_rows, n_all - count(*) as not_used, sum(r) filter (x > 0)::double as w,
+          round((sum(r) filter (x > 0) - n_all * (n_all + 1) / 4.0) / sqrt(n_all * (n_all + 1.0) * (2 * n_all + 1) / 24.0)
+                / sqrt(n_all), 9) as effect_r from r group by event_type, n_all"""
+
+
+@query("wilcoxon", WILCOXON.format(x="value - k", e=E))
+def _(t):
+    m = measured(t).withColumn("diff", F.col("value") - F.col("k"))
+    found = T.wilcoxon(m, "diff", ["event_type"], p_value=False)
+    return found.select(
+        "event_type",
+        "n_rows",
+        (F.col("n_rows") - F.col("n_used")).alias("not_used"),
+        "w",
+        F.round("effect_r", 9).alias("effect_r"),
+    )
+
+
+@query(
+    "wilcoxon_log",
+    WILCOXON.format(x="case when value - k > 0 then ln(value - k) end", e=E),
+)
+def _(t):
+    m = measured(t).withColumn("diff", F.col("value") - F.col("k"))
+    found = T.wilcoxon(m, "diff", ["event_type"], transform="log", p_value=False)
+    return found.select(
+        "event_type",
+        "n_rows",
+        (F.col("n_dropped") + F.col("n_zero")).alias("not_used"),
+        "w",
+        F.round("effect_r", 9).alias("effect_r"),
+    )
+
+
+@query("wilcoxon_p")
+def _(t):
+    m = measured(t).withColumn("diff", F.col("value") - F.col("k"))
+    return T.wilcoxon(m, "diff", ["event_type"])
+
+
+BUCKET = "user_id % 3"
+
+
+def bucketed(t):
+    return t.events.select(
+        "event_type", "value", "user_id", (F.col("user_id") % 3).cast("int").alias("bucket")
+    )
+
+
+@query(
+    "mannwhitney",
+    f"""with r as (select {BUCKET} as bucket, event_type, rank() over (partition by {BUCKET} order by value)
+           + (count(*) over (partition by {BUCKET}, value) - 1) / 2.0 as r from events
+         where event_type in ('view', 'purchase'))
+        select bucket::int as bucket, count(*) filter (event_type = 'view') as n_a,
+               count(*) filter (event_type = 'purchase') as n_b,
+               (sum(r) filter (event_type = 'view')
+               - count(*) filter (event_type = 'view') * (count(*) filter (event_type = 'view') + 1) / 2.0)::double as u
+        from r group by 1""",
+)
+def _(t):
+    found = T.mannwhitney(bucketed(t), "value", "event_type", "view", "purchase", ["bucket"], p_value=False)
+    return found.select("bucket", "n_a", "n_b", F.col("u").cast("double").alias("u"))
+
+
+@query("mannwhitney_p")
+def _(t):
+    return T.mannwhitney(bucketed(t), "value", "event_type", "view", "purchase", ["bucket"])
+
+
+@query(
+    "kruskal",
+    """with r as (select event_type, value, rank() over (order by value)
+          + (count(*) over (partition by value) - 1) / 2.0 as r from events),
+       g as (select count(*) as n, sum(r) as s from r group by event_type),
+       c as (select sum(t * t * t - t)::double as ties from (select count(*)::double as t from events group by value)),
+       h as (select sum(n)::bigint as n, count(*) as k,
+               (12.0 / (sum(n) * (sum(n) + 1.0)) * sum(s * s / n) - 3 * (sum(n) + 1)) as raw from g),
+       f as (select n, k, raw / (1 - ties / (n::double * n * n - n)) as h from h, c)
+       select n, k, round(h, 6) as h, round(exp(-h / 2) * (1 + h / 2), 8) as p_value from f""",
+)
+def _(t):
+    """With five groups the chi-square tail has a closed form, so p is compared as well."""
+    found = T.kruskal(t.events, "value", "event_type")
+    return found.withColumns({"h": F.round("h", 6), "p_value": F.round("p_value", 8)})
+
+
+@query(
+    "kolmogorov_smirnov",
+    """with v as (select value, count(*) filter (event_type = 'view') as a,
+                       count(*) filter (event_type = 'click') as b from events
+               where event_type in ('view', 'click') group by 1),
+       c as (select sum(a) over w as ca, sum(b) over w as cb, sum(a) over () as na, sum(b) over () as nb from v
+             window w as (order by value))
+       select max(na)::bigint as n_a, max(nb)::bigint as n_b, round(max(abs(ca / na - cb / nb)), 9) as d from c""",
+)
+def _(t):
+    found = T.ks_2samp(t.events, "value", "event_type", "view", "click", p_value=False)
+    return rounded(found, ["d"], 9)
+
+
+@query("kolmogorov_smirnov_p")
+def _(t):
+    return T.ks_columns(measured(t), "value", "k", ["event_type"])
+
+
+MOOD = """with m as (select median(value) as median from events where event_type in ('purchase', 'error')),
+   c as (select count(*) filter (event_type = 'purchase' and value > median) as above_a,
+                count(*) filter (event_type = 'error' and value > median) as above_b,
+                count(*) filter (event_type = 'purchase' and value < median) as below_a,
+                count(*) filter (event_type = 'error' and value < median) as below_b, any_value(median) as median
+         from events, m)"""
+
+
+@query(
+    "median_table_fisher",
+    f"""{MOOD}, x as (select *, above_a + above_b as mk, above_a + below_a as dr,
+                     above_a + above_b + below_a + below_b as tot from c),
+        p as (select sum(exp(lgamma(mk + 1.0) - lgamma(i + 1.0) - lgamma(mk - i + 1.0)
+                   + lgamma(tot - mk + 1.0) - lgamma(dr - i + 1.0) - lgamma(tot - mk - dr + i + 1.0)
+                   - lgamma(tot + 1.0) + lgamma(dr + 1.0) + lgamma(tot - dr + 1.0))) as p
+              from x, lateral (select unnest(range(above_a, least(mk, dr) + 1)) as i))
+        select round(median, 6) as median, above_a, above_b, below_a, below_b,
+               round(above_a * below_b / (below_a * above_b), 9) as odds_ratio, round(p, 6) as p_value from x, p""",
+)
+def _(t):
+    table = T.median_table(t.events, "value", "event_type", "purchase", "error")
+    found = T.fisher_exact(table)
+    return found.withColumns(
+        {"median": F.round("median", 6), "odds_ratio": F.round("odds_ratio", 9), "p_value": F.round("p_value", 6)}
+    )
+
+
+@query(
+    "levene",
+    """with z as (select event_type, abs(value - m) as z from events join
+                   (select event_type, median(value) as m from events group by 1) using (event_type)),
+       g as (select count(*) as n, avg(z) as m, var_pop(z) as v from z group by event_type),
+       a as (select sum(n * m) / sum(n) as grand, sum(n)::bigint as n, count(*) as k, sum(n * v) as within from g)
+       select n, k, round((n - k) / (k - 1) * (select sum(g.n * pow(g.m - a.grand, 2)) from g, a) / within, 6) as w
+       from a""",
+)
+def _(t):
+    return rounded(M.levene(t.events, "value", "event_type", p_value=False), ["w"])
+
+
+@query("levene_p")
+def _(t):
+    return M.levene_columns(measured(t), ["value", "k"], ["event_type"])
+
+
+TTEST = """with s as (select (user_id % 3)::int as bucket, avg(value) filter (event_type = 'view') as ma,
+      avg(value) filter (event_type = 'purchase') as mb, var_samp(value) filter (event_type = 'view') as va,
+      var_samp(value) filter (event_type = 'purchase') as vb, count(*) filter (event_type = 'view') as na,
+      count(*) filter (event_type = 'purchase') as nb from events group by 1),
+   p as (select *, sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2)) as sp from s)
+   select bucket, na as n_a, nb as n_b, round((ma - mb) / sp, 9) as cohen_d,
+     round((ma - mb) / (sp * sqrt(1 / na + 1 / nb)), 9) as t,
+     case when abs((ma - mb) / sp) < 0.2 then 'negligible' when abs((ma - mb) / sp) < 0.5 then 'small'
+          when abs((ma - mb) / sp) < 0.8 then 'medium' else 'large' end as effect from p"""
+
+
+@query("ttest_independent", TTEST)
+def _(t):
+    found = M.ttest_ind(bucketed(t), "value", "event_type", "view", "purchase", ["bucket"], p_value=False)
+    return rounded(found, ["cohen_d", "t"], 9).select("bucket", "n_a", "n_b", "cohen_d", "t", "effect")
+
+
+@query("ttest_independent_p")
+def _(t):
+    return M.ttest_ind(bucketed(t), "value", "event_type", "view", "purchase", ["bucket"])
+
+
+@query(
+    "pearson",
+    f"select event_type, count(*) as n, round(corr(value, k), 9) as r from {E} group by 1",
+)
+def _(t):
+    return rounded(M.pearson(measured(t), "value", "k", ["event_type"], p_value=False), ["r"], 9)
+
+
+SPEARMAN = """select {by}, count(*) as n, round(corr(rx, ry), 9) as r from (
+    select {by}, rank() over (partition by {by} order by x) + (count(*) over (partition by {by}, x) - 1) / 2.0 as rx,
+           rank() over (partition by {by} order by y) + (count(*) over (partition by {by}, y) - 1) / 2.0 as ry
+    from {source}) group by all"""
+
+
+@query("spearman", SPEARMAN.format(by="event_type", source=f"(select *, value as x, k as y from {E})"))
+def _(t):
+    return rounded(T.spearman(measured(t), "value", "k", ["event_type"], p_value=False), ["r"], 9)
+
+
+@query(
+    "correlation_matrix",
+    f"""with long as (select event_type, variable, measure, x, y from (
+          select event_type, 'two_valued' as variable, 'value' as measure, (user_id % 2)::double as x, value as y from {E}
+          union all select event_type, 'two_valued', 'k', user_id % 2, k from {E}
+          union all select event_type, 'ordered', 'value', user_id % 4, value from {E}
+          union all select event_type, 'ordered', 'k', user_id % 4, k from {E}))
+        select event_type, variable, measure, 'Spearman' as method, n, r from
+          ({SPEARMAN.format(by="event_type, variable, measure", source="long")})
+        where not (variable = 'two_valued' and event_type = 'view' and measure = 'value')
+        union all select event_type, variable, measure, 'Pearson', count(*), round(corr(x, y), 9) from long
+        where variable = 'two_valued' and event_type = 'view' and measure = 'value' group by all""",
+)
+def _(t):
+    return rounded(matrix(t, p_value=False), ["r"], 9)
+
+
+def matrix(t, **how):
+    m = measured(t).withColumns({"two_valued": F.col("user_id") % 2, "ordered": F.col("user_id") % 4})
+    return R.corr_matrix(
+        m,
+        "event_type",
+        ["two_valued", "ordered"],
+        ["value", "k"],
+        dichotomous=["two_valued"],
+        normal=[("view", "value")],
+        **how,
+    )
+
+
+@query("correlation_summary")
+def _(t):
+    return R.corr_summary(matrix(t))
+
+
+@query(
+    "linear_fit",
+    f"""select event_type, count(*) as n, round(regr_slope(value, k), 9) as slope,
+               round(regr_intercept(value, k), 6) as intercept, round(regr_r2(value, k), 9) as r2 from {E} group by 1""",
+)
+def _(t):
+    found = M.linear_fit(measured(t), "k", "value", ["event_type"])
+    return found.select(
+        "event_type",
+        "n",
+        F.round("slope", 9).alias("slope"),
+        F.round("intercept", 6).alias("intercept"),
+        F.round("r2", 9).alias("r2"),
+    )
+
+
+@query(
+    "decision",
+    """select bucket, case when abs(t) > 1.96 then 'reject' else 'do not reject' end as decision from
+       (select bucket, t from (""" + TTEST + """))""",
+)
+def _(t):
+    from ..functions.pvalues import decide
+
+    found = M.ttest_ind(bucketed(t), "value", "event_type", "view", "purchase", ["bucket"])
+    return found.select("bucket", decide("p_value").alias("decision"))

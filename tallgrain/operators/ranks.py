@@ -98,12 +98,14 @@ def tie_table(
     weights: Mapping[str, Column] | None = None,
     edges: Sequence[float] | None = None,
     ranges: int | None = None,
+    rows: str | None = None,
 ) -> DataFrame:
     """One row per (by, value[, split]) with running totals inside ``by``.
 
     Columns: ``n`` rows of this line, ``tie`` rows of this value, ``before`` rows with a
     smaller value, ``total`` rows of the group, ``rank`` the average rank of the value.
     For every entry ``w`` of ``weights`` (an aggregate): ``w``, ``w_before``, ``w_total``.
+    Where the input is counted already, ``rows`` names its count column.
     Rows without a value or group do not take part.
     """
     by, split, weights = list(by), list(split), dict(weights or {})
@@ -112,7 +114,8 @@ def tie_table(
         edges = value_grid(df, [value], by, ranges).edges[value]
     sums = ["n", *weights]
     counted = df.groupBy(*by, value, *split).agg(
-        F.count(F.lit(1)).alias("n"), *[w.alias(k) for k, w in weights.items()]
+        (F.sum(rows) if rows else F.count(F.lit(1))).alias("n"),
+        *[w.alias(k) for k, w in weights.items()],
     )
     counted = with_range(counted, value, edges)
     inside = Window.partitionBy(*by, "_range")
