@@ -1 +1,216 @@
-"""Pending."""
+"""Scaling, regression, AUC, clustering and scoring."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..learn import auc as U
+from ..learn import kmeans as K
+from ..learn import logreg as L
+from ..learn.scaler import ColumnScaler
+from ..learn.scoring import ScoringModel, prediction_report
+from ..learn.split import split
+from ..session import shared_dir
+from . import query
+from .cleaning import HASHED
+from .summaries import rounded
+
+
+@query(
+    "scale_columns",
+    """select l_orderkey, l_linenumber, l_partkey, round((l_quantity - mq) / sq, 6) as l_quantity,
+              round((l_extendedprice - mp) / sp, 6) as l_extendedprice, l_discount
+       from lineitem, (select avg(l_quantity) mq, stddev_pop(l_quantity) sq, avg(l_extendedprice) mp,
+                              stddev_pop(l_extendedprice) sp from lineitem)""",
+)
+def _(t):
+    lines = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"
+    )
+    scaled = ColumnScaler(["l_quantity", "l_extendedprice"]).fit(lines).transform(lines)
+    return rounded(scaled, ["l_quantity", "l_extendedprice"])
+
+
+@query(
+    "scale_all",
+    """select round((p_size - ms) / ss, 6) as p_size, round((p_retailprice - mp) / sp, 6) as p_retailprice
+       from part, (select avg(p_size) ms, stddev_pop(p_size) ss, avg(p_retailprice) mp,
+                          stddev_pop(p_retailprice) sp from part)""",
+)
+def _(t):
+    some = t.part.select("p_size", "p_retailprice")
+    return rounded(ColumnScaler("*").fit(some).transform(some), ["p_size", "p_retailprice"])
+
+
+@query(
+    "train_test_split",
+    f"""select case when {HASHED.format(seed=20, key='o_orderkey', label='split')} < 3435973836
+               then 'train' else 'test' end as part, count(*) as n_rows, sum(o_orderkey)::bigint as key_sum
+        from orders group by 1""",
+)
+def _(t):
+    train, test = split(t.orders, 0.8, 20, "o_orderkey")
+    both = train.select(F.lit("train").alias("part"), "o_orderkey").unionByName(
+        test.select(F.lit("test").alias("part"), "o_orderkey")
+    )
+    return both.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("key_sum")
+    )
+
+
+FEATURES = ["size_thousands", "share_blank", "is_en", "source_no"]
+
+
+def labelled(t):
+    """Label and a few measures of whole texts."""
+    d = t.documents.select(
+        "doc_id",
+        (F.col("n_chars") / 1000).alias("size_thousands"),
+        ((F.length("text") - F.length(F.translate("text", " ", ""))) / F.length("text")).alias("share_blank"),
+        (F.col("lang") == "en").cast("double").alias("is_en"),
+        F.regexp_extract("source", "([0-9]+)", 1).try_cast("double").alias("source_no"),
+    )
+    return d.join(t.labels, ["doc_id"])
+
+
+def quality_model(t):
+    df = labelled(t)
+    scaler = ColumnScaler(FEATURES).fit(df)
+    return L.fit_logreg(scaler.transform(df), FEATURES, "quality"), scaler.transform(df)
+
+
+@query("logistic_regression")
+def _(t):
+    model, _ = quality_model(t)
+    return L.coef_table(t.spark, model)
+
+
+@query("predict_probability")
+def _(t):
+    model, df = quality_model(t)
+    scored = model.transform(df)
+    return scored.select("doc_id", "quality", F.col("probability")[1].alias("probability"), "prediction")
+
+
+@query(
+    "accuracy",
+    """select round(avg((p = quality)::int), 9) as accuracy, sum((p = quality)::int)::bigint as n_right,
+              count(*) as n_rows
+       from (select quality, (n_chars > 2000)::int as p from documents join labels using (doc_id))""",
+)
+def _(t):
+    stored = t.documents.join(t.labels, ["doc_id"]).select(
+        "quality", (F.col("n_chars") > 2000).cast("int").alias("p")
+    )
+    return rounded(L.accuracy(stored, "p", "quality"), ["accuracy"], 9)
+
+
+def vectors(t):
+    cols = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(16)]
+    return t.embeddings.select("vec_id", "label", *cols)
+
+
+@query("multinomial_regression")
+def _(t):
+    df = vectors(t)
+    train, test = split(df, 0.7, 42, "vec_id")
+    model = L.fit_logreg(train, [f"e{i}" for i in range(16)], "label")
+    return L.accuracy(model.transform(test), "prediction", "label")
+
+
+@query("top_feature_per_class")
+def _(t):
+    model = L.fit_logreg(vectors(t), [f"e{i}" for i in range(16)], "label")
+    return L.top_feature_per_class(t.spark, model)
+
+
+@query(
+    "auc_binary",
+    """select sum(pos)::bigint as n_pos, sum(neg)::bigint as n_neg,
+              round(sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)), 9) as auc
+       from (select pos, neg, coalesce(sum(neg) over (order by n_chars rows between unbounded preceding and 1 preceding), 0) as below
+             from (select n_chars, count(*) filter (quality = 1) as pos, count(*) filter (quality <> 1) as neg
+                   from documents join labels using (doc_id) group by 1))""",
+)
+def _(t):
+    df = t.documents.select("doc_id", "n_chars").join(t.labels, ["doc_id"])
+    return rounded(U.auc(df, "n_chars", "quality"), ["auc"], 9)
+
+
+@query(
+    "auc_one_vs_one",
+    """with s as (select label as y, c, embedding[c + 1] as v from embeddings, range(10) r(c)),
+       p as (select a.c, b.y as other, avg(case when a.v > b.v then 1.0 when a.v = b.v then 0.5 else 0 end) as auc
+             from s a join s b on a.c = b.c and a.y = a.c and b.y <> b.c group by all)
+       select round(avg(auc), 9) as auc from p""",
+)
+def _(t):
+    found = U.auc_ovo(t.embeddings, "embedding", "label", list(range(10)))
+    return rounded(found, ["auc"], 9)
+
+
+@query("kmeans")
+def _(t):
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    return K.kmeans(lines, ["l_quantity", "l_extendedprice"], 3, seed=1)
+
+
+@query("kmeans_elbow")
+def _(t):
+    return K.elbow(vectors(t), [f"e{i}" for i in range(8)], seed=1)
+
+
+@query(
+    "single_cluster_cost",
+    """select 1 as k, round(count(*) * 2.0, 3)::double as wcss from lineitem""",
+)
+def _(t):
+    """Scaled columns have variance one, so two of them cost two per row."""
+    found = K.single_cluster_cost(t.lineitem, ["l_quantity", "l_extendedprice"])
+    return rounded(found, ["wcss"], 3)
+
+
+def fixed_model():
+    scaler = ColumnScaler(["o_totalprice", "month"])
+    scaler.stats = {"o_totalprice": (250000.0, 140000.0), "month": (6.5, 3.5)}
+    return ScoringModel(
+        scaler, L.LogisticModel(["urgent", "o_totalprice", "month"], [0.0, 1.0], [-0.2], [[1.1, 0.7, -0.3]])
+    )
+
+
+def order_features(t):
+    return t.orders.select(
+        "o_orderkey",
+        (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("urgent"),
+        "o_totalprice",
+        F.month("o_orderdate").alias("month"),
+    )
+
+
+SCORED = """(select *, 1 / (1 + exp(-(-0.2 + 1.1 * urgent + 0.7 * (o_totalprice - 250000) / 140000
+                                    - 0.3 * (month - 6.5) / 3.5))) as p
+   from (select o_orderkey, (o_orderpriority = '1-URGENT')::int as urgent, o_totalprice,
+                month(o_orderdate)::int as month from orders))"""
+
+
+@query(
+    "score_saved_model",
+    f"""select o_orderkey, urgent, o_totalprice, month, round(p, 9) as Probability,
+               (p > 0.5)::int as Prediction from {SCORED}""",
+)
+def _(t):
+    """Save, load and apply a scaler and model with known coefficients."""
+    path = shared_dir(t.spark, "model")
+    fixed_model().save(t.spark, path)
+    scored = ScoringModel.load(t.spark, path).score(order_features(t))
+    return rounded(scored, ["Probability"], 9)
+
+
+@query(
+    "prediction_report",
+    f"""select month, round(avg(p), 9) as mean_probability, max(urgent) as max_urgent, count(*) as n_rows
+        from {SCORED} where month not in (2, 12) group by 1""",
+)
+def _(t):
+    scored = fixed_model().score(order_features(t))
+    return rounded(prediction_report(scored, "month", "urgent", [2, 12]), ["mean_probability"], 9)

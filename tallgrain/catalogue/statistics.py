@@ -186,6 +186,18 @@ def _(t):
     )
 
 
+@query(
+    "mood_chi2",
+    f"""{MOOD} select above_a, above_b, below_a, below_b, round(tot * pow(greatest(abs(above_a * below_b - above_b * below_a)
+              - tot / 2, 0), 2) / ((above_a + above_b) * (below_a + below_b) * (above_a + below_a)
+              * (above_b + below_b)::double), 9) as chi2
+        from (select *, above_a + above_b + below_a + below_b as tot from c)""",
+)
+def _(t):
+    table = T.median_table(t.events, "value", "event_type", "purchase", "error")
+    return rounded(T.mood_p(table), ["chi2"], 9).drop("median", "p_value")
+
+
 @query(
     "levene",
     """with z as (select event_type, abs(value - m) as z from events join

@@ -96,32 +96,14 @@ def levene(
     per_group = spread.groupBy(*keys).agg(
         F.count("_z").alias("n"), F.avg("_z").alias("m"), F.var_pop("_z").alias("v")
     )
-    sums = per_group.groupBy(*by).agg(
+    grand = per_group.groupBy(*by).agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"))
+    joined = per_group.join(grand, list(by)) if by else per_group.crossJoin(F.broadcast(grand))
+    sums = joined.groupBy(*by).agg(
         F.sum("n").alias("n"),
         F.count(F.lit(1)).alias("k"),
-        (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"),
-        F.collect_list(F.struct("n", "m")).alias("_groups"),
         F.sum(F.col("n") * F.col("v")).alias("within"),
-    ) if grid.small() else None
-    if sums is None:
-        # many groups: the grand mean is joined instead of keeping the groups in a list
-        grand = per_group.groupBy(*by).agg(
-            (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand")
-        )
-        joined = per_group.join(grand, list(by)) if by else per_group.crossJoin(F.broadcast(grand))
-        sums = joined.groupBy(*by).agg(
-            F.sum("n").alias("n"),
-            F.count(F.lit(1)).alias("k"),
-            F.sum(F.col("n") * F.col("v")).alias("within"),
-            F.sum(F.col("n") * (F.col("m") - F.col("grand")) ** 2).alias("between"),
-        )
-    else:
-        between = F.aggregate(
-            "_groups",
-            F.lit(0.0),
-            lambda acc, g: acc + g["n"] * (g["m"] - F.col("grand")) * (g["m"] - F.col("grand")),
-        )
-        sums = sums.withColumn("between", between).drop("_groups")
+        F.sum(F.col("n") * (F.col("m") - F.col("grand")) ** 2).alias("between"),
+    )
     out = sums.select(
         *by,
         "n",

@@ -249,13 +249,11 @@ def shapiro(df: DataFrame, col: str, by: Sequence[str] = (), p_value: bool = Tru
         hit = (F.col("before") < place) & (place <= F.col("before") + F.col("tie"))
         return F.max(F.when(hit, F.col("_v")))
 
-    total, places = F.col("total"), F.col("_stop") - F.col("_start")
-    # variance from counted values: spread the count over its pieces
+    total = F.col("total")
     sums = scored.groupBy(*by).agg(
         F.max("total").alias("n"),
         F.sum("_s.ss").alias("score_sq"),
         F.sum(F.col("_s.s") * F.col("_v")).alias("score_x"),
-        (F.sum(places * F.col("_v")) / F.sum(places)).alias("mean"),
         at(F.lit(1)).alias("x1"),
         at(F.lit(2)).alias("x2"),
         at(total - 1).alias("y2"),
