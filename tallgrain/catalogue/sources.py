@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -53,10 +54,14 @@ def _(t):
 def _(t):
     """Two title lines stand above the header of every file."""
     path = shared_dir(t.spark, "titled")
-    lines = t.supplier.select(F.concat_ws(",", "s_suppkey", "s_name", "s_acctbal").alias("line"))
-    head = "Suppliers\nprinted by the office\ns_suppkey,s_name,s_acctbal"
-    one_file = lines.agg(F.concat_ws("\n", F.lit(head), F.array_sort(F.collect_list("line"))).alias("value"))
-    one_file.write.text(path)
+    lines = t.supplier.select(F.concat_ws(",", "s_suppkey", "s_name", "s_acctbal").alias("value"))
+
+    def titled(batches):
+        top = ["Suppliers", "printed by the office", "s_suppkey,s_name,s_acctbal"]
+        yield pd.DataFrame({"value": top})
+        yield from batches
+
+    lines.mapInPandas(titled, "value string").write.text(path)
     back = S.read_csv(
         t.spark, path, schema="s_suppkey bigint, s_name string, s_acctbal double", skip_rows=2
     )

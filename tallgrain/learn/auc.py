@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ranks import tie_table
+from ..operators.ranks import present, tie_table
 
 
 def auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """Probability that a positive row outranks a negative one; ties count one half."""
     table = tie_table(
-        df.dropna(subset=[label]),
+        present(df, [label]),
         score,
         by,
         weights={"pos": F.count_if(F.col(label) == 1), "neg": F.count_if(F.col(label) != 1)},
@@ -32,7 +32,7 @@ def auc_pairs(df: DataFrame, scores: str, label: str, classes: Sequence) -> Data
     ``scores`` is an array column with one score per class.  Every class's scores are walked
     once with the running counts of all classes, instead of one pass per pair.
     """
-    long = df.dropna(subset=[label, scores]).select(
+    long = present(df, [label, scores]).select(
         F.col(label).alias("_y"), F.posexplode(F.slice(scores, 1, len(classes))).alias("_cls", "_score")
     )
     names = [f"c{j}" for j in range(len(classes))]

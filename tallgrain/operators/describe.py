@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import exact_quantiles, quantiles_wide, value_grid
+from .ranks import exact_quantiles, present, quantiles_wide, value_grid
 
 
 def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -18,7 +18,7 @@ def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """count, mean, std, min, quartiles and max; one row per group and column."""
     by = list(by)
-    df = df.dropna(subset=by) if by else df
+    df = present(df, by)
     keys = [*by, "column"]
     moments = _long(df, cols, by).groupBy(*keys).agg(
         F.count("value").alias("count"),
@@ -67,7 +67,7 @@ def mean_by(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
 def box_stats(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     """Quartiles, whiskers at the last values within 1.5 IQR, and outliers beyond them."""
     by = list(by)
-    df = df.dropna(subset=[col, *by])
+    df = present(df, [col, *by])
     grid = value_grid(df, [col], by)
     quart = quantiles_wide(df, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, grid=grid)
     fences = quart.withColumns({"iqr": F.col("q3") - F.col("q1")}).withColumns(

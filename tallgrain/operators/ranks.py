@@ -10,6 +10,7 @@ value of a group into a single row.  Running totals are then taken inside a
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -25,11 +26,16 @@ ROWS_PER_RANGE = 1_000_000
 SMALL_GROUPS = 50_000
 
 
+# A key holding this share of all rows is met by a broadcast: there are at most 1,000 such keys.
+HOT_SHARE = 0.001
+
+
 @dataclass
 class ValueGrid:
-    """Edges per column plus what the same scan told about size."""
+    """Edges and frequent values per column, plus what the same scan told about size."""
 
     edges: dict[str, list[float]]
+    frequent: dict[str, list[float]]
     rows: int
     groups: int
 
@@ -37,6 +43,16 @@ class ValueGrid:
         return self.groups * per_group <= SMALL_GROUPS
 
 
+def present(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows with a value in all columns; NaN counts as missing.  The null tests reach the scan."""
+    kinds = dict(df.dtypes)
+    for c in dict.fromkeys(cols):
+        df = df.filter(F.col(c).isNotNull())
+        if kinds[c] in ("double", "float"):
+            df = df.filter(~F.isnan(c))
+    return df
+
+
 def number(df: DataFrame, col: str) -> Column:
     """An order-preserving double for numbers, dates and timestamps."""
     kind = dict(df.dtypes)[col]
@@ -67,13 +83,16 @@ def value_grid(
     if ranges is None:
         ranges = max(slots, math.ceil(row["n"] / ROWS_PER_RANGE))
     ranges = max(1, min(ranges, marks))
-    edges = {}
+    edges, frequent = {}, {}
     for i, c in enumerate(cols):
-        all_edges = row[f"e{i}"] or []
+        found = row[f"e{i}"] or []
         step = marks / ranges
-        thinned = [all_edges[int(k * step) - 1] for k in range(1, ranges)] if all_edges else []
+        thinned = [found[int(k * step) - 1] for k in range(1, ranges)] if found else []
         edges[c] = sorted({e for e in thinned if math.isfinite(e)})
-    return ValueGrid(edges, row["n"], max(1, row["g"]))
+        # a value that fills several marks in a row holds that share of the rows
+        seen = Counter(found)
+        frequent[c] = [v for v, k in seen.items() if k >= max(2, marks * HOT_SHARE)]
+    return ValueGrid(edges, frequent, row["n"], max(1, row["g"]))
 
 
 def with_range(df: DataFrame, col: str, edges: Sequence[float], out: str = "_range") -> DataFrame:
@@ -86,7 +105,9 @@ def with_range(df: DataFrame, col: str, edges: Sequence[float], out: str = "_ran
     return (
         cutter.transform(df.withColumn("_num", number(df, col)))
         .drop("_num")
-        .withColumn(out, F.col(out).cast("int"))
+        # never null: otherwise joins on it add a null test to one side, and the two sides
+        # of a self-join no longer share their shuffle
+        .withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(0)))
     )
 
 
@@ -96,7 +117,7 @@ def tie_table(
     by: Sequence[str] = (),
     split: Sequence[str] = (),
     weights: Mapping[str, Column] | None = None,
-    edges: Sequence[float] | None = None,
+    grid: ValueGrid | None = None,
     ranges: int | None = None,
     rows: str | None = None,
 ) -> DataFrame:
@@ -109,15 +130,14 @@ def tie_table(
     Rows without a value or group do not take part.
     """
     by, split, weights = list(by), list(split), dict(weights or {})
-    df = df.dropna(subset=[value, *by])
-    if edges is None:
-        edges = value_grid(df, [value], by, ranges).edges[value]
+    df = present(df, [value, *by])
+    grid = grid or value_grid(df, [value], by, ranges)
     sums = ["n", *weights]
     counted = df.groupBy(*by, value, *split).agg(
         (F.sum(rows) if rows else F.count(F.lit(1))).alias("n"),
         *[w.alias(k) for k, w in weights.items()],
     )
-    counted = with_range(counted, value, edges)
+    counted = with_range(counted, value, grid.edges[value])
     inside = Window.partitionBy(*by, "_range")
     running = inside.orderBy(value)  # default frame: all peers of a value included
     peers = Window.partitionBy(*by, "_range", value)
@@ -149,27 +169,21 @@ def tie_table(
 
 
 def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    weight: str,
-    share: float = 0.001,
-    how: str = "inner",
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], value: str, weight: str, grid: ValueGrid
 ) -> DataFrame:
     """Join rows to a table with one line per key, where ``weight`` counts the key's rows.
 
-    Keys holding at least ``share`` of all rows are answered by a broadcast: there can be at
-    most ``1 / share`` of them, whatever the data.  All other rows take the shuffled join.
+    Without frequent values this is one shuffled join.  Otherwise keys that hold at least
+    ``HOT_SHARE`` of all rows are answered by a broadcast, which cannot have more than
+    ``1 / HOT_SHARE`` lines, and only the other rows are shuffled.
     """
-    total = lookup.agg(F.sum(weight).alias("_all"))
-    hot = (
-        lookup.crossJoin(F.broadcast(total)).filter(F.col(weight) >= F.col("_all") * share).drop("_all")
-    )
-    few = F.broadcast(hot)
-    frequent = rows.join(few, list(keys))
-    rest = rows.join(F.broadcast(hot.select(*keys)), list(keys), "left_anti").join(
-        lookup, list(keys), how
-    )
+    keys, often = list(keys), grid.frequent.get(value)
+    if not often:
+        return rows.join(lookup, keys)
+    is_often = number(lookup, value).isin(often)
+    hot = lookup.filter(is_often & (F.col(weight) >= grid.rows * HOT_SHARE))
+    frequent = rows.filter(number(rows, value).isin(often)).join(F.broadcast(hot), keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(lookup, keys)
     return frequent.unionByName(rest)
 
 
@@ -187,22 +201,17 @@ def group_rank(
     last; ``dense``: number of smaller distinct values plus one.
     """
     keys = [*by, order_by]
-    extra = {"_one": F.lit(1)} if method == "dense" else {}
-    ties = tie_table(
-        df,
-        order_by,
-        by,
-        weights={k: F.max(v) for k, v in extra.items()},
-        ranges=ranges,
-    )
-    value = {
+    grid = value_grid(present(df, keys), [order_by], by, ranges)
+    distinct = {"_one": F.max(F.lit(1))} if method == "dense" else {}
+    ties = tie_table(df, order_by, by, weights=distinct, grid=grid)
+    picked = {
         "avg": F.col("rank"),
         "min": F.col("before") + 1,
         "max": F.col("before") + F.col("tie"),
-    }
-    picked = F.col("_one_before") + 1 if method == "dense" else value[method]
+        "dense": F.col("_one_before") + 1 if distinct else None,
+    }[method]
     table = ties.select(*keys, F.col("n").alias("_n"), picked.alias(out))
-    return lookup_join(df, table, keys, "_n").drop("_n")
+    return lookup_join(df, table, keys, order_by, "_n", grid).drop("_n")
 
 
 def global_rank(df: DataFrame, order_by: str, method: str = "avg", out: str = "rank") -> DataFrame:
@@ -239,7 +248,7 @@ def exact_quantiles(
     ranges hold the wanted places, and only their values are shuffled in the second pass.
     """
     by = list(by)
-    df = df.dropna(subset=by) if by else df
+    df = present(df, by)
     grid = grid or value_grid(df, cols, by, ranges)
     ranged = df
     for c in cols:
@@ -258,7 +267,7 @@ def exact_quantiles(
                 ]
             )
         ),
-    ).filter(F.col("_value").isNotNull())
+    ).filter(F.col("_value").isNotNull() & ~F.isnan("_value"))
     keys = [*by, "column"]
     filled = long.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_rows"))
     whole = Window.partitionBy(*keys)
@@ -287,8 +296,11 @@ def exact_quantiles(
         ((F.col("_low") >= F.col("_off")) & (F.col("_low") < F.col("_off") + F.col("_rows")))
         | ((F.col("_high") >= F.col("_off")) & (F.col("_high") < F.col("_off") + F.col("_rows")))
     )
-    wanted = targets.select(*keys, "_range").distinct()
     small = grid.small(2 * len(probs) * len(cols))
+    if small:
+        # few lines, as the size check says: fetched once instead of being worked out twice
+        targets = df.sparkSession.createDataFrame(targets.collect(), targets.schema)
+    wanted = targets.select(*keys, "_range").distinct()
     counted = (
         long.join(F.broadcast(wanted) if small else wanted, [*keys, "_range"], "left_semi")
         .groupBy(*keys, "_range", "_value")

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
-from ..sources.files import empty, read_csv, read_json, split_corrupt
+from ..sources.files import empty, path_exists, read_csv, read_json, split_corrupt
 from ..sources.tables import ensure_database, write_table
 
 # fixed values: the fields of the digital-behaviour source
@@ -42,11 +41,11 @@ def stage_all(
     ensure_database(spark, database, f"{out}/{database}.db")
     done = {}
     for name, src in sources.items():
-        try:
+        if path_exists(spark, src.path):
             raw = (read_json if src.kind == "json" else read_csv)(spark, src.path, src.schema)
-        except AnalysisException as err:
-            if src.schema is None or "PATH_NOT_FOUND" not in str(err):
-                raise
+        elif src.schema is None:
+            raise FileNotFoundError(f"source {name!r}: nothing at {src.path}")
+        else:
             raw = empty(spark, src.schema)
         good, watch = split_corrupt(raw, name)
         table = write_table(good, database, f"table_{name}", f"{out}/{name}")

@@ -108,6 +108,14 @@ def corrupt_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(CORRUPT).isNotNull())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path or pattern matches anything, on whichever file system it names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.globStatus(place)
+    return found is not None and len(found) > 0
+
+
 def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame([], schema)
 

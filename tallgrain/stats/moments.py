@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pvalues as P
-from ..operators.ranks import quantiles_wide, value_grid
+from ..operators.ranks import present, quantiles_wide, value_grid
 
 
 def _grouped(df: DataFrame, by: Sequence[str]):
-    return df.dropna(subset=list(by)).groupBy(*by) if by else df.groupBy()
+    return present(df, by).groupBy(*by)
 
 
 def skewness(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -29,7 +29,7 @@ def ttest_rel(
     p_value: bool = True,
 ) -> DataFrame:
     """Paired t-test with Cohen's d of the differences."""
-    pairs = df.dropna(subset=[after, before]).withColumn("_d", F.col(after) - F.col(before))
+    pairs = present(df, [after, before]).withColumn("_d", F.col(after) - F.col(before))
     out = _grouped(pairs, by).agg(
         F.count("_d").alias("n"), F.avg("_d").alias("mean_diff"), F.stddev_samp("_d").alias("sd_diff")
     )
@@ -88,7 +88,7 @@ def levene(
 ) -> DataFrame:
     """Equality of variances, centred at the exact group medians."""
     keys = [*by, group]
-    some = df.dropna(subset=[value, *keys]).select(*keys, value)
+    some = present(df, [value, *keys]).select(*keys, value)
     grid = value_grid(some, [value], keys)
     medians = quantiles_wide(some, value, {"_med": 0.5}, keys, grid=grid)
     near = F.broadcast(medians) if grid.small() else medians
@@ -124,7 +124,7 @@ def levene_columns(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), *
 
 def linear_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     """Regression line per group."""
-    return _grouped(df.dropna(subset=[x, y]), by).agg(
+    return _grouped(present(df, [x, y]), by).agg(
         F.count(F.lit(1)).alias("n"),
         F.regr_slope(F.col(y).cast("double"), F.col(x).cast("double")).alias("slope"),
         F.regr_intercept(F.col(y).cast("double"), F.col(x).cast("double")).alias("intercept"),
@@ -144,7 +144,7 @@ def with_corr_p(df: DataFrame, r: str = "r", n: str = "n") -> DataFrame:
 
 
 def pearson(df: DataFrame, x: str, y: str, by: Sequence[str] = (), p_value: bool = True) -> DataFrame:
-    out = _grouped(df.dropna(subset=[x, y]), by).agg(
+    out = _grouped(present(df, [x, y]), by).agg(
         F.count(F.lit(1)).alias("n"), F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("r")
     )
     return with_corr_p(out) if p_value else out

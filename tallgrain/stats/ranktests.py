@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pvalues as P
-from ..operators.ranks import lookup_join, quantiles_wide, tie_table, value_grid
+from ..operators.ranks import lookup_join, present, quantiles_wide, tie_table, value_grid
 from .moments import with_corr_p
 
 # Places one line of the normality test sums at most; longer runs of ties are split.
@@ -34,7 +34,7 @@ def wilcoxon(
     Zeros are dropped from the ranks, but r is scaled by all rows, zeros included.
     """
     by = list(by)
-    some = df.dropna(subset=[col, *by])
+    some = present(df, [col, *by])
     x = F.col(col).cast("double")
     if transform == "log":
         some = some.withColumn("_x", F.when(x > 0, F.log(x)))
@@ -92,7 +92,7 @@ def kruskal(
 ) -> DataFrame:
     """Kruskal-Wallis H over all groups, corrected for ties."""
     by = list(by)
-    table = tie_table(df.dropna(subset=[group]), value, by, split=[group])
+    table = tie_table(present(df, [group]), value, by, split=[group])
     # deviations from the middle rank, so that large samples keep their precision
     off = F.col("rank") - (F.col("total") + 1) / 2
     per_group = table.groupBy(*by, group).agg(
@@ -141,7 +141,7 @@ def ks_columns(df: DataFrame, first: str, second: str, by: Sequence[str] = (), *
 def median_table(df: DataFrame, value: str, group: str, a, b, by: Sequence[str] = ()) -> DataFrame:
     """Counts above and below the common exact median; values equal to it are left out."""
     by = list(by)
-    some = df.filter(F.col(group).isin(a, b)).dropna(subset=[value, *by]).select(*by, group, value)
+    some = present(df.filter(F.col(group).isin(a, b)), [value, *by]).select(*by, group, value)
     grid = value_grid(some, [value], by)
     middle = quantiles_wide(some, value, {"median": 0.5}, by, grid=grid)
     near = F.broadcast(middle) if grid.small() else middle
@@ -186,27 +186,23 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = (), p_value: boo
     correlation is a weighted sum over the distinct pairs.
     """
     by = list(by)
-    pairs = (
-        df.dropna(subset=[x, y, *by])
-        .groupBy(*by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    some = df.dropna(subset=[x, y, *by]).select(
+    some = present(df, [x, y, *by]).select(
         *by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")
     )
     grid = value_grid(some, ["_x", "_y"], by)
+    pairs = some.groupBy(*by, "_x", "_y").agg(F.count(F.lit(1)).alias("_n"))
     ranked = pairs
     for c in ("_x", "_y"):
-        # dropna in tie_table has nothing left to do; lines = distinct pairs per value
+        # lines = distinct pairs holding the value
         table = tie_table(
-            pairs, c, by, weights={"lines": F.count(F.lit(1))}, edges=grid.edges[c], rows="_n"
+            pairs, c, by, weights={"lines": F.count(F.lit(1))}, grid=grid, rows="_n"
         ).select(
             *by,
             c,
             "lines",
             (F.col("rank") - (F.col("total") + 1) / 2).alias(f"{c}_off"),
         )
-        ranked = lookup_join(ranked, table, [*by, c], "lines").drop("lines")
+        ranked = lookup_join(ranked, table, [*by, c], c, "lines", grid).drop("lines")
     n, a, b = F.col("_n"), F.col("_x_off"), F.col("_y_off")
     sums = ranked.groupBy(*by).agg(
         F.sum("_n").alias("n"),
@@ -227,7 +223,7 @@ def shapiro(df: DataFrame, col: str, by: Sequence[str] = (), p_value: bool = Tru
     their own.  The p-value is meant for 3 to 5,000 values per group.
     """
     by = list(by)
-    some = df.dropna(subset=[col, *by]).select(*by, F.col(col).cast("double").alias("_v"))
+    some = present(df, [col, *by]).select(*by, F.col(col).cast("double").alias("_v"))
     table = tie_table(some, "_v", by)
     piece = F.lit(PLACES_PER_LINE)
     pieces = table.select(
@@ -243,6 +239,8 @@ def shapiro(df: DataFrame, col: str, by: Sequence[str] = (), p_value: bool = Tru
             "_stop": F.col("before") + F.least((F.col("_k") + 1) * piece, F.col("tie")),
         }
     )
+    # a long run of ties must not be scored by the one task that held its line
+    pieces = pieces.repartition(*by, "_v", "_k")
     scored = pieces.withColumn("_s", P.score_sums(F.col("_start"), F.col("_stop"), F.col("total")))
 
     def at(place: Column) -> Column:
