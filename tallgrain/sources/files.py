@@ -105,6 +105,9 @@ def split_corrupt(df: DataFrame, name: str = "read") -> tuple[DataFrame, Observa
 
 
 def corrupt_rows(df: DataFrame) -> DataFrame:
+    """The unreadable lines.  To count them, use the counts of ``split_corrupt``: Spark
+    refuses a query on raw files that needs the corrupt column alone.
+    """
     return df.filter(F.col(CORRUPT).isNotNull())
 
 
