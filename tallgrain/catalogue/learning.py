@@ -62,7 +62,7 @@ FEATURES = ["size_thousands", "share_blank", "is_en", "source_no"]
 
 
 def labelled(t):
-    """Label and a few measures of whole texts."""
+    """Label and a few measures of whole texts, written once: fitting reads them several times."""
     d = t.documents.select(
         "doc_id",
         (F.col("n_chars") / 1000).alias("size_thousands"),
@@ -70,7 +70,9 @@ def labelled(t):
         (F.col("lang") == "en").cast("double").alias("is_en"),
         F.regexp_extract("source", "([0-9]+)", 1).try_cast("double").alias("source_no"),
     )
-    return d.join(t.labels, ["doc_id"])
+    path = shared_dir(t.spark, "features")
+    d.join(t.labels, ["doc_id"]).write.parquet(path)
+    return t.spark.read.parquet(path)
 
 
 def quality_model(t):

@@ -26,8 +26,13 @@ _MARKED, _BARE = _accent_table()
 
 
 def strip_accents(c) -> Column:
-    """Letters without their accents; loose combining marks are removed too."""
-    return F.regexp_replace(F.translate(c, _MARKED, _BARE), r"\p{Mn}", "")
+    """Letters without their accents; loose combining marks are removed too.
+
+    Text of as many bytes as characters is plain ASCII and passes untouched.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    plain = F.octet_length(c) == F.char_length(c)
+    return F.when(plain, c).otherwise(F.regexp_replace(F.translate(c, _MARKED, _BARE), r"\p{Mn}", ""))
 
 
 def normalize_text(c) -> Column:

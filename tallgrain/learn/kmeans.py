@@ -7,36 +7,52 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ranks import present
+from ..session import all_slots
 from .scaler import ColumnScaler
 
 
-def _scaled(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The original columns next to the vector of scaled ones."""
+# Centres count as settled once none moves further than this, in deviations.
+SETTLED = 0.005
+
+
+def _scaled(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, list[str], int]:
+    """The original columns next to scaled copies of the chosen ones, the copies' names, rows."""
     names = {c: f"_z{i}" for i, c in enumerate(cols)}
-    copies = df.dropna(subset=list(cols)).withColumns({z: F.col(c).cast("double") for c, z in names.items()})
-    scaled = ColumnScaler(list(names.values())).fit(copies).transform(copies)
-    vectors = VectorAssembler(inputCols=list(names.values()), outputCol="_x").transform(scaled)
-    return vectors.drop(*names.values())
+    copies = present(df, cols).withColumns({z: F.col(c).cast("double") for c, z in names.items()})
+    copied = list(names.values())
+    scaler = ColumnScaler(copied).fit(copies)
+    return scaler.transform(copies), copied, scaler.rows
+
+
+def _vectors(scaled: DataFrame, copied: list[str], rows: int) -> DataFrame:
+    vectors = VectorAssembler(inputCols=copied, outputCol="_x").transform(scaled).select("_x")
+    return all_slots(vectors, rows)
+
+
+def _fit(vectors: DataFrame, k: int, seed: int):
+    return KMeans(k=k, seed=seed, featuresCol="_x", maxIter=100, tol=SETTLED).fit(vectors)
+
+
+def nearest(copied: Sequence[str], centres: Sequence[Sequence[float]]) -> Column:
+    """Number of the nearest centre, from 0, as a plain expression."""
+    parts = []
+    for centre in centres:
+        terms = [f"pow({z} - ({float(c)!r}D), 2)" for z, c in zip(copied, centre)]
+        parts.append(F.expr(" + ".join(terms)))
+    gaps = F.array(*parts)
+    return (F.array_position(gaps, F.array_min(gaps)) - 1).cast("int")
 
 
 def kmeans(df: DataFrame, cols: Sequence[str], k: int, seed: int = 0, out: str = "cluster_pred") -> DataFrame:
     """Original rows with their cluster.  Clusters are numbered in the order of their centres."""
-    vectors = _scaled(df, cols)
-    model = KMeans(k=k, seed=seed, featuresCol="_x", predictionCol="_raw", maxIter=100).fit(
-        vectors.select("_x")
-    )
-    centres = [tuple(c) for c in model.clusterCenters()]
-    order = sorted(range(len(centres)), key=lambda i: centres[i])
-    place = {raw: new for new, raw in enumerate(order)}
-    numbers = F.array(*[F.lit(place[i]) for i in range(len(centres))])
-    return (
-        model.transform(vectors)
-        .withColumn(out, F.element_at(numbers, F.col("_raw") + 1))
-        .drop("_x", "_raw")
-    )
+    scaled, copied, rows = _scaled(df, cols)
+    model = _fit(_vectors(scaled, copied, rows), k, seed)
+    centres = sorted(tuple(c) for c in model.clusterCenters())
+    return scaled.withColumn(out, nearest(copied, centres)).drop(*copied)
 
 
 def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(1, 10), seed: int = 0) -> DataFrame:
@@ -45,13 +61,12 @@ def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(1, 10),
     One cluster needs no iteration: its cost is the sum of squared deviations.
     """
     spark = df.sparkSession
-    vectors = _scaled(df, cols).select("_x").persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = _vectors(*_scaled(df, cols)).persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
     try:
         for k in ks:
             if k > 1:
-                model = KMeans(k=k, seed=seed, featuresCol="_x", maxIter=100).fit(vectors)
-                rows.append((k, float(model.summary.trainingCost)))
+                rows.append((k, float(_fit(vectors, k, seed).summary.trainingCost)))
     finally:
         vectors.unpersist()
     table = spark.createDataFrame(rows, "k int, wcss double")
@@ -61,7 +76,7 @@ def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(1, 10),
 
 
 def single_cluster_cost(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    full = df.dropna(subset=list(cols))
+    full = present(df, cols)
     scaled = ColumnScaler(list(cols)).fit(full).transform(full)
     parts = sum((F.var_pop(c) * F.count(c) for c in cols), F.lit(0.0))
     return scaled.agg(parts.alias("wcss")).select(F.lit(1).alias("k"), "wcss")

@@ -11,6 +11,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ranks import present
+from ..session import all_slots
+
 
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -94,7 +97,7 @@ class LogisticModel:
 
 
 def fit_logreg(
-    df: DataFrame, features: Sequence[str], label: str, c: float = 1.0, max_iter: int = 200
+    df: DataFrame, features: Sequence[str], label: str, c: float = 1.0, max_iter: int = 100
 ) -> LogisticModel:
     """Ridge-penalised logistic regression with a free intercept.
 
@@ -102,7 +105,7 @@ def fit_logreg(
     squared coefficients.  Spark averages the loss over n rows, hence ``1 / (c n)``.
     Labels are numbers; two of them give a binary model, more a multinomial one.
     """
-    clean = df.dropna(subset=[label, *features])
+    clean = present(df, [label, *features])
     stats = clean.groupBy(F.col(label).cast("double").alias("y")).count().collect()
     classes = sorted(r["y"] for r in stats)
     n = sum(r["count"] for r in stats)
@@ -121,8 +124,8 @@ def fit_logreg(
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
-        tol=1e-9,
-    ).fit(assembled.select("_x", "_y"))
+        tol=1e-6,
+    ).fit(all_slots(assembled.select("_x", "_y"), n))
     coefs = fitted.coefficientMatrix.toArray().tolist()
     return LogisticModel(list(features), classes, list(fitted.interceptVector.toArray()), coefs)
 

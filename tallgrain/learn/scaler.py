@@ -23,15 +23,18 @@ class ColumnScaler:
             warnings.warn("a column is listed more than once", stacklevel=2)
         self.cols = cols if cols == "*" else list(dict.fromkeys(cols))
         self.stats: dict[str, tuple[float, float]] | None = None
+        self.rows: int | None = None
 
     def fit(self, df: DataFrame) -> ColumnScaler:
         cols = self.cols
         if cols == "*":
             cols = [c for c, t in df.dtypes if t in NUMBERS or t.startswith("decimal")]
         row = df.agg(
+            F.count(F.lit(1)).alias("n"),
             *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
             *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)],
         ).first()
+        self.rows = row["n"]
         self.stats = {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}
         return self
 

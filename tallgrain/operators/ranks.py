@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -26,8 +26,11 @@ ROWS_PER_RANGE = 1_000_000
 SMALL_GROUPS = 50_000
 
 
-# A key holding this share of all rows is met by a broadcast: there are at most 1,000 such keys.
+# No key with a smaller share of all rows counts as hot, so there are at most 1,000 hot keys.
 HOT_SHARE = 0.001
+# Share of the rows the sketch looks at.  Edges only steer how work is spread: results do not
+# depend on them, so a sample is enough.
+SKETCH_SHARE = 0.125
 
 
 @dataclass
@@ -38,6 +41,15 @@ class ValueGrid:
     frequent: dict[str, list[float]]
     rows: int
     groups: int
+    hot_share: float = HOT_SHARE
+
+    def renamed(self, **names: str) -> ValueGrid:
+        """The same grid with other column names: ``new=old``."""
+        return replace(
+            self,
+            edges={new: self.edges[old] for new, old in names.items()},
+            frequent={new: self.frequent[old] for new, old in names.items()},
+        )
 
     def small(self, per_group: int = 1) -> bool:
         return self.groups * per_group <= SMALL_GROUPS
@@ -78,11 +90,21 @@ def value_grid(
     # as text: building thousands of literals one by one costs more than the scan
     wanted = F.expr("array(" + ",".join(f"{i / marks}D" for i in range(1, marks)) + ")")
     groups = F.approx_count_distinct(F.struct(*by)) if by else F.lit(1)
-    picked = [F.percentile_approx(number(df, c), wanted, 20000).alias(f"e{i}") for i, c in enumerate(cols)]
-    row = df.agg(F.count(F.lit(1)).alias("n"), groups.alias("g"), *picked).first()
+    seen = df.select(
+        *by,
+        (F.rand(1) < SKETCH_SHARE).alias("_seen"),
+        *[number(df, c).alias(f"_v{i}") for i, c in enumerate(cols)],
+    )
+    picked = [
+        F.percentile_approx(F.when(F.col("_seen"), F.col(f"_v{i}")), wanted, 4 * marks).alias(f"e{i}")
+        for i in range(len(cols))
+    ]
+    row = seen.agg(F.count(F.lit(1)).alias("n"), groups.alias("g"), *picked).first()
     if ranges is None:
         ranges = max(slots, math.ceil(row["n"] / ROWS_PER_RANGE))
     ranges = max(1, min(ranges, marks))
+    # a key is hot if it alone would fill more than an even share of the slots
+    hot_share = max(HOT_SHARE, 1 / slots)
     edges, frequent = {}, {}
     for i, c in enumerate(cols):
         found = row[f"e{i}"] or []
@@ -91,8 +113,8 @@ def value_grid(
         edges[c] = sorted({e for e in thinned if math.isfinite(e)})
         # a value that fills several marks in a row holds that share of the rows
         seen = Counter(found)
-        frequent[c] = [v for v, k in seen.items() if k >= max(2, marks * HOT_SHARE)]
-    return ValueGrid(edges, frequent, row["n"], max(1, row["g"]))
+        frequent[c] = [v for v, k in seen.items() if k >= max(2, marks * hot_share / 2)]
+    return ValueGrid(edges, frequent, row["n"], max(1, row["g"]), hot_share)
 
 
 def with_range(df: DataFrame, col: str, edges: Sequence[float], out: str = "_range") -> DataFrame:
@@ -174,14 +196,14 @@ def lookup_join(
     """Join rows to a table with one line per key, where ``weight`` counts the key's rows.
 
     Without frequent values this is one shuffled join.  Otherwise keys that hold at least
-    ``HOT_SHARE`` of all rows are answered by a broadcast, which cannot have more than
-    ``1 / HOT_SHARE`` lines, and only the other rows are shuffled.
+    ``hot_share`` of all rows are answered by a broadcast, which cannot have more than
+    ``1 / hot_share`` lines, and only the other rows are shuffled.
     """
     keys, often = list(keys), grid.frequent.get(value)
     if not often:
         return rows.join(lookup, keys)
     is_often = number(lookup, value).isin(often)
-    hot = lookup.filter(is_often & (F.col(weight) >= grid.rows * HOT_SHARE))
+    hot = lookup.filter(is_often & (F.col(weight) >= grid.rows * grid.hot_share))
     frequent = rows.filter(number(rows, value).isin(often)).join(F.broadcast(hot), keys)
     rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(lookup, keys)
     return frequent.unionByName(rest)

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.pvalues import decide
 from ..operators.describe import describe, mean_median_by
+from ..operators.ranks import value_grid
+from ..session import shared_dir
 from ..stats import moments as M
 from ..stats import ranktests as T
 
@@ -57,11 +59,16 @@ def experiment_report(
 
     ``treated`` and ``other`` name the two groups compared with each other.
     """
-    long = long_scores(df, group, domains)
+    # some fifteen tests read the scores: they are written once, and one sketch serves all
+    path = shared_dir(df.sparkSession, "scores")
+    scores = long_scores(df, group, domains)
+    scores.write.parquet(path)
+    long = df.sparkSession.read.schema(scores.schema).parquet(path)
     one, two = ["domain", "group"], F.lit(f"{treated} / {other}")
+    grid = value_grid(long, ["pre", "post", "diff"], one)
     parts = []
     for col in ("pre", "post", "diff"):
-        shapiro = T.shapiro(long, col, one)
+        shapiro = T.shapiro(long, col, one, grid=grid)
         parts.append(_line(shapiro, f"shapiro_{col}", F.col("group"), F.col("n"), F.col("w")))
     paired = M.ttest_rel(long, "post", "pre", one)
     parts.append(_line(paired, "paired_t", F.col("group"), F.col("n"), F.col("t"), F.col("cohen_d")))
@@ -71,20 +78,20 @@ def experiment_report(
     )
     linear = M.pearson(long, "pre", "post", one)
     parts.append(_line(linear, "pearson_pre_post", F.col("group"), F.col("n"), F.col("r"), F.col("r")))
-    monotone = T.spearman(long, "pre", "post", one)
+    monotone = T.spearman(long, "pre", "post", one, grid=grid)
     parts.append(_line(monotone, "spearman_pre_post", F.col("group"), F.col("n"), F.col("r"), F.col("r")))
     both = F.col("n_a") + F.col("n_b")
     args = (long, "diff", "group", treated, other, ["domain"])
-    parts.append(_line(T.mannwhitney(*args), "mann_whitney", two, both, F.col("u")))
-    parts.append(_line(T.ks_2samp(*args), "kolmogorov_smirnov", two, both, F.col("d")))
+    parts.append(_line(T.mannwhitney(*args, grid=grid), "mann_whitney", two, both, F.col("u")))
+    parts.append(_line(T.ks_2samp(*args, grid=grid), "kolmogorov_smirnov", two, both, F.col("d")))
     parts.append(_line(M.ttest_ind(*args), "independent_t", two, both, F.col("t"), F.col("cohen_d")))
-    fisher = T.fisher_exact(T.median_table(*args))
+    fisher = T.fisher_exact(T.median_table(*args, grid=grid))
     cells = F.col("above_a") + F.col("above_b") + F.col("below_a") + F.col("below_b")
     parts.append(_line(fisher, "fisher_median", two, cells, F.col("odds_ratio"), F.col("odds_ratio")))
-    kruskal = T.kruskal(long, "diff", "group", ["domain"])
+    kruskal = T.kruskal(long, "diff", "group", ["domain"], grid=grid)
     parts.append(_line(kruskal, "kruskal_wallis", F.lit("all groups"), F.col("n"), F.col("h")))
     pair = long.filter(F.col("group").isin(treated, other))
-    levene = M.levene(pair, "diff", "group", ["domain"])
+    levene = M.levene(pair, "diff", "group", ["domain"], grid=grid)
     parts.append(_line(levene, "levene", two, F.col("n"), F.col("w")))
     report = parts[0]
     for part in parts[1:]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution splits hot join partitions and picks broadcast joins from
 # measured sizes, so no operator below has to guess how big a side will be.
@@ -57,3 +57,13 @@ def shared_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is ever overwritten there."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def all_slots(df: DataFrame, rows: int) -> DataFrame:
+    """Input of an iterative fit, spread over the task slots if it sits in too few partitions.
+
+    Only rows that fill their partitions are moved: a small table is quicker left where it
+    is, and a large one comes in more partitions than there are slots.
+    """
+    now, slots = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if now < slots and rows / now > 20_000 else df

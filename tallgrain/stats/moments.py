@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pvalues as P
-from ..operators.ranks import present, quantiles_wide, value_grid
+from ..operators.ranks import ValueGrid, present, quantiles_wide, value_grid
 
 
 def _grouped(df: DataFrame, by: Sequence[str]):
@@ -84,12 +84,17 @@ def effect_size_label(d: str):
 
 
 def levene(
-    df: DataFrame, value: str, group: str, by: Sequence[str] = (), p_value: bool = True
+    df: DataFrame,
+    value: str,
+    group: str,
+    by: Sequence[str] = (),
+    p_value: bool = True,
+    grid: ValueGrid | None = None,
 ) -> DataFrame:
     """Equality of variances, centred at the exact group medians."""
     keys = [*by, group]
     some = present(df, [value, *keys]).select(*keys, value)
-    grid = value_grid(some, [value], keys)
+    grid = grid or value_grid(some, [value], keys)
     medians = quantiles_wide(some, value, {"_med": 0.5}, keys, grid=grid)
     near = F.broadcast(medians) if grid.small() else medians
     spread = some.join(near, keys).withColumn("_z", F.abs(F.col(value) - F.col("_med")))

@@ -2,6 +2,8 @@
 
 All of them read the tie table of ``operators.ranks``: one line per distinct value with its
 counts and running totals.  No group is ever sorted as a whole.
+
+Where many tests run on the same columns, a ``grid`` made once can be handed to all of them.
 """
 
 from __future__ import annotations
@@ -12,7 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pvalues as P
-from ..operators.ranks import lookup_join, present, quantiles_wide, tie_table, value_grid
+from ..operators.ranks import (
+    ValueGrid,
+    lookup_join,
+    present,
+    quantiles_wide,
+    tie_table,
+    value_grid,
+)
 from .moments import with_corr_p
 
 # Places one line of the normality test sums at most; longer runs of ties are split.
@@ -65,7 +74,8 @@ def wilcoxon(
 
 
 def mannwhitney(
-    df: DataFrame, value: str, group: str, a, b, by: Sequence[str] = (), p_value: bool = True
+    df: DataFrame, value: str, group: str, a, b, by: Sequence[str] = (), p_value: bool = True,
+    grid: ValueGrid | None = None,
 ) -> DataFrame:
     """U of group ``a`` against ``b``, two-sided."""
     some = df.filter(F.col(group).isin(a, b))
@@ -74,6 +84,7 @@ def mannwhitney(
         value,
         by,
         weights={"in_a": F.count_if(F.col(group) == a), "in_b": F.count_if(F.col(group) == b)},
+        grid=grid,
     )
     sums = table.groupBy(*by).agg(
         F.sum("in_a").alias("n_a"),
@@ -88,11 +99,12 @@ def mannwhitney(
 
 
 def kruskal(
-    df: DataFrame, value: str, group: str, by: Sequence[str] = (), p_value: bool = True
+    df: DataFrame, value: str, group: str, by: Sequence[str] = (), p_value: bool = True,
+    grid: ValueGrid | None = None,
 ) -> DataFrame:
     """Kruskal-Wallis H over all groups, corrected for ties."""
     by = list(by)
-    table = tie_table(present(df, [group]), value, by, split=[group])
+    table = tie_table(present(df, [group]), value, by, split=[group], grid=grid)
     # deviations from the middle rank, so that large samples keep their precision
     off = F.col("rank") - (F.col("total") + 1) / 2
     per_group = table.groupBy(*by, group).agg(
@@ -113,7 +125,8 @@ def kruskal(
 
 
 def ks_2samp(
-    df: DataFrame, value: str, group: str, a, b, by: Sequence[str] = (), p_value: bool = True
+    df: DataFrame, value: str, group: str, a, b, by: Sequence[str] = (), p_value: bool = True,
+    grid: ValueGrid | None = None,
 ) -> DataFrame:
     """Largest distance of two empirical distributions."""
     some = df.filter(F.col(group).isin(a, b))
@@ -122,6 +135,7 @@ def ks_2samp(
         value,
         by,
         weights={"in_a": F.count_if(F.col(group) == a), "in_b": F.count_if(F.col(group) == b)},
+        grid=grid,
     )
     share_a = (F.col("in_a_before") + F.col("in_a")) / F.col("in_a_total")
     share_b = (F.col("in_b_before") + F.col("in_b")) / F.col("in_b_total")
@@ -138,11 +152,13 @@ def ks_columns(df: DataFrame, first: str, second: str, by: Sequence[str] = (), *
     return ks_2samp(long, "_v", "_col", first, second, by, **how)
 
 
-def median_table(df: DataFrame, value: str, group: str, a, b, by: Sequence[str] = ()) -> DataFrame:
+def median_table(
+    df: DataFrame, value: str, group: str, a, b, by: Sequence[str] = (), grid: ValueGrid | None = None
+) -> DataFrame:
     """Counts above and below the common exact median; values equal to it are left out."""
     by = list(by)
     some = present(df.filter(F.col(group).isin(a, b)), [value, *by]).select(*by, group, value)
-    grid = value_grid(some, [value], by)
+    grid = grid or value_grid(some, [value], by)
     middle = quantiles_wide(some, value, {"median": 0.5}, by, grid=grid)
     near = F.broadcast(middle) if grid.small() else middle
     both = some.join(near, by) if by else some.crossJoin(near)
@@ -179,7 +195,10 @@ def mood_p(table: DataFrame) -> DataFrame:
     return out.withColumn("p_value", P.chi2_tail(F.col("chi2"), F.lit(1.0)))
 
 
-def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = (), p_value: bool = True) -> DataFrame:
+def spearman(
+    df: DataFrame, x: str, y: str, by: Sequence[str] = (), p_value: bool = True,
+    grid: ValueGrid | None = None,
+) -> DataFrame:
     """Rank correlation per group; groups of one row give no coefficient.
 
     Equal pairs are counted first.  The ranks of x and y come from their tie tables and the
@@ -189,7 +208,7 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = (), p_value: boo
     some = present(df, [x, y, *by]).select(
         *by, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")
     )
-    grid = value_grid(some, ["_x", "_y"], by)
+    grid = grid.renamed(_x=x, _y=y) if grid else value_grid(some, ["_x", "_y"], by)
     pairs = some.groupBy(*by, "_x", "_y").agg(F.count(F.lit(1)).alias("_n"))
     ranked = pairs
     for c in ("_x", "_y"):
@@ -215,7 +234,9 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = (), p_value: boo
     return with_corr_p(out) if p_value else out
 
 
-def shapiro(df: DataFrame, col: str, by: Sequence[str] = (), p_value: bool = True) -> DataFrame:
+def shapiro(
+    df: DataFrame, col: str, by: Sequence[str] = (), p_value: bool = True, grid: ValueGrid | None = None
+) -> DataFrame:
     """Shapiro-Wilk W per group.
 
     The statistic needs the sum of score times value over all places.  A value with its run
@@ -224,7 +245,7 @@ def shapiro(df: DataFrame, col: str, by: Sequence[str] = (), p_value: bool = Tru
     """
     by = list(by)
     some = present(df, [col, *by]).select(*by, F.col(col).cast("double").alias("_v"))
-    table = tie_table(some, "_v", by)
+    table = tie_table(some, "_v", by, grid=grid.renamed(_v=col) if grid else None)
     piece = F.lit(PLACES_PER_LINE)
     pieces = table.select(
         *by,

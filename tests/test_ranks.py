@@ -37,8 +37,9 @@ def test_group_rank(spark, data, partitions, shuffle, method):
     assert np.allclose(got.to_numpy(float), want.to_numpy(float))
 
 
-def test_frequent_value_takes_the_broadcast(spark, data):
+def test_frequent_value_takes_the_broadcast(spark, data, partitions):
     _, df = data
+    partitions(64)
     grid = R.value_grid(R.present(df, ["v"]), ["v"], ["g"])
     assert grid.frequent["v"] and 7.0 in grid.frequent["v"]
     plan = R.group_rank(df, "v", ["g"])._jdf.queryExecution().toString()
