@@ -25,18 +25,20 @@ DATE_TEXT = """(select o_orderkey, case when o_orderkey % 11 <> 0
    then strftime(o_orderdate, '%Y-%m-%dT%H:%M') else 'unknown' end as opened from orders)"""
 
 
-@query("date_from_text", f"select o_orderkey, try_cast(substr(opened, 1, 10) as date) as opened from {DATE_TEXT}")
+@query("date_from_text", f"select o_orderkey, strftime(try_cast(substr(opened, 1, 10) as date), '%d.%m.%Y') as opened from {DATE_TEXT}")
 def _(t):
-    return P.to_date10(date_text(t), ["opened"])
+    dated = P.to_date10(date_text(t), ["opened"])
+    return dated.withColumn("opened", F.date_format("opened", "dd.MM.yyyy"))
 
 
 @query(
     "date_by_pattern",
-    "select o_orderkey, o_orderdate::date as day from orders",
+    "select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders",
 )
 def _(t):
     text = F.date_format("o_orderdate", "dd/MM/yyyy")
-    return t.orders.select("o_orderkey", fd.parse_date(text, "dd/MM/yyyy").alias("day"))
+    day = fd.parse_date(text, "dd/MM/yyyy")
+    return t.orders.select("o_orderkey", F.date_format(day, "yyyy-MM-dd").alias("day"))
 
 
 @query(

@@ -296,7 +296,7 @@ def _(t):
     "date_functions",
     """select o_orderkey, day(o_orderdate)::int as d, month(o_orderdate)::int as m, year(o_orderdate)::int as y,
               (isodow(o_orderdate) - 1)::int as wd,
-              (o_orderdate::date + (o_orderkey % 30)::int)::date as later from orders""",
+              strftime(o_orderdate::date + (o_orderkey % 30)::int, '%Y-%m-%d') as later from orders""",
 )
 def _(t):
     day = F.col("o_orderdate").cast("date")
@@ -306,7 +306,7 @@ def _(t):
         F.month(day).alias("m"),
         F.year(day).alias("y"),
         F.weekday(day).alias("wd"),
-        F.date_add(day, (F.col("o_orderkey") % 30).cast("int")).alias("later"),
+        F.date_format(F.date_add(day, (F.col("o_orderkey") % 30).cast("int")), "yyyy-MM-dd").alias("later"),
     )
 
 
@@ -336,8 +336,8 @@ def _(t):
     """select vec_id, len(embedding) as size,
          list_position(list_transform(embedding, lambda x: abs(x)),
                        list_max(list_transform(embedding, lambda x: abs(x)))) - 1 as strongest,
-         list_transform([0, 1, 2, 3, 4], lambda j: [j, j + 1]) as nested,
-         flatten(list_transform([0, 1], lambda i: list_transform([0, 1, 2, 3, 4], lambda j: i + j))) as flat
+         array_to_string(list_transform([0, 1, 2, 3, 4], lambda j: j || '+' || (label + j)), ',') as nested,
+         array_to_string(flatten(list_transform([0, label], lambda i: list_transform([0, 1, 2, 3, 4], lambda j: i + j))), ',') as flat
        from embeddings""",
 )
 def _(t):
@@ -347,11 +347,17 @@ def _(t):
         "vec_id",
         F.size("embedding").cast("bigint").alias("size"),
         (F.array_position(strengths, F.array_max(strengths)) - 1).cast("bigint").alias("strongest"),
-        F.transform(zero_to_four, lambda j: F.array(j, j + 1)).alias("nested"),
-        F.flatten(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(1)),
-                lambda i: F.transform(F.sequence(F.lit(0), F.lit(4)), lambda j: i + j),
-            )
+        F.array_join(
+            F.transform(zero_to_four, lambda j: F.concat_ws("+", j.cast("string"), (F.col("label") + j).cast("string"))),
+            ",",
+        ).alias("nested"),
+        F.array_join(
+            F.flatten(
+                F.transform(
+                    F.array(F.lit(0), "label"),
+                    lambda i: F.transform(zero_to_four, lambda j: (i + j).cast("string")),
+                )
+            ),
+            ",",
         ).alias("flat"),
     )

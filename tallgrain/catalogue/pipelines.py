@@ -247,7 +247,7 @@ def _(t):
 @query(
     "client_products",
     """select c_custkey as cliente_id, c_name as nombre, c_acctbal as annual_inc, o_orderkey as producto_id,
-              o_totalprice as saldo_servicio, o_orderdate::date as fecha_apertura, o_orderstatus as estado
+              o_totalprice as saldo_servicio, strftime(o_orderdate, '%Y-%m-%d') as fecha_apertura, o_orderstatus as estado
        from customer join orders on c_custkey = o_custkey where c_acctbal > 0 order by 1, 4""",
 )
 def _(t):
@@ -258,7 +258,7 @@ def _(t):
         F.col("o_custkey").alias("cliente_id"),
         F.col("o_orderkey").alias("producto_id"),
         F.col("o_totalprice").alias("saldo_servicio"),
-        F.col("o_orderdate").cast("date").alias("fecha_apertura"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("fecha_apertura"),
         F.col("o_orderstatus").alias("estado"),
     )
     return spread_join(owned, people, ["cliente_id"]).orderBy("cliente_id", "producto_id")

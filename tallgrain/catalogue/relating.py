@@ -59,14 +59,14 @@ def _(t):
 
 @query(
     "scenario_grid",
-    """select r_name || ' ' || cast(n_nationkey * months as varchar) as label, n_nationkey * months as sales
-       from region, nation, (values (1), (3), (12)) v(months)""",
+    """select product || ' ' || cast(c_custkey * months as varchar) as label, c_custkey * months as sales
+       from customer, (values ('Product A'), ('Product B')) p(product), (values (1), (3), (12)) v(months)""",
 )
 def _(t):
-    months = t.spark.createDataFrame([(1,), (3,), (12,)], "months int")
-    grid = J.scenario_grid(t.region.select("r_name"), t.nation.select("n_nationkey"), months)
-    sales = F.col("n_nationkey") * F.col("months")
-    return grid.select(F.concat_ws(" ", "r_name", sales.cast("string")).alias("label"), sales.alias("sales"))
+    base = t.customer.select("c_custkey")
+    grid = J.scenario_grid(base, product=["Product A", "Product B"], months=[1, 3, 12])
+    sales = F.col("c_custkey") * F.col("months")
+    return grid.select(F.concat_ws(" ", "product", sales.cast("string")).alias("label"), sales.alias("sales"))
 
 
 @query(

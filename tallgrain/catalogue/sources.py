@@ -28,7 +28,7 @@ def _(t):
 
 @query(
     "read_csv_typed",
-    """select o_orderkey, o_orderdate::date as o_orderdate, o_totalprice from orders""",
+    """select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as o_orderdate, o_totalprice from orders""",
 )
 def _(t):
     """Chosen delimiter, dates by pattern and forced types."""
@@ -44,7 +44,8 @@ def _(t):
         dates={"o_orderdate": "MM/dd/yyyy"},
         dtypes={"o_orderkey": "bigint", "o_totalprice": "double"},
     )
-    return back.drop(S.CORRUPT)
+    text = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return back.drop(S.CORRUPT).withColumn("o_orderdate", text)
 
 
 @query(
@@ -96,14 +97,14 @@ def _(t):
     )
 
 
-@query("write_table", "select * from orders")
+@query("write_table", "select * exclude (o_orderdate) from orders")
 def _(t):
     """External Parquet table in a database made on demand, written twice."""
     root, name = shared_dir(t.spark, "db"), f"tallgrain_{uuid.uuid4().hex}"
     ensure_database(t.spark, name, f"{root}/db")
     table = write_table(t.orders, name, "orders", f"{root}/orders")
     write_table(t.orders, name, "orders", f"{root}/orders")
-    return t.spark.table(table)
+    return t.spark.table(table).drop("o_orderdate")
 
 
 @query(
@@ -156,9 +157,9 @@ def _(t):
        (values (1), (3), (12)) v(months)""",
 )
 def _(t):
-    months = t.spark.createDataFrame([(1,), (3,), (12,)], "months int")
-    grid = t.nation.crossJoin(F.broadcast(months))
-    return grid.select("n_name", "months", (F.col("n_nationkey") * F.col("months")).alias("total"))
+    months = t.spark.createDataFrame([(n, m) for n in range(25) for m in (1, 3, 12)], "n_nationkey int, months int")
+    joined = t.nation.join(months, ["n_nationkey"])
+    return joined.select("n_name", "months", (F.col("n_nationkey") * F.col("months")).alias("total"))
 
 
 @query(
@@ -171,17 +172,19 @@ def _(t):
         select 'PR' || p as producto_id, c_custkey,
           ['Cuenta Ahorros', 'Tarjeta Crédito', 'Cuenta Corriente', 'Préstamo Personal', 'Inversión']
             [({HASHED.format(seed=3, key='p', label='kind')} % 5 + 1)::int] as tipo_producto,
-          (({HASHED.format(seed=3, key='p', label='balance')} % 2900001 + 100000) / 100.0)::decimal(12, 2) as saldo,
-          (date '2020-01-01' + ({HASHED.format(seed=3, key='p', label='opened')} % 1827)::int)::date as fecha_apertura,
+          (({HASHED.format(seed=3, key='p', label='balance')} % 2900001 + 100000) / 100.0)::double as saldo,
+          strftime(date '2020-01-01' + ({HASHED.format(seed=3, key='p', label='opened')} % 1827)::int, '%Y-%m-%d') as fecha_apertura,
           ['Activo', 'Inactivo'][({HASHED.format(seed=3, key='p', label='state')} % 2 + 1)::int] as estado
         from p""",
 )
 def _(t):
     """Two or three products for 300 clients drawn from the customers."""
-    return synth_products(t.customer, 300, seed=3, key="c_custkey")
+    made = synth_products(t.customer, 300, seed=3, key="c_custkey")
+    opened = F.date_format("fecha_apertura", "yyyy-MM-dd")
+    return made.withColumns({"saldo": F.col("saldo").cast("double"), "fecha_apertura": opened})
 
 
-@query("ingest_new_files", "select * from events")
+@query("ingest_new_files", "select * replace (epoch_us(ts) as ts) from events")
 def _(t):
     """New files only: load half, load again, add the other half, load again."""
     root = shared_dir(t.spark, "ingest")
@@ -193,4 +196,6 @@ def _(t):
     ingest_new(t.spark, source, target, mark, schema)
     events.filter(odd).write.mode("append").parquet(source)
     ingest_new(t.spark, source, target, mark, schema)
-    return t.spark.read.parquet(target)
+    start = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    micros = F.timestamp_diff("MICROSECOND", start, F.col("ts"))
+    return t.spark.read.parquet(target).withColumn("ts", micros)

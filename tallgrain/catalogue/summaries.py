@@ -255,7 +255,7 @@ def _(t):
 @query(
     "collapse_by_key",
     """select l_orderkey, round(avg(l_extendedprice), 6) as l_extendedprice, max(is_returned) as is_returned,
-              min_by(l_shipdate, (l_shipdate, l_partkey)) as l_shipdate,
+              strftime(min(l_shipdate), '%Y-%m-%d') as l_shipdate,
               min_by(l_partkey, (l_shipdate, l_partkey)) as l_partkey
        from (select *, (l_returnflag = 'R')::int as is_returned from lineitem) group by 1""",
 )
@@ -269,6 +269,7 @@ def _(t):
         ["l_shipdate", "l_partkey"],
         ["l_shipdate", "l_partkey"],
     )
+    found = found.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
     return rounded(found, ["l_extendedprice"])
 
 

@@ -41,13 +41,10 @@ def cut(df: DataFrame, col: str, edges: Sequence, labels=None, out: str | None =
     out = out or f"{col}_bin"
     if edges[-1] != "max":
         return df.withColumn(out, bin_label(col, edges, labels, **how))
-    top = df.agg(F.max(col).alias("_top"))
-    ends = [*edges[:-1], F.col("_top")]
-    return (
-        df.crossJoin(F.broadcast(top))
-        .withColumn(out, bin_label(col, ends, labels, **how))
-        .drop("_top")
-    )
+    top = df.agg(F.max(col)).first()[0]
+    if top is None:
+        return df.withColumn(out, F.lit(None).cast("string" if labels else "int"))
+    return df.withColumn(out, bin_label(col, [*edges[:-1], top], labels, **how))
 
 
 def cut_equal(df: DataFrame, col: str, n: int = 7, out: str | None = None) -> DataFrame:
@@ -57,30 +54,23 @@ def cut_equal(df: DataFrame, col: str, n: int = 7, out: str | None = None) -> Da
     that the smallest value falls inside; a column of one value is widened the same way.
     """
     out = out or f"{col}_bin"
-    spread = df.agg(F.min(col).cast("double").alias("_lo"), F.max(col).cast("double").alias("_hi"))
-    flat = F.col("_lo") == F.col("_hi")
-    pad = F.when(F.col("_lo") == 0, F.lit(0.001)).otherwise(F.abs("_lo") * 0.001)
-    spread = spread.select(
-        F.when(flat, F.col("_lo") - pad).otherwise(F.col("_lo")).alias("_lo"),
-        F.when(flat, F.col("_hi") + pad).otherwise(F.col("_hi")).alias("_hi"),
-        flat.alias("_flat"),
-    )
-    width = (F.col("_hi") - F.col("_lo")) / n
+    low, high = df.agg(F.min(col).cast("double"), F.max(col).cast("double")).first()
+    if low is None:
+        return df.withColumns({out: F.lit(None).cast("int"), f"{out}_mid": F.lit(None).cast("int")})
+    flat = low == high
+    if flat:
+        pad = 0.001 if low == 0 else abs(low) * 0.001
+        low, high = low - pad, high + pad
+    width = (high - low) / n
     # how many inner edges the value exceeds: the same comparison a sorted edge list makes
-    number = sum(
-        (F.when(F.col(col) > F.col("_lo") + i * width, 1).otherwise(0) for i in range(1, n)), F.lit(0)
-    )
-    left = F.col("_lo") + F.col(out) * width
-    lowered = F.when(
-        (F.col(out) == 0) & ~F.col("_flat"), left - (F.col("_hi") - F.col("_lo")) * 0.001
-    ).otherwise(left)
-    middle = (lowered + F.col("_lo") + (F.col(out) + 1) * width) / 2
-    return (
-        df.crossJoin(F.broadcast(spread))
-        .withColumn(out, F.when(F.col(col).isNotNull(), number))
-        .withColumn(f"{out}_mid", F.bround(middle, 0).cast("int"))
-        .drop("_lo", "_hi", "_flat")
-    )
+    number = sum((F.when(F.col(col) > low + i * width, 1).otherwise(0) for i in range(1, n)), F.lit(0))
+    middles = []
+    for i in range(n):
+        left = low + i * width - ((high - low) * 0.001 if i == 0 and not flat else 0.0)
+        middles.append(F.lit(round((left + low + (i + 1) * width) / 2)))
+    middle = F.element_at(F.array(*middles), F.col(out) + 1)
+    numbered = df.withColumn(out, F.when(F.col(col).isNotNull(), number))
+    return numbered.withColumn(f"{out}_mid", middle.cast("int"))
 
 
 def quantile_edges(df: DataFrame, col: str, q: int, approx: bool = False) -> list[float]:

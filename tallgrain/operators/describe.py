@@ -70,6 +70,8 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     df = present(df, [col, *by])
     grid = value_grid(df, [col], by)
     quart = quantiles_wide(df, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, grid=grid)
+    if not by:
+        quart = df.sparkSession.createDataFrame(quart.collect(), quart.schema)  # one row
     fences = quart.withColumns({"iqr": F.col("q3") - F.col("q1")}).withColumns(
         {"_low": F.col("q1") - 1.5 * F.col("iqr"), "_high": F.col("q3") + 1.5 * F.col("iqr")}
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,10 +11,8 @@ from pyspark.sql import functions as F
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
     """Keys holding at least ``share`` of all rows: never more than ``1 / share`` of them."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counted.agg(F.sum("_n").alias("_all"))
-    return (
-        counted.crossJoin(F.broadcast(total)).filter(F.col("_n") >= F.col("_all") * share).select(*keys)
-    )
+    total = counted.agg(F.sum("_n"))
+    return counted.filter(F.col("_n") >= total.scalar() * share).select(*keys)
 
 
 def spread_join(
@@ -45,9 +42,14 @@ def aligned_ratio(num: DataFrame, den: DataFrame, keys: Sequence[str], value: st
     return a.join(b, list(keys), "full_outer").select(*keys, (F.col("_num") / F.col("_den")).alias("ratio"))
 
 
-def scenario_grid(*lists: DataFrame) -> DataFrame:
-    """Every combination of a few short lists."""
-    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), lists)
+def scenario_grid(df: DataFrame, **lists: Sequence) -> DataFrame:
+    """Every row with every combination of a few short lists of values.
+
+    The lists are exploded row by row: no join and no shuffle.
+    """
+    for name, values in lists.items():
+        df = df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
+    return df
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

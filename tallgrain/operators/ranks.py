@@ -13,6 +13,8 @@ import math
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -55,16 +57,24 @@ class ValueGrid:
         return self.groups * per_group <= SMALL_GROUPS
 
 
+def _missing(df: DataFrame, col: str) -> Column:
+    """Null, or NaN in a floating-point column."""
+    null = F.col(col).isNull()
+    return null | F.isnan(col) if dict(df.dtypes)[col] in ("double", "float") else null
+
+
 def present(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Rows with a value in all columns; NaN counts as missing.  The null tests reach the scan."""
-    kinds = dict(df.dtypes)
+    """Rows with a value in all columns."""
     for c in dict.fromkeys(cols):
-        df = df.filter(F.col(c).isNotNull())
-        if kinds[c] in ("double", "float"):
-            df = df.filter(~F.isnan(c))
+        df = df.filter(~_missing(df, c))
     return df
 
 
+def absent(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The other rows."""
+    return df.filter(reduce(or_, [_missing(df, c) for c in dict.fromkeys(cols)]))
+
+
 def number(df: DataFrame, col: str) -> Column:
     """An order-preserving double for numbers, dates and timestamps."""
     kind = dict(df.dtypes)[col]
@@ -220,7 +230,8 @@ def group_rank(
     """Rank of every row's value inside its group.
 
     ``avg``: ties share the mean of their places; ``min``: the first of them; ``max``: the
-    last; ``dense``: number of smaller distinct values plus one.
+    last; ``dense``: number of smaller distinct values plus one.  Rows without a value or
+    group stay, with a null rank.
     """
     keys = [*by, order_by]
     grid = value_grid(present(df, keys), [order_by], by, ranges)
@@ -233,7 +244,10 @@ def group_rank(
         "dense": F.col("_one_before") + 1 if distinct else None,
     }[method]
     table = ties.select(*keys, F.col("n").alias("_n"), picked.alias(out))
-    return lookup_join(df, table, keys, order_by, "_n", grid).drop("_n")
+    ranked = lookup_join(present(df, keys), table, keys, order_by, "_n", grid).drop("_n")
+    kind = dict(ranked.dtypes)[out]
+    unranked = absent(df, keys).withColumn(out, F.lit(None).cast(kind))
+    return ranked.select(*df.columns, out).unionByName(unranked)
 
 
 def global_rank(df: DataFrame, order_by: str, method: str = "avg", out: str = "rank") -> DataFrame:
@@ -249,7 +263,7 @@ def row_slice(
 ) -> DataFrame:
     """Rows by position in the order of a unique key, columns by position."""
     placed = group_rank(df, order_by, (), "min", "_place")
-    test = F.col("_place") > start
+    test = F.col("_place") > start  # a null place never passes
     if stop is not None:
         test = test & (F.col("_place") <= stop)
     names = [df.columns[i] for i in cols] if cols is not None else df.columns

@@ -32,9 +32,9 @@ def test_group_rank(spark, data, partitions, shuffle, method):
     pdf, df = data
     partitions(shuffle)
     got = R.group_rank(df, "v", ["g"], method).toPandas().set_index("id")["rank"].sort_index()
-    want = pdf.dropna().groupby("g")["v"].rank("average" if method == "avg" else method)
-    assert len(got) == len(want)
-    assert np.allclose(got.to_numpy(float), want.to_numpy(float))
+    want = pdf.groupby("g")["v"].rank("average" if method == "avg" else method)
+    assert len(got) == len(want) and got.isna().sum() == pdf["v"].isna().sum() > 0
+    assert np.allclose(got.to_numpy(float), want.to_numpy(float), equal_nan=True)
 
 
 def test_frequent_value_takes_the_broadcast(spark, data, partitions):
