@@ -87,6 +87,24 @@ def _(t):
     return L.coef_table(t.spark, model)
 
 
+@query(
+    "logistic_optimum",
+    """select * from (values ('Intercept', 0.0::double), ('size_thousands', 0.0), ('share_blank', 0.0),
+       ('is_en', 0.0), ('source_no', 0.0)) v(feature, gradient)""",
+)
+def _(t):
+    """At the solution the gradient of summed loss plus half the squared coefficients is zero."""
+    model, df = quality_model(t)
+    off = model.positive_probability() - F.col("quality")
+    n = F.count(F.lit(1))
+    parts = [F.struct(F.lit("Intercept").alias("feature"), (F.sum(off) / n).alias("g"))]
+    for f, w in zip(model.features, model.coefs[0]):
+        parts.append(F.struct(F.lit(f).alias("feature"), ((F.sum(off * F.col(f)) + w) / n).alias("g")))
+    found = df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
+    # adding zero turns a rounded minus zero into zero
+    return found.select("feature", (F.round("g", 3) + F.lit(0.0)).alias("gradient"))
+
+
 @query("predict_probability")
 def _(t):
     model, df = quality_model(t)

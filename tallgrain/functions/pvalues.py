@@ -6,11 +6,15 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import distributions as D
 
+# the helpers travel with the function: executors need not have this package installed
+cloudpickle.register_pickle_by_value(D)
+
 
 def _column(fn):
     """A pandas UDF applying ``fn`` to each group's few numbers; missing input gives null."""

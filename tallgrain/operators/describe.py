@@ -38,14 +38,13 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
 
 def column_stats(df: DataFrame, col: str) -> DataFrame:
     """sum, min, max, non-null count, mean and exact median of one column."""
-    base = df.agg(
+    return df.agg(
         F.sum(col).alias("sum"),
         F.min(col).alias("min"),
         F.max(col).alias("max"),
         F.count(col).alias("count"),
         F.avg(col).alias("mean"),
-    )
-    return base.crossJoin(quantiles_wide(df, col, {"median": 0.5}))
+    ).withColumn("median", quantiles_wide(df, col, {"median": 0.5}).scalar())
 
 
 def mean_median_by(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
@@ -70,13 +69,14 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     df = present(df, [col, *by])
     grid = value_grid(df, [col], by)
     quart = quantiles_wide(df, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by, grid=grid)
-    if not by:
-        quart = df.sparkSession.createDataFrame(quart.collect(), quart.schema)  # one row
-    fences = quart.withColumns({"iqr": F.col("q3") - F.col("q1")}).withColumns(
+    if by:
+        joined = df.join(F.broadcast(quart) if grid.small() else quart, by)
+    else:
+        row = quart.first()
+        joined = df.withColumns({c: F.lit(row[c]).cast("double") for c in quart.columns})
+    joined = joined.withColumn("iqr", F.col("q3") - F.col("q1")).withColumns(
         {"_low": F.col("q1") - 1.5 * F.col("iqr"), "_high": F.col("q3") + 1.5 * F.col("iqr")}
     )
-    near = F.broadcast(fences) if grid.small() else fences
-    joined = df.join(near, by) if by else df.crossJoin(near)
     inside = F.col(col).between(F.col("_low"), F.col("_high"))
     # the quartiles are constant per group: they ride along as keys of a pre-aggregated group
     return (

@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _keyless(keys: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(c).isNull() for c in keys])
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
-    """Keys holding at least ``share`` of all rows: never more than ``1 / share`` of them."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    """Keys holding at least ``share`` of the rows with a key: at most ``1 / share`` of them."""
+    counted = df.filter(~_keyless(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counted.agg(F.sum("_n"))
     return counted.filter(F.col("_n") >= total.scalar() * share).select(*keys)
 
@@ -22,17 +28,24 @@ def spread_join(
     how: str = "inner",
     share: float = 0.01,
 ) -> DataFrame:
-    """Join facts to a table with unique keys when some key may hold much of the facts.
+    """Inner or left join of facts to a table with unique keys, safe for any spread of keys.
 
     The few hot keys are met by a broadcast of their lines (at most ``1 / share``); the other
-    rows take a normal join.  Both parts together are the whole result.
+    rows take a normal join.  Rows without a key match nothing and are not shuffled: a left
+    join keeps them as they are.  All parts together are the whole result.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type {how!r}")
     on = list(on)
+    keyed = facts.filter(~_keyless(on))
     hot = F.broadcast(hot_keys(facts, on, share))
     hot_lines = F.broadcast(dims.join(hot, on, "left_semi"))
-    frequent = facts.join(hot, on, "left_semi").join(hot_lines, on, how)
-    rest = facts.join(hot, on, "left_anti").join(dims, on, how)
-    return frequent.unionByName(rest)
+    frequent = keyed.join(hot, on, "left_semi").join(hot_lines, on, how)
+    rest = keyed.join(hot, on, "left_anti").join(dims, on, how)
+    joined = frequent.unionByName(rest)
+    if how == "inner":
+        return joined
+    return joined.unionByName(facts.filter(_keyless(on)), allowMissingColumns=True)
 
 
 def aligned_ratio(num: DataFrame, den: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

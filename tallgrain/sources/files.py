@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,6 +129,10 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "error") ->
 
 
 def write_result(df: DataFrame, base: str, mode: str = "error") -> None:
-    """The same rows as CSV (with header) and as JSON lines."""
-    df.write.mode(mode).option("header", True).csv(f"{base}_csv")
-    df.write.mode(mode).json(f"{base}_json")
+    """The same rows as CSV (with header) and as JSON lines, worked out once."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        kept.write.mode(mode).option("header", True).csv(f"{base}_csv")
+        kept.write.mode(mode).json(f"{base}_json")
+    finally:
+        kept.unpersist()

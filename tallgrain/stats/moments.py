@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,13 @@ def _grouped(df: DataFrame, by: Sequence[str]):
     return present(df, by).groupBy(*by)
 
 
+def side_by_side(by: Sequence[str], *tables: DataFrame) -> DataFrame:
+    """Tables of one row per group and different numeric columns as one such table."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    names = [c for c in stacked.columns if c not in by]
+    return stacked.groupBy(*by).agg(*[F.max(c).alias(c) for c in names])
+
+
 def skewness(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Biased (population) skewness, one column per input column."""
     return _grouped(df, by).agg(*[F.skewness(c).alias(c) for c in cols])
@@ -102,7 +110,7 @@ def levene(
         F.count("_z").alias("n"), F.avg("_z").alias("m"), F.var_pop("_z").alias("v")
     )
     grand = per_group.groupBy(*by).agg((F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"))
-    joined = per_group.join(grand, list(by)) if by else per_group.crossJoin(F.broadcast(grand))
+    joined = per_group.join(grand, list(by)) if by else per_group.withColumn("grand", grand.scalar())
     sums = joined.groupBy(*by).agg(
         F.sum("n").alias("n"),
         F.count(F.lit(1)).alias("k"),

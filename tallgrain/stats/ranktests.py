@@ -22,7 +22,7 @@ from ..operators.ranks import (
     tie_table,
     value_grid,
 )
-from .moments import with_corr_p
+from .moments import side_by_side, with_corr_p
 
 # Places one line of the normality test sums at most; longer runs of ties are split.
 PLACES_PER_LINE = 100_000
@@ -61,7 +61,7 @@ def wilcoxon(
     ranks = table.groupBy(*by).agg(
         F.sum("n").alias("n_used"), F.sum(F.col("positive") * F.col("rank")).alias("w"), _ties()
     )
-    out = sizes.join(ranks, by, "left") if by else sizes.crossJoin(ranks)
+    out = side_by_side(by, sizes, ranks)
     n = F.col("n_rows").cast("double")
     z = (F.col("w") - n * (n + 1) / 4) / F.sqrt(n * (n + 1) * (2 * n + 1) / 24)
     out = out.withColumn("effect_r", z / F.sqrt(n))
@@ -160,8 +160,10 @@ def median_table(
     some = present(df.filter(F.col(group).isin(a, b)), [value, *by]).select(*by, group, value)
     grid = grid or value_grid(some, [value], by)
     middle = quantiles_wide(some, value, {"median": 0.5}, by, grid=grid)
-    near = F.broadcast(middle) if grid.small() else middle
-    both = some.join(near, by) if by else some.crossJoin(near)
+    if by:
+        both = some.join(F.broadcast(middle) if grid.small() else middle, by)
+    else:
+        both = some.withColumn("median", middle.scalar())
     v, m = F.col(value), F.col("median")
     return both.groupBy(*by, "median").agg(
         F.count_if((F.col(group) == a) & (v > m)).alias("above_a"),
@@ -279,7 +281,7 @@ def shapiro(
         at(total).alias("y1"),
     )
     spread = some.groupBy(*by).agg((F.var_pop("_v") * F.count("_v")).alias("ss"))
-    both = sums.join(spread, by) if by else sums.crossJoin(spread)
+    both = side_by_side(by, sums, spread)
     w = P.shapiro_stat(
         *[F.col(c) for c in ("n", "score_sq", "score_x", "ss", "x1", "x2", "y2", "y1")]
     )
