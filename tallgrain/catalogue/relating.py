@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import joins as J
 from ..operators import reshape as S
+from ..operators.counts import rounded_mean
 from ..operators.ranks import group_rank
 from . import query
 
@@ -22,16 +23,17 @@ def _(t):
 
 @query(
     "join_using_grouped",
-    """select n_name, count(*) as num_customers, round(avg(c_acctbal), 2) as avg_balance
-       from customer join nation on c_nationkey = n_nationkey group by 1""",
+    """select n_name, n as num_customers, sign(s) * ((2 * abs(s) + n) // (2 * n)) / 100.0 as avg_balance
+       from (select n_name, count(*) as n, sum(round(c_acctbal * 100)::bigint)::bigint as s
+             from customer join nation on c_nationkey = n_nationkey group by 1)""",
 )
 def _(t):
     # counted per key before the join: a nation is one row in it, however many customers it has
     per_key = t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
-        F.count(F.lit(1)).alias("num_customers"), F.avg("c_acctbal").alias("mean")
+        F.count(F.lit(1)).alias("num_customers"), rounded_mean("c_acctbal").alias("avg_balance")
     )
     joined = per_key.join(t.nation.select("n_nationkey", "n_name"), ["n_nationkey"])
-    return joined.select("n_name", "num_customers", F.round("mean", 2).alias("avg_balance"))
+    return joined.select("n_name", "num_customers", "avg_balance")
 
 
 @query(

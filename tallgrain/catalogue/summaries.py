@@ -47,14 +47,13 @@ def _(t):
 
 @query(
     "groups_having_count",
-    """select l_suppkey, count(*) as num_rows, round(avg(l_quantity), 2) as avg_quantity
+    """select l_suppkey, count(*) as num_rows,
+              ((200 * sum(l_quantity::bigint) + count(*)) // (2 * count(*)))::bigint / 100.0 as avg_quantity
        from lineitem group by l_suppkey having count(*) > 4
        order by avg_quantity desc, l_suppkey limit 10""",
 )
 def _(t):
-    found = K.having_more(
-        t.lineitem, ["l_suppkey"], {"avg_quantity": F.round(F.avg("l_quantity"), 2)}, 4
-    )
+    found = K.having_more(t.lineitem, ["l_suppkey"], {"avg_quantity": K.rounded_mean("l_quantity")}, 4)
     return C.top_k(found, "avg_quantity", 10, ["l_suppkey"])
 
 
@@ -337,18 +336,19 @@ def _(t):
 @query(
     "averaged_tables_difference",
     """select year, l.n_lines, o.n_orders, l.avg_qty, o.avg_price, round(l.avg_qty - o.avg_price, 2) as diff from
-         (select year(l_shipdate)::int as year, count(*) as n_lines, round(avg(l_quantity), 2) as avg_qty
+         (select year(l_shipdate)::int as year, count(*) as n_lines, ((200 * sum(l_quantity::bigint) + count(*)) // (2 * count(*)))::bigint / 100.0 as avg_qty
           from lineitem group by 1) l join
-         (select year(o_orderdate)::int as year, count(*) as n_orders, round(avg(o_totalprice) / 1000, 2) as avg_price
+         (select year(o_orderdate)::int as year, count(*) as n_orders, ((2 * sum(round(o_totalprice * 100)::bigint) + 1000 * count(*)) // (2000 * count(*)))::bigint / 100.0 as avg_price
           from orders group by 1) o using (year)
        where avg_qty > 25.4 or avg_price > 120 order by year""",
 )
 def _(t):
     lines = t.lineitem.groupBy(F.year("l_shipdate").alias("year")).agg(
-        F.count(F.lit(1)).alias("n_lines"), F.round(F.avg("l_quantity"), 2).alias("avg_qty")
+        F.count(F.lit(1)).alias("n_lines"), K.rounded_mean("l_quantity").alias("avg_qty")
     )
     orders = t.orders.groupBy(F.year("o_orderdate").alias("year")).agg(
-        F.count(F.lit(1)).alias("n_orders"), F.round(F.avg("o_totalprice") / 1000, 2).alias("avg_price")
+        F.count(F.lit(1)).alias("n_orders"),
+        K.rounded_mean("o_totalprice", per=1000).alias("avg_price"),
     )
     both = lines.join(orders, ["year"]).filter((F.col("avg_qty") > 25.4) | (F.col("avg_price") > 120))
     return both.withColumn("diff", F.round(F.col("avg_qty") - F.col("avg_price"), 2)).orderBy("year")
