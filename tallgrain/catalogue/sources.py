@@ -12,7 +12,7 @@ from ..sources import files as S
 from ..sources.script import run_script
 from ..sources.synth import synth_products
 from ..sources.tables import ensure_database, table_or_empty, write_table
-from ..streaming.ingest import ingest_new
+from ..streaming.ingest import ingest_counts, ingest_new, read_counts
 from . import query
 from .cleaning import HASHED
 
@@ -199,3 +199,31 @@ def _(t):
     start = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
     micros = F.timestamp_diff("MICROSECOND", start, F.col("ts"))
     return t.spark.read.parquet(target).withColumn("ts", micros)
+
+
+@query("ingest_counts", "select event_type, count(*) as n from events where value > 1 group by 1")
+def _(t):
+    """Counts of new files only, over several batches and three runs."""
+    root = shared_dir(t.spark, "counts")
+    source, target, mark = f"{root}/in", f"{root}/out", f"{root}/checkpoint"
+    events, keys = t.events, ["event_type"]
+    odd = F.col("event_id") % 2 == 1
+
+    def load():
+        ingest_counts(
+            t.spark,
+            source,
+            target,
+            mark,
+            events.schema,
+            keys,
+            prepare=lambda rows: rows.filter(F.col("value") > 1),
+            max_files=1,
+        )
+
+    events.filter(~odd).write.mode("append").parquet(source)
+    load()
+    load()
+    events.filter(odd).write.mode("append").parquet(source)
+    load()
+    return read_counts(t.spark, target, keys)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -45,3 +46,44 @@ def ingest_new(
     run = writer.start(target)
     run.awaitTermination()
     return sum(p["numInputRows"] for p in run.recentProgress)
+
+
+def ingest_counts(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    schema: T.StructType | str,
+    keys: list[str],
+    fmt: str = "parquet",
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    max_files: int | None = None,
+) -> None:
+    """Count the rows of new files per key, without keeping or re-reading the rows.
+
+    Every batch writes its counts into a folder of its own and replaces that folder if it is
+    run again, so a batch that failed half-way is never counted twice.
+    """
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    rows = reader.load(source)
+    if prepare is not None:
+        rows = prepare(rows)
+
+    def write(batch: DataFrame, number: int) -> None:
+        counted = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        counted.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    run = (
+        rows.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+
+
+def read_counts(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
+    """Counts per key over all batches so far."""
+    return spark.read.parquet(target).groupBy(*keys).agg(F.sum("n").alias("n"))

@@ -106,3 +106,15 @@ def test_dates_and_timestamps_have_places(spark):
     )
     assert [r["id"] for r in R.row_slice(df, "ts", 0, 1).collect()] == [2]
     assert [r["id"] for r in R.row_slice(df, "d", 0, 1).collect()] == [1]
+
+
+def test_no_range_holds_a_whole_group(spark, data, partitions):
+    """The largest (group, range) has a small share of the counted values."""
+    _, df = data
+    partitions(16)
+    some = R.present(df, ["v", "g"])
+    grid = R.value_grid(some, ["v"], ["g"], ranges=16)
+    counted = some.groupBy("g", "v").count()
+    sizes = R.with_range(counted, "v", grid.edges["v"]).groupBy("g", "_range").count()
+    shares = sizes.agg(F.max("count") / F.sum("count")).first()[0]
+    assert shares < 0.25

@@ -7,7 +7,7 @@ import pytest
 from tallgrain.plans.staging import BEHAVIOUR_SCHEMA, Source, stage_all
 from tallgrain.session import shared_root
 from tallgrain.sources import files, script, tables
-from tallgrain.streaming.ingest import ingest_new
+from tallgrain.streaming.ingest import ingest_counts, ingest_new, read_counts
 
 from .conftest import rows
 
@@ -106,6 +106,16 @@ def test_ingest_loads_each_file_once(spark, tmp_path):
     assert spark.read.parquet(out).count() == 125
 
 
+def test_ingest_counts_in_batches(spark, tmp_path):
+    src, out, mark = (f"{tmp_path}/{d}" for d in ("in", "out", "mark"))
+    spark.range(0, 90, 1, 3).selectExpr("id % 2 as k").write.parquet(src)
+    ingest_counts(spark, src, out, mark, "k bigint", ["k"], max_files=1)
+    ingest_counts(spark, src, out, mark, "k bigint", ["k"], max_files=1)
+    spark.range(7).selectExpr("id % 2 as k").write.mode("append").parquet(src)
+    ingest_counts(spark, src, out, mark, "k bigint", ["k"])
+    assert rows(read_counts(spark, out, ["k"])) == [(0, 49), (1, 48)]
+
+
 def test_staging(spark, tmp_path):
     people = put(tmp_path / "people.csv", "cliente_id,pais\nCL001,CO\nbroken\n")
     done = stage_all(
