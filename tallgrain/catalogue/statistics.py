@@ -17,6 +17,36 @@ def measured(t):
     return t.events.select("event_id", "event_type", "user_id", "value", k.alias("k"))
 
 
+# Upper tails for the SQL side, by plain integration of the density over u in (0, 1), x = |z| + u / (1 - u)
+TAIL = "(select sum({density} / pow(1 - u, 2)) / 20000 from (select (i + 0.5) / 20000 as u from range(20000) r(i)))"
+
+
+def normal_tail_sql(z):
+    x = f"(abs({z}) + u / (1 - u))"
+    return TAIL.format(density=f"exp(-{x} * {x} / 2) / sqrt(2 * pi())")
+
+
+def t_tail_sql(t, nu):
+    x = f"(abs({t}) + u / (1 - u))"
+    return TAIL.format(
+        density=f"exp(lgamma(({nu} + 1) / 2.0) - lgamma({nu} / 2.0) - ln({nu} * pi()) / 2"
+        f" - ({nu} + 1) / 2.0 * ln(1 + {x} * {x} / {nu}))"
+    )
+
+
+def f_tail_sql(f, a, b):
+    x = f"(abs({f}) + u / (1 - u))"
+    return TAIL.format(
+        density=f"exp(lgamma(({a} + {b}) / 2.0) - lgamma({a} / 2.0) - lgamma({b} / 2.0)"
+        f" + {a} / 2.0 * ln({a} / ({b})::double) + ({a} / 2.0 - 1) * ln({x})"
+        f" - ({a} + {b}) / 2.0 * ln(1 + {a} * {x} / {b}))"
+    )
+
+
+def greater_sql(tail, z):
+    return f"round(case when {z} >= 0 then {tail} else 1 - {tail} end, 6)"
+
+
 E = "(select *, cast(json_extract_string(props, '$.k') as int) as k from events)"
 
 
@@ -45,9 +75,20 @@ def _(t):
     return rounded(found, ["mean_diff", "sd_diff", "cohen_d", "t"])
 
 
-@query("ttest_paired_p")
+@query(
+    "ttest_paired_p",
+    f"""select event_type, {greater_sql(t_tail_sql("t", "nu"), "t")} as greater,
+               round(2 * {t_tail_sql("t", "nu")}, 6) as two_sided
+        from (select event_type, avg(value - k) / stddev_samp(value - k) * sqrt(count(*)) as t, count(*) - 1 as nu
+              from {E} group by 1)""",
+)
 def _(t):
-    return M.ttest_rel(measured(t), "value", "k", ["event_type"])
+    m = measured(t)
+    greater = M.ttest_rel(m, "value", "k", ["event_type"])
+    both = M.ttest_rel(m, "value", "k", ["event_type"], alternative="two-sided")
+    return greater.select("event_type", F.round("p_value", 6).alias("greater")).join(
+        both.select("event_type", F.round("p_value", 6).alias("two_sided")), ["event_type"]
+    )
 
 
 WILCOXON = """with d as (select event_type, {x} as x, n_all from (select *, count(*) over (partition by event_type) as n_all
@@ -87,10 +128,18 @@ def _(t):
     )
 
 
-@query("wilcoxon_p")
+@query(
+    "wilcoxon_p",
+    f"""with d as (select event_type, value - k as x from {E} where value <> k),
+        v as (select event_type, abs(x) as a, count(*)::double as t, count(*) filter (x > 0) as pos from d group by 1, 2),
+        r as (select *, sum(t) over (partition by event_type order by a) - t + (t + 1) / 2 as r from v),
+        w as (select event_type, sum(t) as n, sum(pos * r) as w, sum(t * t * t - t) as ties from r group by 1),
+        z as (select event_type, (w - n * (n + 1) / 4) / sqrt(n * (n + 1) * (2 * n + 1) / 24 - ties / 48) as z from w)
+        select event_type, {greater_sql(normal_tail_sql("z"), "z")} as p_value from z""",
+)
 def _(t):
     m = measured(t).withColumn("diff", F.col("value") - F.col("k"))
-    return T.wilcoxon(m, "diff", ["event_type"])
+    return rounded(T.wilcoxon(m, "diff", ["event_type"]), ["p_value"]).select("event_type", "p_value")
 
 
 BUCKET = "user_id % 3"
@@ -118,9 +167,21 @@ def _(t):
     return found.select("bucket", "n_a", "n_b", F.col("u").cast("double").alias("u"))
 
 
-@query("mannwhitney_p")
+@query(
+    "mannwhitney_p",
+    f"""with v as (select ({BUCKET})::int as bucket, value, count(*)::double as t, count(*) filter (event_type = 'view') as a,
+                       count(*) filter (event_type = 'purchase') as b from events
+               where event_type in ('view', 'purchase') group by 1, 2),
+        r as (select *, sum(b) over (partition by bucket order by value) - b as below from v),
+        s as (select bucket, sum(a)::double as na, sum(b)::double as nb, sum(a * (below + b / 2.0)) as u,
+                     sum(t * t * t - t) as ties from r group by 1),
+        z as (select bucket, (greatest(u, na * nb - u) - na * nb / 2 - 0.5)
+                / sqrt(na * nb / 12 * ((na + nb + 1) - ties / ((na + nb) * (na + nb - 1)))) as z from s)
+        select bucket, round(2 * {normal_tail_sql("z")}, 6) as p_value from z""",
+)
 def _(t):
-    return T.mannwhitney(bucketed(t), "value", "event_type", "view", "purchase", ["bucket"])
+    found = T.mannwhitney(bucketed(t), "value", "event_type", "view", "purchase", ["bucket"])
+    return rounded(found, ["p_value"]).select("bucket", "p_value")
 
 
 @query(
@@ -211,9 +272,20 @@ def _(t):
     return rounded(M.levene(t.events, "value", "event_type", p_value=False), ["w"])
 
 
-@query("levene_p")
+@query(
+    "levene_p",
+    f"""with l as (select event_type, 'value' as c, value as v from {E} union all select event_type, 'k', k from {E}),
+        z as (select event_type, c, abs(v - m) as z from l join
+                (select event_type, c, median(v) as m from l group by 1, 2) using (event_type, c)),
+        g as (select event_type, c, count(*) as n, avg(z) as m, var_pop(z) as v from z group by 1, 2),
+        a as (select event_type, sum(n * m) / sum(n) as grand, sum(n) as n, sum(n * v) as within from g group by 1),
+        w as (select event_type, a.n::bigint as n, (a.n - 2) * sum(g.n * pow(g.m - grand, 2)) / any_value(within) as w
+              from g join a using (event_type) group by event_type, a.n)
+        select event_type, n, round(w, 6) as w, round({f_tail_sql("w", "1", "(n - 2)")}, 6) as p_value from w""",
+)
 def _(t):
-    return M.levene_columns(measured(t), ["value", "k"], ["event_type"])
+    found = M.levene_columns(measured(t), ["value", "k"], ["event_type"])
+    return rounded(found, ["w", "p_value"]).drop("k")
 
 
 TTEST = """with s as (select (user_id % 3)::int as bucket, avg(value) filter (event_type = 'view') as ma,
@@ -233,9 +305,13 @@ def _(t):
     return rounded(found, ["cohen_d", "t"], 9).select("bucket", "n_a", "n_b", "cohen_d", "t", "effect")
 
 
-@query("ttest_independent_p")
+@query(
+    "ttest_independent_p",
+    f"""select bucket, n_a, n_b, round(2 * {t_tail_sql("t", "(n_a + n_b - 2)")}, 6) as p_value from ({TTEST})""",
+)
 def _(t):
-    return M.ttest_ind(bucketed(t), "value", "event_type", "view", "purchase", ["bucket"])
+    found = M.ttest_ind(bucketed(t), "value", "event_type", "view", "purchase", ["bucket"])
+    return rounded(found, ["p_value"]).select("bucket", "n_a", "n_b", "p_value")
 
 
 @query(
@@ -257,9 +333,7 @@ def _(t):
     return rounded(T.spearman(measured(t), "value", "k", ["event_type"], p_value=False), ["r"], 9)
 
 
-@query(
-    "correlation_matrix",
-    f"""with long as (select event_type, variable, measure, x, y from (
+MATRIX = f"""with long as (select event_type, variable, measure, x, y from (
           select event_type, 'two_valued' as variable, 'value' as measure, (user_id % 2)::double as x, value as y from {E}
           union all select event_type, 'two_valued', 'k', user_id % 2, k from {E}
           union all select event_type, 'ordered', 'value', user_id % 4, value from {E}
@@ -268,8 +342,10 @@ def _(t):
           ({SPEARMAN.format(by="event_type, variable, measure", source="long")})
         where not (variable = 'two_valued' and event_type = 'view' and measure = 'value')
         union all select event_type, variable, measure, 'Pearson', count(*), round(corr(x, y), 9) from long
-        where variable = 'two_valued' and event_type = 'view' and measure = 'value' group by all""",
-)
+        where variable = 'two_valued' and event_type = 'view' and measure = 'value' group by all"""
+
+
+@query("correlation_matrix", MATRIX)
 def _(t):
     return rounded(matrix(t, p_value=False), ["r"], 9)
 
@@ -287,9 +363,14 @@ def matrix(t, **how):
     )
 
 
-@query("correlation_summary")
+@query(
+    "correlation_summary",
+    f"""select event_type, variable, measure, method, n, r, p as p_value,
+          case when p < 0.05 then 'significant (p < 0.05)' else 'not significant (p >= 0.05)' end as interpretation
+        from (select *, round(2 * {t_tail_sql("(r * sqrt((n - 2) / (1 - r * r)))", "(n - 2)")}, 6) as p from ({MATRIX}))""",
+)
 def _(t):
-    return R.corr_summary(matrix(t))
+    return rounded(rounded(R.corr_summary(matrix(t)), ["r"], 9), ["p_value"])
 
 
 @query(
