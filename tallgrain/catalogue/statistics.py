@@ -50,7 +50,54 @@ def greater_sql(tail, z):
 E = "(select *, cast(json_extract_string(props, '$.k') as int) as k from events)"
 
 
-@query("shapiro")
+# Inverse normal for the SQL side: a published rational approximation (relative error 1e-9)
+# fixed values: its coefficients, highest power first
+MIDDLE = (
+    (-39.69683028665376, 220.9460984245205, -275.9285104469687, 138.3577518672690, -30.66479806614716, 2.506628277459239),
+    (-54.47609879822406, 161.5858368580409, -155.6989798598866, 66.80131188771972, -13.28068155288572, 1.0),
+)
+OUTER = (
+    (-0.007784894002430293, -0.3223964580411365, -2.400758277161838, -2.549732539343734, 4.374664141464968, 2.938163982698783),
+    (0.007784695709041462, 0.3224671290700398, 2.445134137142996, 3.754408661907416, 1.0),
+)
+# fixed values: weights of the largest and next value in the normality test, highest power first
+A_LAST = (-2.706056, 4.434685, -2.07119, -0.147981, 0.221157, 0.0)
+A_NEXT = (-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, 0.0)
+
+
+def poly_sql(coefs, x):
+    """A polynomial, highest power first, by Horner's rule."""
+    out = f"({coefs[0]!r}::double)"
+    for c in coefs[1:]:
+        out = f"({out} * {x} + ({c!r}::double))"
+    return out
+
+
+MID, LOW, HIGH = "(p - 0.5)", "sqrt(-2 * ln(p))", "sqrt(-2 * ln(1 - p))"
+SCORE = f"""case when p < 0.02425 then {poly_sql(OUTER[0], LOW)} / {poly_sql(OUTER[1], LOW)}
+   when p > 0.97575 then -{poly_sql(OUTER[0], HIGH)} / {poly_sql(OUTER[1], HIGH)}
+   else {poly_sql(MIDDLE[0], f"pow({MID}, 2)")} * {MID} / {poly_sql(MIDDLE[1], f"pow({MID}, 2)")} end"""
+
+
+@query(
+    "shapiro",
+    f"""with r as (select event_type, value as x, row_number() over (partition by event_type order by value) as i,
+                      count(*) over (partition by event_type) as n,
+                      value - avg(value) over (partition by event_type) as d from events),
+        m as (select *, {SCORE} as m from (select *, (i - 0.375) / (n + 0.25) as p from r)),
+        s as (select event_type, n, 1 / sqrt(n) as q, sum(m * m) as sq, sum(m * x) filter (i > 2 and i < n - 1) as inner_sum,
+                     sum(d * d) as ss, max(x) filter (i = 1) as x1, max(x) filter (i = 2) as x2,
+                     max(x) filter (i = n - 1) as y2, max(x) filter (i = n) as y1,
+                     max(m) filter (i = n) as m1, max(m) filter (i = n - 1) as m2 from m group by event_type, n),
+        a as (select *, {poly_sql(A_LAST, "q")} + m1 / sqrt(sq) as a1, {poly_sql(A_NEXT, "q")} + m2 / sqrt(sq) as a2 from s)
+        select event_type, n, round(pow(a1 * (y1 - x1) + a2 * (y2 - x2) + inner_sum
+                 / sqrt((sq - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2)), 2) / ss, 6) as w from a""",
+)
+def _(t):
+    return rounded(T.shapiro(t.events, "value", ["event_type"], p_value=False), ["w"])
+
+
+@query("shapiro_p")
 def _(t):
     return T.shapiro(t.events, "value", ["event_type"])
 

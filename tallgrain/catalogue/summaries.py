@@ -265,7 +265,8 @@ def _(t):
         "l_orderkey",
         ["l_extendedprice"],
         ["is_returned"],
-        ["l_shipdate", "l_partkey"],
+        ["l_shipdate"],
+        ["l_partkey"],
         ["l_shipdate", "l_partkey"],
     )
     found = found.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))

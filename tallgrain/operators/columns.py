@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -99,6 +98,3 @@ def first_by(df: DataFrame, order_by: Sequence[str], cols: Sequence[str]) -> Dat
 def with_default(c, default) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(default))
 
-
-def is_finite(value) -> bool:
-    return value is not None and math.isfinite(value)

@@ -10,23 +10,28 @@ from pyspark.sql import functions as F
 from .ranks import exact_quantiles, present, quantiles_wide, value_grid
 
 
-def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]
-    return df.select(*by, F.inline(F.array(*pairs)))
-
-
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """count, mean, std, min, quartiles and max; one row per group and column."""
+    """count, mean, std, min, quartiles and max; one row per group and column.
+
+    The moments are aggregated side by side and only the few results are turned into rows.
+    """
     by = list(by)
     df = present(df, by)
     keys = [*by, "column"]
-    moments = _long(df, cols, by).groupBy(*keys).agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    aggregates, lines = [], []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        parts = {
+            "count": F.count(x),
+            "mean": F.avg(x),
+            "std": F.stddev_samp(x),
+            "min": F.min(x),
+            "max": F.max(x),
+        }
+        aggregates += [a.alias(f"_{k}{i}") for k, a in parts.items()]
+        line = [F.col(f"_{k}{i}").alias(k) for k in parts]
+        lines.append(F.struct(F.lit(c).alias("column"), *line))
+    moments = df.groupBy(*by).agg(*aggregates).select(*by, F.inline(F.array(*lines)))
     places = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     quart = exact_quantiles(df, cols, list(places.values()), by).groupBy(*keys).agg(
         *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(k) for k, p in places.items()]
@@ -94,18 +99,24 @@ def collapse_by_key(
     key: str,
     mean: Sequence[str] = (),
     flags: Sequence[str] = (),
+    lowest: Sequence[str] = (),
     first: Sequence[str] = (),
     order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per key: means, flags by maximum, other columns from the first row in order."""
+    """One row per key: means, flags by maximum, ``lowest`` by minimum, others from the first row.
+
+    Only ``first`` needs a whole row to be kept per key; the rest is plain hash aggregation.
+    """
     picked = []
     if first:
-        ranked = F.struct(*(order_by or first))
-        picked = [F.min_by(F.struct(*first), ranked).alias("_first")]
+        picked = [F.min_by(F.struct(*first), F.struct(*(order_by or first))).alias("_first")]
     out = df.groupBy(key).agg(
-        *[F.avg(c).alias(c) for c in mean], *[F.max(c).alias(c) for c in flags], *picked
+        *[F.avg(c).alias(c) for c in mean],
+        *[F.max(c).alias(c) for c in flags],
+        *[F.min(c).alias(c) for c in lowest],
+        *picked,
     )
-    return out.select(key, *mean, *flags, "_first.*") if first else out
+    return out.select(key, *mean, *flags, *lowest, "_first.*") if first else out
 
 
 def approx_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -83,6 +83,3 @@ def cascade_delete(child: DataFrame, deleted: DataFrame, child_key: str, parent_
     """Children that remain once the given parents are deleted."""
     return child.join(deleted, child[child_key] == deleted[parent_key], "left_anti")
 
-
-def difference(a, b) -> Column:
-    return (F.col(a) if isinstance(a, str) else a) - (F.col(b) if isinstance(b, str) else b)

@@ -75,23 +75,21 @@ def prepare_behaviour(df: DataFrame) -> DataFrame:
 def prepare_products(df: DataFrame) -> DataFrame:
     """Clean names and values, then one row per client.
 
-    Numbers are averaged, flags take their maximum and the date parts come from the
-    earliest product.
+    Numbers are averaged, flags take their maximum and the date is that of the earliest
+    product; its parts are taken after the rows have been collapsed.
     """
     named = restore_names(collapse_names(normalize_names(df)), PRODUCT_KEYS)
     clean = drop_columns(named, ["nombre", "apellido", "ciudad", "producto_id"])
     opened = "fecha_apertura_servicio"
-    clean = date_parts(to_date10(clean, [opened]), [opened])
-    clean = to_number(clean, PRODUCT_NUMBERS)
+    clean = to_number(to_date10(clean, [opened]), PRODUCT_NUMBERS)
     clean = clean.withColumn("servicios_contratados", normalize_text("servicios_contratados"))
     encoder = OneHot(PRODUCT_LEVELS).fit(clean)
-    coded = encoder.transform(clean)
-    flags = encoder.column_names()
-    parts = [f"{p}_{opened}" for p in ("year", "month", "day") if f"{p}_{opened}" in coded.columns]
-    rest = [c for c in coded.columns if c not in ("cliente_id", *flags, *parts, *PRODUCT_NUMBERS)]
-    return collapse_by_key(
-        coded, "cliente_id", PRODUCT_NUMBERS, flags, [*parts, *rest], [*parts, *rest]
+    coded, flags = encoder.transform(clean), encoder.column_names()
+    rest = [c for c in coded.columns if c not in ("cliente_id", opened, *flags, *PRODUCT_NUMBERS)]
+    one = collapse_by_key(
+        coded, "cliente_id", PRODUCT_NUMBERS, flags, [opened], rest, [opened, *rest]
     )
+    return date_parts(one, [opened])
 
 
 def merge(loans: DataFrame, people: DataFrame, behaviour: DataFrame, products: DataFrame) -> DataFrame:

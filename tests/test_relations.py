@@ -89,7 +89,7 @@ def test_collapse_by_key(spark):
     df = spark.createDataFrame(
         [("k", 1.0, 0, "late", 9), ("k", 3.0, 1, "early", 2)], "k string, n double, f int, s string, o int"
     )
-    got = describe.collapse_by_key(df, "k", ["n"], ["f"], ["s"], ["o"])
+    got = describe.collapse_by_key(df, "k", ["n"], ["f"], [], ["s"], ["o"])
     assert rows(got) == [("k", 2.0, 1, "early")]
 
 
