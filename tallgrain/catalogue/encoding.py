@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import bins as B
 from ..operators import encode as E
+from ..operators.columns import schema_report
 from ..operators.impute import Impute, column_roles, impute_by_role
 from . import query
 
@@ -214,11 +215,17 @@ def _(t):
 
 @query(
     "column_roles",
-    """select * from (values ('price', 'numeric'), ('grade', 'categorical'), ('month_opened', 'date part'),
-       ('flag_f', 'one-hot')) v(column_name, role)""",
+    f"""with {GAPPY} select column_name, role, filled from
+          (select count(price) as a, count(grade) as b, count(month_opened) as c, count(flag_f) as d from gaps),
+          lateral (values ('price', 'numeric', a), ('grade', 'categorical', b), ('month_opened', 'date part', c),
+                          ('flag_f', 'one-hot', d)) v(column_name, role, filled)""",
 )
 def _(t):
-    roles = column_roles(gappy_orders(t), ["flag_"], "o_orderkey")
+    """Role of every column next to how many rows it fills."""
+    g = gappy_orders(t)
+    roles = column_roles(g, ["flag_"], "o_orderkey")
     rows = [(c, "one-hot") for c in roles.one_hot] + [(c, "date part") for c in roles.date_parts]
     rows += [(c, "numeric") for c in roles.numeric] + [(c, "categorical") for c in roles.categorical]
-    return t.spark.createDataFrame(rows, "column_name string, role string")
+    named = t.spark.createDataFrame(rows, "column_name string, role string")
+    filled = schema_report(g).select("column_name", F.col("non_null").alias("filled"))
+    return named.join(filled, ["column_name"])

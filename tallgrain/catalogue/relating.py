@@ -123,10 +123,10 @@ def _(t):
 
 @query(
     "append_rows",
-    "select r_regionkey, r_name from region union all select -1, 'Intercept'",
+    "select s_suppkey, s_name from supplier union all select -1, 'Intercept'",
 )
 def _(t):
-    return S.append_rows(t.region, [(-1, "Intercept")])
+    return S.append_rows(t.supplier.select("s_suppkey", "s_name"), [(-1, "Intercept")])
 
 
 @query(

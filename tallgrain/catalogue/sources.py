@@ -107,22 +107,25 @@ def _(t):
     return t.spark.table(table).drop("o_orderdate")
 
 
-@query(
-    "table_or_empty",
-    "select r_regionkey, r_name from region where false",
-)
+@query("table_or_empty", "select c_custkey, c_name, c_acctbal from customer")
 def _(t):
-    return table_or_empty(t.spark, f"missing_{uuid.uuid4().hex}", t.region.schema)
+    """A table that exists, and one that does not and gives no rows."""
+    root, name = shared_dir(t.spark, "db"), f"tallgrain_{uuid.uuid4().hex}"
+    ensure_database(t.spark, name, f"{root}/db")
+    some = t.customer.select("c_custkey", "c_name", "c_acctbal")
+    table = write_table(some, name, "customer", f"{root}/customer")
+    there = table_or_empty(t.spark, table, some.schema)
+    return there.unionByName(table_or_empty(t.spark, f"{name}.missing", some.schema))
 
 
 @query(
     "write_result_both_ways",
-    "select n_nationkey, n_name from nation union all select n_nationkey, n_name from nation",
+    "select s_suppkey, s_name from supplier union all select s_suppkey, s_name from supplier",
 )
 def _(t):
     base = shared_dir(t.spark, "result")
-    S.write_result(t.nation.select("n_nationkey", "n_name"), base)
-    schema = "n_nationkey int, n_name string"
+    S.write_result(t.supplier.select("s_suppkey", "s_name"), base)
+    schema = "s_suppkey bigint, s_name string"
     first = S.read_csv(t.spark, f"{base}_csv", schema).drop(S.CORRUPT)
     return first.unionByName(S.read_json(t.spark, f"{base}_json", schema).drop(S.CORRUPT))
 
@@ -153,13 +156,16 @@ def _(t):
 
 @query(
     "literal_table",
-    """select n_name, months, n_nationkey * months as total from nation,
-       (values (1), (3), (12)) v(months)""",
+    """select c_custkey, months, c_nationkey * months as total from customer,
+         (values ('BUILDING', 1), ('MACHINERY', 3), ('MACHINERY', 12)) v(segment, months)
+       where c_mktsegment = segment""",
 )
 def _(t):
-    months = t.spark.createDataFrame([(n, m) for n in range(25) for m in (1, 3, 12)], "n_nationkey int, months int")
-    joined = t.nation.join(months, ["n_nationkey"])
-    return joined.select("n_name", "months", (F.col("n_nationkey") * F.col("months")).alias("total"))
+    """A small table written out in the program, joined to a given one."""
+    literal = [("BUILDING", 1), ("MACHINERY", 3), ("MACHINERY", 12)]
+    months = t.spark.createDataFrame(literal, "c_mktsegment string, months int")
+    joined = t.customer.join(F.broadcast(months), ["c_mktsegment"])
+    return joined.select("c_custkey", "months", (F.col("c_nationkey") * F.col("months")).alias("total"))
 
 
 @query(
