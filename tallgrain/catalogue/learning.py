@@ -234,3 +234,48 @@ def _(t):
 def _(t):
     scored = fixed_model().score(order_features(t))
     return rounded(prediction_report(scored, "month", "urgent", [2, 12]), ["mean_probability"], 9)
+
+
+@query(
+    "cluster_assignment",
+    """select l_orderkey, l_linenumber, l_partkey,
+         case when a <= b and a <= c then 0 when b <= c then 1 else 2 end as cluster_pred
+       from (select *, pow(x + 1, 2) + pow(y + 0.5, 2) as a, pow(x, 2) + pow(y - 1, 2) as b,
+                    pow(x - 1, 2) + pow(y + 0.25, 2) as c
+             from (select l_orderkey, l_linenumber, l_partkey, (l_quantity - 25) / 14 as x, l_discount * 20 - 1 as y
+                   from lineitem))""",
+)
+def _(t):
+    """Rows to the nearest of given centres."""
+    points = t.lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        ((F.col("l_quantity") - 25) / 14).alias("x"),
+        (F.col("l_discount") * 20 - 1).alias("y"),
+    )
+    number = K.nearest(["x", "y"], [(-1, -0.5), (0, 1), (1, -0.25)])
+    return points.withColumn("cluster_pred", number).drop("x", "y")
+
+
+@query(
+    "softmax_prediction",
+    """select vec_id, round(list_max(e) / list_sum(e), 6) as top_probability,
+              (list_position(e, list_max(e)) * 10)::double as prediction
+       from (select vec_id, [exp(0.1 + 2 * x - y), exp(-0.2 - x + 3 * y), exp(0.3 * x + 0.1 * y)] as e
+             from (select vec_id, embedding[1]::double as x, embedding[2]::double as y from embeddings))""",
+)
+def _(t):
+    """A three-class model with known coefficients."""
+    xy = t.embeddings.select(
+        "vec_id",
+        F.col("embedding")[0].cast("double").alias("x"),
+        F.col("embedding")[1].cast("double").alias("y"),
+    )
+    model = L.LogisticModel(
+        ["x", "y"], [10.0, 20.0, 30.0], [0.1, -0.2, 0.0], [[2.0, -1.0], [-1.0, 3.0], [0.3, 0.1]]
+    )
+    scored = model.transform(xy)
+    return scored.select(
+        "vec_id", F.round(F.array_max("probability"), 6).alias("top_probability"), "prediction"
+    )

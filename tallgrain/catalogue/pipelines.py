@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..learn.logreg import LogisticModel
+from ..learn.scaler import ColumnScaler
+from ..learn.scoring import ScoringModel
 from ..operators.joins import spread_join
 from ..plans import absence as A
 from ..plans import customer360 as C
@@ -313,6 +316,52 @@ def _(t):
     return A.absence_report(A.score_absence(absences(t), model, ["ID"]))
 
 
+def known_absence_model():
+    scaler = ColumnScaler(["Reason_4", "Month_value", "Transportation Expense", "Age", "Body Mass Index", "Children", "Pets"])
+    scaler.stats = {
+        "Reason_4": (0.6, 0.5),
+        "Month_value": (6.5, 3.5),
+        "Transportation Expense": (220.0, 67.0),
+        "Age": (36.0, 6.5),
+        "Body Mass Index": (27.0, 4.25),
+        "Children": (1.0, 1.0),
+        "Pets": (0.75, 1.25),
+    }
+    weights = [2.8, 0.9, 3.1, 0.8, 0.16, 0.6, -0.17, 0.27, -0.21, 0.35, -0.28]
+    return ScoringModel(scaler, LogisticModel(A.MODEL_FEATURES, [0.0, 1.0], [-1.6], [weights]))
+
+
+ABSENCE_SCORES = """(select *, 1 / (1 + exp(-(-1.6 + 2.8 * "Reason_1" + 0.9 * "Reason_2" + 3.1 * "Reason_3"
+     + 0.8 * ("Reason_4" - 0.6) / 0.5 + 0.16 * ("Month_value" - 6.5) / 3.5 + 0.6 * ("Transportation Expense" - 220) / 67
+     - 0.17 * ("Age" - 36) / 6.5 + 0.27 * ("Body Mass Index" - 27) / 4.25 - 0.21 * "Education"
+     + 0.35 * ("Children" - 1) / 1 - 0.28 * ("Pets" - 0.75) / 1.25))) as p
+   from (select o_orderkey as "ID", (o_custkey % 29 between 1 and 14)::int as "Reason_1",
+      (o_custkey % 29 between 15 and 17)::int as "Reason_2", (o_custkey % 29 between 18 and 21)::int as "Reason_3",
+      (o_custkey % 29 >= 22)::int as "Reason_4", month(o_orderdate)::int as "Month_value",
+      (o_orderkey % 271 + 118)::int as "Transportation Expense", (o_custkey % 32 + 27)::int as "Age",
+      (o_orderkey % 20 + 19)::int as "Body Mass Index", (o_custkey % 4 > 0)::int as "Education",
+      (o_orderkey % 5)::int as "Children", (o_custkey % 6)::int as "Pets" from orders))"""
+
+
+@query(
+    "absence_scores_known_model",
+    f"""select * exclude (p), round(p, 9) as "Probability", (p > 0.5)::int as "Prediction" from {ABSENCE_SCORES}""",
+)
+def _(t):
+    """Raw records to features, probability and prediction with given coefficients."""
+    return rounded(A.score_absence(absences(t), known_absence_model(), ["ID"]), ["Probability"], 9)
+
+
+@query(
+    "absence_report_known_model",
+    f"""select "Age", round(avg(p), 9) as mean_probability, max("Reason_1") as "max_Reason_1", count(*) as n_rows
+        from {ABSENCE_SCORES} group by 1""",
+)
+def _(t):
+    scored = A.score_absence(absences(t), known_absence_model(), ["ID"])
+    return rounded(A.absence_report(scored), ["mean_probability"], 9)
+
+
 DOMAINS = {"control": ("k", "value"), "flexibility": ("half", "value")}
 
 
