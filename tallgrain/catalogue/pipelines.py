@@ -378,6 +378,68 @@ SCORES = """(select event_type as "group", 'control' as domain, k::double as pre
              union all select event_type, 'flexibility', k / 2.0, value from e)"""
 
 
+EXPERIMENT = """with e as (select *, cast(json_extract_string(props, '$.k') as int) as k from events),
+   l as (select domain, "group" as g, pre, post, post - pre as d from """ + SCORES + """),
+   two as (select * from l where g in ('purchase', 'error')),
+   paired as (select domain, g, count(*) as n, avg(d) / stddev_samp(d) * sqrt(count(*)) as s from l group by 1, 2),
+   linear as (select domain, g, count(*) as n, corr(pre, post) as s from l group by 1, 2),
+   ranked as (select domain, g, rank() over (partition by domain, g order by pre)
+                + (count(*) over (partition by domain, g, pre) - 1) / 2.0 as a,
+              rank() over (partition by domain, g order by post)
+                + (count(*) over (partition by domain, g, post) - 1) / 2.0 as b from l),
+   monotone as (select domain, g, count(*) as n, corr(a, b) as s from ranked group by 1, 2),
+   logs as (select domain, g, ln(d) as x from l where d > 0 and d <> 1),
+   signed as (select domain, g, x, rank() over (partition by domain, g order by abs(x))
+                + (count(*) over (partition by domain, g, abs(x)) - 1) / 2.0 as r from logs),
+   wilcoxon as (select domain, g, count(*) as n, sum(r) filter (x > 0) as s from signed group by 1, 2),
+   moments as (select domain, count(*) filter (g = 'purchase') as na, count(*) filter (g = 'error') as nb,
+                 avg(d) filter (g = 'purchase') as ma, avg(d) filter (g = 'error') as mb,
+                 var_samp(d) filter (g = 'purchase') as va, var_samp(d) filter (g = 'error') as vb from two group by 1),
+   student as (select domain, na + nb as n, (ma - mb) / sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2)
+                 * (1 / na + 1 / nb)) as s from moments),
+   steps as (select domain, d, count(*) filter (g = 'purchase') as a, count(*) filter (g = 'error') as b from two group by 1, 2),
+   walk as (select *, sum(a) over w as ca, sum(b) over w as cb, sum(a) over (partition by domain) as na,
+              sum(b) over (partition by domain) as nb from steps window w as (partition by domain order by d)),
+   whitney as (select domain, sum(a + b)::bigint as n, sum(a * (cb - b + b / 2.0)) as s from walk group by 1),
+   smirnov as (select domain, sum(a + b)::bigint as n, max(abs(ca / na - cb / nb)) as s from walk group by 1),
+   places as (select domain, g, d, rank() over (partition by domain order by d)
+                + (count(*) over (partition by domain, d) - 1) / 2.0 as r,
+              count(*) over (partition by domain, d) as t from l),
+   sums as (select domain, g, count(*)::double as n, sum(r) as r, sum(t * t - 1.0) as ties from places group by 1, 2),
+   wallis as (select domain, sum(n)::bigint as n, (12 / (sum(n) * (sum(n) + 1)) * sum(r * r / n) - 3 * (sum(n) + 1))
+                / (1 - sum(ties) / (pow(sum(n), 3) - sum(n))) as s from sums group by 1),
+   middle as (select domain, median(d) as m from two group by 1),
+   cells as (select domain, count(*) filter (g = 'purchase' and d > m) as aa, count(*) filter (g = 'error' and d > m) as ab,
+               count(*) filter (g = 'purchase' and d < m) as ba, count(*) filter (g = 'error' and d < m) as bb
+             from two join middle using (domain) group by 1),
+   fisher as (select domain, aa + ab + ba + bb as n, aa * bb / (ba * ab) as s from cells),
+   own as (select domain, g, median(d) as m from two group by 1, 2),
+   gaps as (select domain, g, abs(d - m) as z from two join own using (domain, g)),
+   each as (select domain, g, count(*) as n, avg(z) as m, var_pop(z) as v from gaps group by 1, 2),
+   grand as (select domain, sum(n * m) / sum(n) as mm from each group by 1),
+   levene as (select domain, sum(n)::bigint as n, (sum(n) - 2) * sum(n * pow(m - mm, 2)) / sum(n * v) as s
+              from each join grand using (domain) group by 1),
+   lines as (select domain, 'paired_t' as test, g as about, n, s from paired
+     union all select domain, 'pearson_pre_post', g, n, s from linear
+     union all select domain, 'spearman_pre_post', g, n, s from monotone
+     union all select domain, 'wilcoxon_log', g, n, s from wilcoxon
+     union all select domain, 'independent_t', 'purchase / error', n, s from student
+     union all select domain, 'mann_whitney', 'purchase / error', n, s from whitney
+     union all select domain, 'kolmogorov_smirnov', 'purchase / error', n, s from smirnov
+     union all select domain, 'fisher_median', 'purchase / error', n, s from fisher
+     union all select domain, 'levene', 'purchase / error', n, s from levene
+     union all select domain, 'kruskal_wallis', 'all groups', n, s from wallis)
+   select domain, test, about, n::bigint as n, round(s::double, 6) as statistic from lines"""
+
+
+@query("experiment_statistics", EXPERIMENT)
+def _(t):
+    """The report's statistics; those of the normality test have a query of their own."""
+    report = X.experiment_report(experiment(t), "event_type", DOMAINS, "purchase", "error")
+    some = report.filter(~F.col("test").startswith("shapiro"))
+    return rounded(some, ["statistic"]).select("domain", "test", "about", "n", "statistic")
+
+
 @query(
     "experiment_change",
     f"""with e as (select *, cast(json_extract_string(props, '$.k') as int) as k from events),

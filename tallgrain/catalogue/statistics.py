@@ -240,7 +240,7 @@ def _(t):
        h as (select sum(n)::bigint as n, count(*) as k,
                (12.0 / (sum(n) * (sum(n) + 1.0)) * sum(s * s / n) - 3 * (sum(n) + 1)) as raw from g),
        f as (select n, k, raw / (1 - ties / (n::double * n * n - n)) as h from h, c)
-       select n, k, round(h, 6) as h, round(exp(-h / 2) * (1 + h / 2), 8) as p_value from f""",
+       select n, k as n_groups, round(h, 6) as h, round(exp(-h / 2) * (1 + h / 2), 8) as p_value from f""",
 )
 def _(t):
     """With five groups the chi-square tail has a closed form, so p is compared as well."""
@@ -312,7 +312,7 @@ def _(t):
                    (select event_type, median(value) as m from events group by 1) using (event_type)),
        g as (select count(*) as n, avg(z) as m, var_pop(z) as v from z group by event_type),
        a as (select sum(n * m) / sum(n) as grand, sum(n)::bigint as n, count(*) as k, sum(n * v) as within from g)
-       select n, k, round((n - k) / (k - 1) * (select sum(g.n * pow(g.m - a.grand, 2)) from g, a) / within, 6) as w
+       select n, k as n_groups, round((n - k) / (k - 1) * (select sum(g.n * pow(g.m - a.grand, 2)) from g, a) / within, 6) as w
        from a""",
 )
 def _(t):
@@ -332,7 +332,7 @@ def _(t):
 )
 def _(t):
     found = M.levene_columns(measured(t), ["value", "k"], ["event_type"])
-    return rounded(found, ["w", "p_value"]).drop("k")
+    return rounded(found, ["w", "p_value"]).drop("n_groups")
 
 
 TTEST = """with s as (select (user_id % 3)::int as bucket, avg(value) filter (event_type = 'view') as ma,

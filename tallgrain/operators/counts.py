@@ -147,7 +147,7 @@ def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
 def rounded_mean(c, digits: int = 2, per: int = 1) -> Column:
     """Mean rounded half up, worked out in decimals: sums of doubles would decide ties at random."""
     c = F.col(c) if isinstance(c, str) else c
-    exact = F.sum(c.cast("decimal(20,4)")) / (F.count(c) * per)
+    exact = F.try_divide(F.sum(c.cast("decimal(20,4)")), F.count(c) * per)
     return F.round(exact, digits).cast("double")
 
 

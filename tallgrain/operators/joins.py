@@ -49,10 +49,10 @@ def spread_join(
 
 
 def aligned_ratio(num: DataFrame, den: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Divide two keyed columns; a key missing on one side gives null."""
+    """Divide two keyed columns; a key missing on one side, or a zero below, gives null."""
     a = num.select(*keys, F.col(value).alias("_num"))
     b = den.select(*keys, F.col(value).alias("_den"))
-    return a.join(b, list(keys), "full_outer").select(*keys, (F.col("_num") / F.col("_den")).alias("ratio"))
+    return a.join(b, list(keys), "full_outer").select(*keys, F.try_divide("_num", "_den").alias("ratio"))
 
 
 def scenario_grid(df: DataFrame, **lists: Sequence) -> DataFrame:

@@ -66,15 +66,16 @@ def ttest_ind(
     """Independent t-test with equal variances, pooled Cohen's d and its size in words."""
     out = two_groups(df, value, group, a, b, by)
     dof = F.col("n_a") + F.col("n_b") - 2
-    pooled = F.sqrt(
-        ((F.col("n_a") - 1) * F.col("var_a") + (F.col("n_b") - 1) * F.col("var_b")) / dof
-    )
+    squares = (F.col("n_a") - 1) * F.col("var_a") + (F.col("n_b") - 1) * F.col("var_b")
+    pooled = F.sqrt(F.try_divide(squares, dof))
     diff = F.col("mean_a") - F.col("mean_b")
+    one = F.lit(1.0)
+    scale = F.sqrt(F.try_divide(one, F.col("n_a")) + F.try_divide(one, F.col("n_b")))
     out = out.withColumns(
         {
             "dof": dof,
-            "cohen_d": diff / pooled,
-            "t": diff / (pooled * F.sqrt(1 / F.col("n_a") + 1 / F.col("n_b"))),
+            "cohen_d": F.try_divide(diff, pooled),
+            "t": F.try_divide(diff, pooled * scale),
         }
     ).withColumn("effect", effect_size_label("cohen_d"))
     return out.withColumn("p_value", P.t_tail(F.col("t"), F.col("dof"))) if p_value else out
@@ -113,19 +114,19 @@ def levene(
     joined = per_group.join(grand, list(by)) if by else per_group.withColumn("grand", grand.scalar())
     sums = joined.groupBy(*by).agg(
         F.sum("n").alias("n"),
-        F.count(F.lit(1)).alias("k"),
+        F.count(F.lit(1)).alias("n_groups"),
         F.sum(F.col("n") * F.col("v")).alias("within"),
         F.sum(F.col("n") * (F.col("m") - F.col("grand")) ** 2).alias("between"),
     )
     out = sums.select(
         *by,
         "n",
-        "k",
-        (
-            (F.col("n") - F.col("k")) / (F.col("k") - 1) * F.col("between") / F.col("within")
+        "n_groups",
+        F.try_divide(
+            (F.col("n") - F.col("n_groups")) * F.col("between"), (F.col("n_groups") - 1) * F.col("within")
         ).alias("w"),
     )
-    tail = P.f_tail(F.col("w"), F.col("k") - 1, F.col("n") - F.col("k"))
+    tail = P.f_tail(F.col("w"), F.col("n_groups") - 1, F.col("n") - F.col("n_groups"))
     return out.withColumn("p_value", tail) if p_value else out
 
 

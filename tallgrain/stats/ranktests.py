@@ -114,14 +114,16 @@ def kruskal(
     )
     sums = per_group.groupBy(*by).agg(
         F.sum("n").alias("n"),
-        F.count(F.lit(1)).alias("k"),
+        F.count(F.lit(1)).alias("n_groups"),
         F.sum(F.col("off") * F.col("off") / F.col("n")).alias("s"),
         F.sum("ties").alias("ties"),
     )
     n = F.col("n").cast("double")
-    h = 12 / (n * (n + 1)) * F.col("s") / (1 - F.col("ties") / (n * n * n - n))
-    out = sums.select(*by, "n", "k", h.alias("h"))
-    return out.withColumn("p_value", P.chi2_tail(F.col("h"), F.col("k") - 1)) if p_value else out
+    # all values equal, or a single one: no spread of ranks and no statistic
+    spread = 1 - F.try_divide(F.col("ties"), n * n * n - n)
+    h = F.try_divide(12 / (n * (n + 1)) * F.col("s"), spread)
+    out = sums.select(*by, "n", "n_groups", h.alias("h"))
+    return out.withColumn("p_value", P.chi2_tail(F.col("h"), F.col("n_groups") - 1)) if p_value else out
 
 
 def ks_2samp(
@@ -137,8 +139,9 @@ def ks_2samp(
         weights={"in_a": F.count_if(F.col(group) == a), "in_b": F.count_if(F.col(group) == b)},
         grid=grid,
     )
-    share_a = (F.col("in_a_before") + F.col("in_a")) / F.col("in_a_total")
-    share_b = (F.col("in_b_before") + F.col("in_b")) / F.col("in_b_total")
+    # a side without rows gives no distance
+    share_a = F.try_divide(F.col("in_a_before") + F.col("in_a"), F.col("in_a_total"))
+    share_b = F.try_divide(F.col("in_b_before") + F.col("in_b"), F.col("in_b_total"))
     out = table.groupBy(*by).agg(
         F.sum("in_a").alias("n_a"), F.sum("in_b").alias("n_b"), F.max(F.abs(share_a - share_b)).alias("d")
     )

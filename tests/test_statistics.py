@@ -213,3 +213,27 @@ def test_perfect_correlation(spark):
 def test_linear_fit(spark):
     row = M.linear_fit(frame(spark, x=[1.0, 2, 3], y=[3.0, 5, 7]), "x", "y").first()
     assert (row["slope"], row["intercept"]) == (pytest.approx(2), pytest.approx(1))
+
+
+def test_degenerate_groups_give_nothing_instead_of_failing(spark):
+    """One side missing, a single row, all values equal."""
+    df = spark.createDataFrame(
+        [("one", "a", 1.0), ("flat", "a", 2.0), ("flat", "b", 2.0), ("side", "a", 1.0), ("side", "a", 3.0)],
+        "k string, g string, v double",
+    )
+    for found, stat in (
+        (T.ks_2samp(df, "v", "g", "a", "b", ["k"]), "d"),
+        (T.kruskal(df, "v", "g", ["k"]), "h"),
+        (M.ttest_ind(df, "v", "g", "a", "b", ["k"]), "t"),
+        (M.levene(df, "v", "g", ["k"]), "w"),
+        (T.spearman(df.withColumn("w", df["v"]), "v", "w", ["k"]), "r"),
+    ):
+        got = {r["k"]: r for r in found.collect()}
+        assert set(got) == {"one", "flat", "side"}
+        assert got["one"][stat] is None and got["one"]["p_value"] is None
+    sides = {r["k"]: r for r in T.mannwhitney(df, "v", "g", "a", "b", ["k"]).collect()}
+    assert sides["flat"]["u"] == 0.5 and sides["flat"]["p_value"] == 1.0
+    table = T.fisher_exact(T.median_table(df, "v", "g", "a", "b", ["k"])).collect()
+    assert len(table) == 3
+    assert T.wilcoxon(df.filter("k = 'one'"), "v", ["k"]).first()["p_value"] == 0.5
+    assert len(T.shapiro(df, "v", ["k"]).collect()) == 3
