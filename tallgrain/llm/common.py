@@ -112,4 +112,4 @@ class Hasher:
         if n <= 0:
             return np.zeros(0, np.uint64)
         h = (prefix[width:] - prefix[:n]) * self.back[:n]
-        return mixed(h + np.uint64(width) * _MIX1)
+        return mixed(h + np.array(width, np.uint64) * _MIX1)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import tune
-from . import bpe
+from . import bpe, language, licenses, quality, simhash, suffix
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,7 +37,49 @@ def rank_file() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+@query("op1_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learnt from the labels outside the held-out third."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_on_labels(docs, table(spark, sf_dir, "labels"))
+    return model.score(docs).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query("op2_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of ids and of decoded bytes of every text."""
     return bpe.digests(table(spark, sf_dir, "documents"), *rank_file())
+
+
+@query("op4_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learnt outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    return model.predict(docs.select("doc_id", "text")).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted"
+    )
+
+
+@query("op5_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and signatures of every text."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op6_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without bytes of 100-byte strings that stand earlier."""
+    return suffix.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op9_simhash_dedup")
+def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every text and the smallest document it is linked to."""
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
