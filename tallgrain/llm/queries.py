@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import bpe, language, licenses, quality, simhash, suffix
+from . import bpe, chat, language, licenses, quality, simhash, suffix, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,8 +78,67 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digests(table(spark, sf_dir, "documents"))
 
 
+@query(
+    "op8_exact_top_k",
+    """
+    with v as (
+        select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as v
+        from embeddings
+        where vec_id is not null and embedding is not null
+          and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    ), scored as (
+        select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+        from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0
+    ), ranked as (
+        select *, row_number() over (partition by query_id order by score desc, vec_id) as place from scored
+    )
+    select query_id, place::int as rank, vec_id, score from ranked where place <= 5
+    """,
+)
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector with all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 @query("op9_simhash_dedup")
 def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every text and the smallest document it is linked to."""
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query(
+    "op10_chat_format",
+    r"""
+    with plus as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all
+        select * from (values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+    ), escaped as (
+        select *, replace(replace(replace(replace(replace(text, '\', '\b'), '<s>', '\s'), '[INST]', '\i'),
+            '[/INST]', '\j'), '</s>', '\e') as inner_text from plus
+    )
+    select conv_id, count(*) as n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+        coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+        sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+        (3 + sum(length(role) + length(inner_text) + 17))::bigint as formatted_chars
+    from escaped group by conv_id
+    """,
+)
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted text and loss mask."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn int, role string, text string")
+    made = chat.conversations(chat.thread(rows.unionByName(planted)))
+    turns = made.withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("loss", chat.loss_text(F.col("segments")))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return turns.select(
+        F.col("tree").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
