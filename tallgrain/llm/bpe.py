@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
@@ -195,6 +196,13 @@ def little_endian(ids: array) -> bytes:
     return ids.tobytes()
 
 
+def id_lists(found: list[array]) -> pa.Array:
+    """An Arrow list column of 32-bit ids."""
+    ends = np.cumsum([0, *map(len, found)])
+    flat = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(f, np.uint32) for f in found if f)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int32)))
+
+
 def _worker_path(path: str, ship: bool) -> str:
     return SparkFiles.get(path.rsplit("/", 1)[-1]) if ship else path
 
@@ -216,8 +224,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(vocabulary(_worker_path(path, ship)), pattern)
         for batch in batches:
-            found = [codec.encode(t or "") for t in batch.column(names.index(text)).to_pylist()]
-            column = pa.array([f.tolist() for f in found], pa.list_(pa.int32()))
+            column = id_lists([codec.encode(t or "") for t in batch.column(names.index(text)).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*names, ids])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
@@ -243,27 +250,27 @@ def decode(df: DataFrame, path: str, ids: str = "ids", data: str = "decoded", sh
     return df.mapInArrow(run, ", ".join([*fields, f"`{data}` binary"]))
 
 
-def digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row; one pass, ids not kept.
+def digests(df: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row, and its ids if wanted; one pass.
 
-    Repeated rows give repeated results; an empty table gives none.
+    Null and empty texts have no tokens.  Repeated rows give repeated results; an empty table none.
     """
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(vocabulary(path), pattern)
         for batch in batches:
-            count, ids_hash, text_hash = [], [], []
-            for text in batch.column(1).to_pylist():
-                ids = codec.encode(text or "")
-                count.append(len(ids))
-                ids_hash.append(hashlib.sha256(little_endian(ids)).hexdigest())
-                text_hash.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(count, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(text_hash, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            for i in range(0, batch.num_rows, 512):
+                some = batch.slice(i, 512)
+                ids = [codec.encode(text or "") for text in some.column(1).to_pylist()]
+                columns = [
+                    some.column(0),
+                    pa.array(map(len, ids), pa.int64()),
+                    pa.array([hashlib.sha256(little_endian(x)).hexdigest() for x in ids], pa.string()),
+                    pa.array([hashlib.sha256(codec.decode(x)).hexdigest() for x in ids], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns + [id_lists(ids)] * with_ids, names)
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    return df.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    made = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return df.select("doc_id", "text").mapInArrow(run, made + ", ids array<int>" * with_ids)

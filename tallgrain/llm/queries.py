@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import bpe, chat, language, licenses, quality, simhash, suffix, topk
+from . import bpe, chat, language, licenses, mixing, quality, rules, simhash, suffix, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,83 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), *rank_file())
 
 
+#: Target weights of the mix; sources count alike.
+DOMAINS = {"web": 0.45, "news": 0.2, "books": 0.2, "reference": 0.15}
+LANGS = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
+
+
+def tree() -> dict:
+    """Domain, language and source of a document, with their weights."""
+    number = F.regexp_extract("source", r"(\d+)$", 1).try_cast("int")
+    names = F.array(*map(F.lit, DOMAINS))
+    domain = F.coalesce(F.get(names, F.pmod(number, F.lit(len(DOMAINS)))), F.lit("web"))
+    return {"domain": (domain, DOMAINS), "lang": (F.col("lang"), LANGS), "source": (F.col("source"), {})}
+
+
+def _mix_sql() -> str:
+    """The mix in SQL, level by level."""
+    def cases(column: str, weights: dict) -> str:
+        listed = " ".join(f"when {column} = '{k}' then {v}::double" for k, v in weights.items())
+        return f"case when false then 0::double {listed} else 1::double end"
+
+    names = ", ".join(f"'{d}'" for d in DOMAINS)
+    sql = f"""
+    with docs as (
+        select doc_id, coalesce(lang, '') as l, coalesce(source, '') as s,
+            coalesce(list_extract([{names}], (try_cast(regexp_extract(source, '([0-9]+)$', 1) as int) % {len(DOMAINS)}) + 1), 'web') as d,
+            len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as tokens, text
+        from documents
+    ), leaves as (
+        select d, l, s, sum(tokens)::double as tokens, sum(tokens)::double * 2 as room from docs group by all
+    ), total as (select sum(tokens) as budget from leaves),
+    """
+    above, names = "total", []
+    for level, column, weights in (("a", "d", DOMAINS), ("b", "l", LANGS), ("c", "s", {})):
+        names.append(column)
+        keys, parent = ", ".join(names), ", ".join(names[:-1])
+        by = f"partition by {parent}" if parent else ""
+        join = f"join {above} using ({parent})" if parent else f", {above}"
+        sql += f"""
+    {level}0 as (select {keys}, sum(room) as room, {cases(column, weights)} as w from leaves where room > 0 group by {keys}),
+    {level}1 as (
+        select *, (budget - coalesce(sum(room) over ({by} order by room / w, {keys} rows between unbounded preceding and 1 preceding), 0))
+            / sum(w) over ({by} order by room / w, {keys} rows between current row and unbounded following) as rate
+        from {level}0 {join}
+    ), {level} as (
+        select {keys}, greatest(0, least(room, w * max(rate) over ({by}))) as budget from {level}1
+    ),"""
+        above = level
+    return sql + """
+    cut as (
+        select leaves.d, leaves.l, leaves.s, leaves.tokens, coalesce(budget, 0) as budget,
+            case when leaves.tokens > 0 then floor(coalesce(budget, 0) / leaves.tokens) else 0 end::int as whole
+        from leaves left join c using (d, l, s)
+    ), ordered as (
+        select docs.*, whole, budget - whole * cut.tokens as rest,
+            coalesce(sum(docs.tokens) over (partition by d, l, s order by md5('17|' || (whole + 1) || '|' || doc_id), doc_id
+                rows between unbounded preceding and 1 preceding), 0) as met
+        from docs join cut using (d, l, s)
+    )
+    select doc_id, d as domain, l as lang, s as source, unnest(range(1, whole + case when met < rest then 2 else 1 end))::int as epoch
+    from ordered
+    """
+
+
+@query("op3_mix_sources", _mix_sql())
+def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many words as there are, dealt to domains, languages and sources by weight."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    levels = tree()
+    mixed = mixing.mix(docs, levels, budget_share=1.0, max_epochs=2, seed=17)
+    return mixed.select(
+        "doc_id",
+        levels["domain"][0].alias("domain"),
+        F.coalesce("lang", F.lit("")).alias("lang"),
+        F.coalesce("source", F.lit("")).alias("source"),
+        "epoch",
+    )
+
+
 @query("op4_language_id")
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text, learnt outside the held-out fifth."""
@@ -78,14 +155,35 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digests(table(spark, sf_dir, "documents"))
 
 
+@query("op7_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text, and the verdict of rules learnt from the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marks = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).distinct()
+    learnt = rules.fit(docs.join(marks, "doc_id"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    counted = rules.counts(docs).withColumn("base_failed", failed).withColumn("rule", learnt.rule())
+    return counted.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        (~F.col("base_failed") & (F.col("rule") == 0)).alias("kept"),
+        "rule",
+    )
+
+
 @query(
     "op8_exact_top_k",
     """
     with v as (
-        select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as v
+        select vec_id, [floor(256 * x::double) for x in embedding] as v
         from embeddings
         where vec_id is not null and embedding is not null
-          and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+          and len([x for x in embedding if x is null or not isfinite(x)]) = 0
     ), scored as (
         select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
         from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0

@@ -246,9 +246,9 @@ def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", width: i
 def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``df`` whose key is the smallest of its group; all columns stay.
 
-    Rows that repeat the kept key are kept once; rows without a key stay as they are.
+    A key that several rows share is kept once; rows without a key stay as they are.
     """
-    groups = near_groups(df.where(F.col(key).isNotNull()), text, key, **options)
-    chosen = groups.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
-    one = df.where(F.col(key).isNotNull()).join(chosen, F.col(key) == F.col("_kept"), "left_semi").dropDuplicates([key])
-    return one.unionByName(df.where(F.col(key).isNull()))
+    keyed = df.where(F.col(key).isNotNull())
+    groups = near_groups(keyed, text, key, **options)
+    copies = groups.where(F.col(key) != F.col("component_id")).select(key)
+    return keyed.join(copies, key, "left_anti").dropDuplicates([key]).unionByName(df.where(F.col(key).isNull()))
