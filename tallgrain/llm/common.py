@@ -45,6 +45,17 @@ def crc_remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def sampled(marks: DataFrame, key: str, max_rows: int, seed: int) -> DataFrame:
+    """At most ``max_rows`` rows of a slim table, chosen by a seeded hash of the key."""
+    u = seeded(seed, F.col(key))
+    return marks.orderBy(u, *sorted(marks.columns)).limit(max_rows)
+
+
+def sampled_texts(docs: DataFrame, marks: DataFrame, key: str, max_rows: int, seed: int) -> DataFrame:
+    """``docs`` joined with a sample of ``marks``; only keys and marks move, at most ``max_rows``."""
+    return docs.join(F.broadcast(sampled(marks, key, max_rows, seed)), key)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all texts, offsets) of an Arrow string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -6,7 +6,7 @@ a mark for each four words that stood in the text before; all hashed into one sp
 is scaled to a sum of one, so a score is a sparse dot product that does not grow with the text.
 
 Training reads a bounded sample of the labelled rows (``max_rows``), chosen by a seeded hash of
-the id, once per epoch in a seeded order; follow-the-regularised-leader keeps per-weight rates and
+the id before any text moves, once per epoch in a seeded order; follow-the-regularised-leader keeps per-weight rates and
 makes rare weights exactly zero.  Only the weights, ``2 ** bits`` numbers, go to the driver.
 """
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hasher, mixed, seeded, steps, text_bytes
+from .common import Hasher, crc_remainder, mixed, sampled_texts, steps, text_bytes
 
 LETTER, UPPER, DIGIT, SYMBOL = 1, 2, 4, 8
 
@@ -172,12 +172,11 @@ def _sparse(data: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(
-    labelled: DataFrame,
+    sample: DataFrame,
     text: str = "text",
     label: str = "label",
     key: str = "doc_id",
     *,
-    max_rows: int = 8000,
     epochs: int = 4,
     bits: int = 18,
     alpha: float = 2.0,
@@ -186,16 +185,14 @@ def fit(
     l2: float = 1e-3,
     seed: int = 5,
 ) -> QualityModel:
-    """Train on at most ``max_rows`` labelled rows; rows with a null label take no part.
+    """Train on all rows of a bounded sample; rows with a null label take no part.
 
-    With no row at all every weight is zero and every score 0.5.  The sample is taken on keys
-    alone; one task then reads its texts, in another order each epoch.
+    With no row at all every weight is zero and every score 0.5.  One task reads the texts, in
+    another order each epoch, and holds one Arrow batch of them at a time.
     """
-    some = labelled.where(F.col(label).isNotNull())
-    keys = some.select(F.col(key).alias("_key"), seeded(seed, F.col(key)).alias("_u")).orderBy("_u", "_key").limit(max_rows)
+    some = sample.where(F.col(label).isNotNull()).withColumn("_key", F.col(key))
     rows = (
-        some.join(F.broadcast(keys.distinct()), F.col(key).eqNullSafe(F.col("_key")))
-        .select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.col("_key"))
+        some.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.col("_key"))
         .withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
         .withColumn("_u", F.xxhash64(F.lit(seed), "epoch", "_key"))
         .repartition(1)
@@ -220,12 +217,11 @@ def fit(
 
 def held_out(doc_id: Column) -> Column:
     """Rows that are never learnt from: remainder 1 of crc32 of the id as text, modulo 3."""
-    from .common import crc_remainder
-
     return crc_remainder(doc_id, 3) == 1
 
 
-def fit_on_labels(docs: DataFrame, labels: DataFrame, **options) -> QualityModel:
-    """Train on the documents that ``labels`` marks, without the held-out third."""
+def fit_on_labels(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, seed: int = 5, **options) -> QualityModel:
+    """Train on at most ``max_rows`` of the documents that ``labels`` marks, without the held-out third."""
     known = labels.select("doc_id", F.col("quality").alias("label")).where(~held_out(F.col("doc_id")) & F.col("label").isin(0, 1))
-    return fit(docs.select("doc_id", "text").join(known.distinct(), "doc_id"), **options)
+    sample = sampled_texts(docs.select("doc_id", "text"), known.distinct(), "doc_id", max_rows, seed)
+    return fit(sample, seed=seed, **options)

@@ -159,8 +159,7 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every text, and the verdict of rules learnt from the labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marks = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).distinct()
-    learnt = rules.fit(docs.join(marks, "doc_id"))
+    learnt = rules.fit_on_labels(docs, table(spark, sf_dir, "labels").withColumn("label", F.col("quality")))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     counted = rules.counts(docs).withColumn("base_failed", failed).withColumn("rule", learnt.rule())
     return counted.select(

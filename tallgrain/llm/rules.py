@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import seeded, written
+from .common import sampled_texts, written
 
 #: Characters that count as symbols, and white space; fixed by the query's contract.
 SYMBOLS = "#*$%&|<>"
@@ -147,28 +147,25 @@ def _gain(p0: float, n0: float, p: float, n: float) -> float:
 
 
 def fit(
-    labelled: DataFrame,
+    sample: DataFrame,
     text: str = "text",
     label: str = "label",
     key: str = "doc_id",
     *,
-    max_rows: int = 20_000,
     max_rules: int = 8,
     max_conditions: int = 3,
     precision: float = 0.99,
     least_rows: int = 5,
     seed: int = 3,
 ) -> DecisionList:
-    """Learn rules that reject label 0, from at most ``max_rows`` rows chosen by a seeded hash.
+    """Learn rules that reject label 0, from all rows of a bounded sample.
 
     A third of them is kept for pruning.  Without rows of both labels there are no rules.
     """
-    some = labelled.where(F.col(label).isin(0, 1))
-    keys = some.select(F.col(key).alias("_key"), seeded(seed, F.col(key)).alias("_u")).orderBy("_u", "_key").limit(max_rows)
-    sample = some.join(F.broadcast(keys.distinct()), F.col(key).eqNullSafe(F.col("_key")))
+    some = sample.where(F.col(label).isin(0, 1))
     made = features()
     fold = (F.pmod(F.xxhash64(F.lit(seed), "_key"), F.lit(3)) == 0).cast("int")
-    rows = counts(sample.select("_key", F.col(text).alias("text"), F.col(label).alias("label"))).select(
+    rows = counts(some.select(F.col(key).alias("_key"), F.col(text).alias("text"), F.col(label).alias("label"))).select(
         "label", fold.alias("kept"), *[c.alias(n) for n, c in made.items()]
     )
     rows = written(rows, "rules-features")
@@ -192,6 +189,12 @@ def fit(
     return DecisionList(tuple(taken))
 
 
+def fit_on_labels(docs: DataFrame, marks: DataFrame, max_rows: int = 20_000, seed: int = 3, **options) -> DecisionList:
+    """Learn from at most ``max_rows`` of the documents in ``marks`` (doc_id, label), by a seeded hash."""
+    sample = sampled_texts(docs.select("doc_id", "text"), marks.select("doc_id", "label").distinct(), "doc_id", max_rows, seed)
+    return fit(sample, seed=seed, **options)
+
+
 def _statistics(cells: DataFrame, names: list[str]) -> dict[tuple[str, int, int, int], int]:
     """Rows by (feature, bin, label, kept): some hundred numbers."""
     pairs = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("bin")) for n in names])
