@@ -169,12 +169,15 @@ def fit(
         "label", fold.alias("kept"), *[c.alias(n) for n, c in made.items()]
     )
     rows = written(rows, "rules-features")
-    # Thresholds: quantiles of either label, so that both tails have some.
+    # Quantiles of either label, so that both tails have some.
     share = F.array(*[F.lit(q) for q in (0.02, 0.1, 0.25, 0.5, 0.75, 0.9, 0.98)])
     found = rows.groupBy("label").agg(*[F.percentile_approx(n, share, 10_000).alias(n) for n in made]).collect()
     if len(found) < 2:
         return DecisionList(())
-    cuts = {n: sorted({v for row in found for v in row[n]}) for n in made}
+    cuts = {}
+    for n in made:  # midway between neighbouring quantiles, which leaves a margin on both sides
+        values = sorted({v for row in found for v in row[n]})
+        cuts[n] = [(a + b) / 2 for a, b in zip(values, values[1:])]
     # Bin k holds the values above k thresholds.
     bins = [sum(((F.col(n) > t).cast("int") for t in cuts[n]), F.lit(0)).alias(n) for n in made]
     cells = written(rows.select("label", "kept", *bins).groupBy("label", "kept", *made).agg(F.count("*").alias("n")), "rules-cells")
