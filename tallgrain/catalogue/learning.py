@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import functions as F
 
 from ..learn import auc as U
@@ -89,8 +92,8 @@ def _(t):
 
 @query(
     "logistic_optimum",
-    """select * from (values ('Intercept', 0.0::double), ('size_thousands', 0.0), ('share_blank', 0.0),
-       ('is_en', 0.0), ('source_no', 0.0)) v(feature, gradient)""",
+    """select unnest(['Intercept', 'size_thousands', 'share_blank', 'is_en', 'source_no']) as feature, 0.0::double as gradient,
+       count(*) as n_rows, sum(quality)::bigint as n_positive from documents join labels using (doc_id)""",
 )
 def _(t):
     """At the solution the gradient of summed loss plus half the squared coefficients is zero."""
@@ -100,9 +103,10 @@ def _(t):
     parts = [F.struct(F.lit("Intercept").alias("feature"), (F.sum(off) / n).alias("g"))]
     for f, w in zip(model.features, model.coefs[0]):
         parts.append(F.struct(F.lit(f).alias("feature"), ((F.sum(off * F.col(f)) + w) / n).alias("g")))
-    found = df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
+    read = [n.alias("n_rows"), F.sum("quality").alias("n_positive")]
+    found = df.agg(F.array(*parts).alias("p"), *read).select("n_rows", "n_positive", F.inline("p"))
     # adding zero turns a rounded minus zero into zero
-    return found.select("feature", (F.round("g", 3) + F.lit(0.0)).alias("gradient"))
+    return found.select("feature", (F.round("g", 3) + F.lit(0.0)).alias("gradient"), "n_rows", "n_positive")
 
 
 @query("predict_probability")
@@ -126,7 +130,7 @@ def _(t):
 
 
 def vectors(t):
-    cols = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(16)]
+    cols = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)]
     return t.embeddings.select("vec_id", "label", *cols)
 
 
@@ -134,13 +138,13 @@ def vectors(t):
 def _(t):
     df = vectors(t)
     train, test = split(df, 0.7, 42, "vec_id")
-    model = L.fit_logreg(train, [f"e{i}" for i in range(16)], "label")
+    model = L.fit_logreg(train, [f"e{i}" for i in range(64)], "label")
     return L.accuracy(model.transform(test), "prediction", "label")
 
 
 @query("top_feature_per_class")
 def _(t):
-    model = L.fit_logreg(vectors(t), [f"e{i}" for i in range(16)], "label")
+    model = L.fit_logreg(vectors(t), [f"e{i}" for i in range(64)], "label")
     return L.top_feature_per_class(t.spark, model)
 
 
@@ -157,15 +161,22 @@ def _(t):
     return rounded(U.auc(df, "n_chars", "quality"), ["auc"], 9)
 
 
+# The score of class c is the sum of the vector's places c, c + 10, c + 20 and so on.
+CLASS_SCORES = ", ".join(" + ".join(f"embedding[{i + 1}]::double" for i in range(c, 64, 10)) for c in range(10))
+
+
 @query(
     "auc_one_vs_one",
-    """with s as (select label as y, c, embedding[c + 1] as v from embeddings, range(10) r(c)),
+    f"""with v as (select label as y, [{CLASS_SCORES}] as scores from embeddings),
+       s as (select y, c, scores[c + 1] as v from v, range(10) r(c)),
        p as (select a.c, b.y as other, avg(case when a.v > b.v then 1.0 when a.v = b.v then 0.5 else 0 end) as auc
              from s a join s b on a.c = b.c and a.y = a.c and b.y <> b.c group by all)
        select round(avg(auc), 9) as auc from p""",
 )
 def _(t):
-    found = U.auc_ovo(t.embeddings, "embedding", "label", list(range(10)))
+    place = [F.col("embedding")[i].cast("double") for i in range(64)]
+    scores = F.array(*[reduce(add, place[c::10]) for c in range(10)])
+    found = U.auc_ovo(t.embeddings.withColumn("scores", scores), "scores", "label", list(range(10)))
     return rounded(found, ["auc"], 9)
 
 
@@ -177,7 +188,7 @@ def _(t):
 
 @query("kmeans_elbow")
 def _(t):
-    return K.elbow(vectors(t), [f"e{i}" for i in range(8)], seed=1)
+    return K.elbow(vectors(t), [f"e{i}" for i in range(64)], seed=1)
 
 
 @query(
@@ -258,24 +269,24 @@ def _(t):
     return points.withColumn("cluster_pred", number).drop("x", "y")
 
 
+# A three-class model over all 64 places with known coefficients.
+KNOWN = [[((7 * i + 3 * k) % 9 - 4) / 4 for i in range(64)] for k in range(3)]
+KNOWN_EXP = ", ".join(
+    f"exp({b} + " + " + ".join(f"({w}) * embedding[{i + 1}]::double" for i, w in enumerate(row)) + ")"
+    for b, row in zip((0.1, -0.2, 0.0), KNOWN)
+)
+
+
 @query(
     "softmax_prediction",
-    """select vec_id, round(list_max(e) / list_sum(e), 6) as top_probability,
+    f"""select vec_id, round(list_max(e) / list_sum(e), 6) as top_probability,
               (list_position(e, list_max(e)) * 10)::double as prediction
-       from (select vec_id, [exp(0.1 + 2 * x - y), exp(-0.2 - x + 3 * y), exp(0.3 * x + 0.1 * y)] as e
-             from (select vec_id, embedding[1]::double as x, embedding[2]::double as y from embeddings))""",
+       from (select vec_id, [{KNOWN_EXP}] as e from embeddings)""",
 )
 def _(t):
     """A three-class model with known coefficients."""
-    xy = t.embeddings.select(
-        "vec_id",
-        F.col("embedding")[0].cast("double").alias("x"),
-        F.col("embedding")[1].cast("double").alias("y"),
-    )
-    model = L.LogisticModel(
-        ["x", "y"], [10.0, 20.0, 30.0], [0.1, -0.2, 0.0], [[2.0, -1.0], [-1.0, 3.0], [0.3, 0.1]]
-    )
-    scored = model.transform(xy)
-    return scored.select(
+    df = vectors(t)
+    model = L.LogisticModel([f"e{i}" for i in range(64)], [10.0, 20.0, 30.0], [0.1, -0.2, 0.0], KNOWN)
+    return model.transform(df).select(
         "vec_id", F.round(F.array_max("probability"), 6).alias("top_probability"), "prediction"
     )

@@ -112,7 +112,7 @@ LOANS = f"""loans as (select {ID.format('rn')} as id, o_totalprice::double as lo
       day(o_orderdate)::int as day_issue_d, month(o_orderdate)::int as month_issue_d, year(o_orderdate)::int as year_issue_d,
       case when o_orderkey % 2 = 0 then 36 else 60 end as term_in_months
    from (select *, row_number() over (order by {HASHED.format(seed=5, key='o_orderkey', label='sample')}, o_orderkey) as rn
-         from orders) where rn <= 1000)"""
+         from orders))"""
 
 PEOPLE = f"""raw_people as (select {ID.format('c_custkey')} as cliente_id, (c_custkey % 120)::double as antiguedad_empleo_meses,
       case when c_custkey % 17 <> 0 then (c_custkey % 4)::double end as hijos, (c_custkey % 3)::double as vehiculos,
@@ -155,7 +155,7 @@ PRODUCTS = f"""raw_products as (select {ID.format('o_custkey')} as cliente_id, (
 
 @query("prepare_loans", f"with {LOANS} select * from loans")
 def _(t):
-    return C.prepare_loans(loans(t), 1000, seed=5)
+    return C.prepare_loans(loans(t), seed=5)
 
 
 @query(
@@ -209,7 +209,7 @@ CUSTOMER360 = f"""with {LOANS}, {PEOPLE}, {BEHAVIOUR}, {PRODUCTS},
 
 @query("customer360", CUSTOMER360)
 def _(t):
-    found = C.customer360(C.Sources(loans(t), demographics(t), behaviour(t), products(t)), 1000, seed=5)
+    found = C.customer360(C.Sources(loans(t), demographics(t), behaviour(t), products(t)), seed=5)
     return rounded(found, MEANS)
 
 

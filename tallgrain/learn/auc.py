@@ -29,12 +29,13 @@ def auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFr
 def auc_pairs(df: DataFrame, scores: str, label: str, classes: Sequence) -> DataFrame:
     """One row per ordered pair (class, other): AUC of the class's score on these two classes.
 
-    ``scores`` is an array column with one score per class.  Every class's scores are walked
+    ``scores`` is an array column with one score per class; another length is an error.  Every class's scores are walked
     once with the running counts of all classes, instead of one pass per pair.
     """
-    long = present(df, [label, scores]).select(
-        F.col(label).alias("_y"), F.posexplode(F.slice(scores, 1, len(classes))).alias("_cls", "_score")
+    whole = F.when(F.size(scores) == len(classes), F.col(scores)).otherwise(
+        F.raise_error(F.concat(F.lit(f"expected {len(classes)} scores, found "), F.size(scores).cast("string")))
     )
+    long = present(df, [label, scores]).select(F.col(label).alias("_y"), F.posexplode(whole).alias("_cls", "_score"))
     names = [f"c{j}" for j in range(len(classes))]
     weights = {n: F.count_if(F.col("_y") == c) for n, c in zip(names, classes)}
     table = tie_table(long, "_score", ["_cls"], weights=weights)

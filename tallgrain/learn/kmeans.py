@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranks import present
-from ..session import all_slots
+from ..session import stored
 from .scaler import ColumnScaler
 
 
@@ -19,18 +19,18 @@ from .scaler import ColumnScaler
 SETTLED = 0.005
 
 
-def _scaled(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, list[str], int]:
-    """The original columns next to scaled copies of the chosen ones, the copies' names, rows."""
+def _scaled(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The original columns next to scaled copies of the chosen ones, the copies' names."""
     names = {c: f"_z{i}" for i, c in enumerate(cols)}
     copies = present(df, cols).withColumns({z: F.col(c).cast("double") for c, z in names.items()})
     copied = list(names.values())
     scaler = ColumnScaler(copied).fit(copies)
-    return scaler.transform(copies), copied, scaler.rows
+    return scaler.transform(copies), copied
 
 
-def _vectors(scaled: DataFrame, copied: list[str], rows: int) -> DataFrame:
+def _vectors(scaled: DataFrame, copied: list[str]) -> DataFrame:
     vectors = VectorAssembler(inputCols=copied, outputCol="_x").transform(scaled).select("_x")
-    return all_slots(vectors, rows)
+    return stored(vectors, "kmeans-input")
 
 
 def _fit(vectors: DataFrame, k: int, seed: int):
@@ -49,8 +49,8 @@ def nearest(copied: Sequence[str], centres: Sequence[Sequence[float]]) -> Column
 
 def kmeans(df: DataFrame, cols: Sequence[str], k: int, seed: int = 0, out: str = "cluster_pred") -> DataFrame:
     """Original rows with their cluster.  Clusters are numbered in the order of their centres."""
-    scaled, copied, rows = _scaled(df, cols)
-    model = _fit(_vectors(scaled, copied, rows), k, seed)
+    scaled, copied = _scaled(df, cols)
+    model = _fit(_vectors(scaled, copied), k, seed)
     centres = sorted(tuple(c) for c in model.clusterCenters())
     return scaled.withColumn(out, nearest(copied, centres)).drop(*copied)
 
@@ -61,7 +61,7 @@ def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(1, 10),
     One cluster needs no iteration: its cost is the sum of squared deviations.
     """
     spark = df.sparkSession
-    vectors = _vectors(*_scaled(df, cols)).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = _vectors(*_scaled(df, cols))
     rows = []
     try:
         for k in ks:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranks import present
-from ..session import all_slots
+from ..session import stored
 
 
 def quoted(name: str) -> str:
@@ -97,16 +97,20 @@ class LogisticModel:
 
 
 def fit_logreg(
-    df: DataFrame, features: Sequence[str], label: str, c: float = 1.0, max_iter: int = 100
+    df: DataFrame, features: Sequence[str], label: str, c: float = 1.0, max_iter: int = 100, max_classes: int = 1000
 ) -> LogisticModel:
     """Ridge-penalised logistic regression with a free intercept.
 
     The penalty is stated the usual way: ``c`` weighs the summed loss against half the
     squared coefficients.  Spark averages the loss over n rows, hence ``1 / (c n)``.
-    Labels are numbers; two of them give a binary model, more a multinomial one.
+    Labels are numbers; two of them give a binary model, more a multinomial one.  More than
+    ``max_classes`` of them is an error.
     """
     clean = present(df, [label, *features])
-    stats = clean.groupBy(F.col(label).cast("double").alias("y")).count().collect()
+    counted = clean.groupBy(F.col(label).cast("double").alias("y")).count()
+    stats = counted.limit(max_classes + 1).collect()
+    if len(stats) > max_classes:
+        raise ValueError(f"the label has more than {max_classes} classes")
     classes = sorted(r["y"] for r in stats)
     n = sum(r["count"] for r in stats)
     if len(classes) < 2:
@@ -125,7 +129,7 @@ def fit_logreg(
         standardization=False,
         maxIter=max_iter,
         tol=1e-6,
-    ).fit(all_slots(assembled.select("_x", "_y"), n))
+    ).fit(stored(assembled.select("_x", "_y"), "logreg-input"))
     coefs = fitted.coefficientMatrix.toArray().tolist()
     return LogisticModel(list(features), classes, list(fitted.interceptVector.toArray()), coefs)
 

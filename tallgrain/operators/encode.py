@@ -36,7 +36,7 @@ def column_levels(df: DataFrame, cols: Sequence[str], max_levels: int = 1000):
     for c, got in found.items():
         if len(got) > max_levels or len(rows) > cap:
             raise ValueError(f"column {c!r} has more than {max_levels} levels to encode")
-        is_number = kinds[c] not in ("string", "boolean", "date")
+        is_number = kinds[c].startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal"))
         got.sort(key=lambda p: float(p[0]) if is_number else p[0])
     return found
 

@@ -21,7 +21,7 @@ from ..operators.names import clean_column_names, collapse_names, normalize_name
 from ..operators.recode import clean_percent, term_to_months
 from ..operators.reshape import distinct_rows, union_by_name
 from ..session import shared_dir
-from ..sources.synth import sample_with_ids
+from ..sources.synth import sample_with_ids, with_ids
 
 # fixed values: columns of the sources and name prefixes of their encoded columns
 LOAN_DROP = [
@@ -51,8 +51,13 @@ class Sources:
     products: DataFrame
 
 
-def prepare_loans(df: DataFrame, sample: int = 1000, seed: int = 0) -> DataFrame:
-    some = sample_with_ids(first_columns(df, "id", 17), sample, "id", "CL", seed)
+def prepare_loans(df: DataFrame, sample: int | None = None, seed: int = 0) -> DataFrame:
+    """Every loan under a running id in a seeded order; ``sample`` keeps only that many."""
+    chosen = first_columns(df, "id", 17)
+    if sample is None:
+        some = with_ids(chosen, "id", "CL", seed)
+    else:
+        some = sample_with_ids(chosen, sample, "id", "CL", seed)
     clean = clean_percent(drop_columns(some, LOAN_DROP), "int_rate")
     dated = to_date10(to_number(clean, LOAN_NUMBERS), ["issue_d"])
     return term_to_months(date_parts(dated, ["issue_d"]), "term")
@@ -102,7 +107,7 @@ def merge(loans: DataFrame, people: DataFrame, behaviour: DataFrame, products: D
     return drop_columns(union_by_name(*tables), ["id"])
 
 
-def customer360(sources: Sources, sample: int = 1000, seed: int = 0) -> DataFrame:
+def customer360(sources: Sources, sample: int | None = None, seed: int = 0) -> DataFrame:
     merged = merge(
         prepare_loans(sources.loans, sample, seed),
         prepare_demographics(sources.demographics),

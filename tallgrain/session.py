@@ -43,11 +43,14 @@ def local_session(cpus: int = 8, app: str = "tallgrain") -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (tests, a laptop) is a local folder made.
+    Only where that setting is missing and the master is local (tests, a laptop) is a local
+    folder made; executors on other machines could not read it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tallgrain-")
         spark.sparkContext.setCheckpointDir(root)
@@ -59,11 +62,11 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def all_slots(df: DataFrame, rows: int) -> DataFrame:
-    """Input of an iterative fit, spread over the task slots if it sits in too few partitions.
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written below the shared folder and read back: an iterative fit reads its input often.
 
-    Only rows that fill their partitions are moved: a small table is quicker left where it
-    is, and a large one comes in more partitions than there are slots.
+    The files also spread the rows over the task slots, whatever plan made them.
     """
-    now, slots = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if now < slots and rows / now > 20_000 else df
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -56,7 +56,11 @@ def read_csv(
 
 
 def _read_titled(spark, path, schema, sep, skip_rows) -> DataFrame:
-    """Title and header lines are read once, then left out by value."""
+    """The first ``skip_rows + 1`` lines of every file are left out; equal lines further on are data.
+
+    Line numbers grow inside a partition, so in a file's first block its top lines have the smallest.
+    The names come from the first file's header.
+    """
     lines = spark.read.text(path)
     top = [r["value"] for r in lines.take(skip_rows + 1)]
     if len(top) <= skip_rows:
@@ -69,7 +73,15 @@ def _read_titled(spark, path, schema, sep, skip_rows) -> DataFrame:
     full = _with_corrupt(known)
     options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)
-    body = lines.filter(~F.col("value").isin(*top) & (F.trim("value") != ""))
+    placed = lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        (F.col("_metadata.file_block_start") == 0).alias("_head"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    first = placed.groupBy("_file").agg(F.min(F.when(F.col("_head"), F.col("_line"))).alias("_first"))
+    is_top = F.col("_head") & (F.col("_line") <= F.col("_first") + skip_rows)
+    body = placed.join(first, "_file").filter(~is_top & (F.trim("value") != ""))
     return body.select(F.from_csv("value", ddl, options).alias("_r")).select("_r.*")
 
 

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Seconds between two looks at the progress reports, of which Spark keeps the last hundred.
+LOOK_S = 1
+
+
 def ingest_new(
     spark: SparkSession,
     source: str,
@@ -44,8 +48,13 @@ def ingest_new(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     run = writer.start(target)
-    run.awaitTermination()
-    return sum(p["numInputRows"] for p in run.recentProgress)
+    read: dict[int, int] = {}  # rows by batch: Spark keeps only the latest reports, so look often
+    while True:
+        ended = run.awaitTermination(LOOK_S)
+        read.update({p["batchId"]: p["numInputRows"] for p in run.recentProgress})
+        if ended:
+            break
+    return sum(read.values())
 
 
 def ingest_counts(

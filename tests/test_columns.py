@@ -206,3 +206,8 @@ def test_head_tail_and_top(spark):
     assert [r["i"] for r in columns.top_k(df, "v", 2).collect()] == [3, 2]
     assert [r["i"] for r in columns.tail(df, 2, ["i"]).collect()] == [3, 2]
     assert [r["i"] for r in columns.order(df, ["v"], False).collect()] == [3, 2, 1]
+
+
+def test_one_hot_takes_timestamp_levels(spark):
+    df = spark.sql("select timestamp'2024-01-02 03:04:05' as at union all select timestamp'2023-01-02 03:04:05'")
+    assert len(encode.OneHot(["at"]).fit(df).transform(df).columns) == 2

@@ -102,11 +102,12 @@ def test_sample_is_fixed_by_seed_not_by_partitions(spark):
     assert rows(a) != rows(synth.sample_with_ids(df, 20, "id", seed=2))
 
 
-def test_large_samples_are_numbered_by_range(spark, monkeypatch):
+def test_all_rows_get_running_ids_and_the_sample_is_their_beginning(spark):
     df = spark.range(300).select("id", (F.col("id") * 3).alias("v"))
-    small = rows(synth.sample_with_ids(df, 120, "id", seed=4))
-    monkeypatch.setattr(synth, "FEW_ROWS", 10)
-    assert rows(synth.sample_with_ids(df, 120, "id", seed=4)) == small
+    every = synth.with_ids(df, "id", seed=4)
+    assert sorted(r["v"] for r in every.collect()) == [3 * i for i in range(300)]
+    assert sorted(int(r["id"][2:]) for r in every.collect()) == list(range(1, 301))
+    assert set(rows(synth.sample_with_ids(df, 120, "id", seed=4))) < set(rows(every))
 
 
 def test_generator_shape(spark):

@@ -141,3 +141,18 @@ def test_shared_root_is_the_session_setting(spark):
 
     assert shared_root(Named) == "s3a://b/c"
     assert shared_root(spark) == shared_root(spark)
+
+
+def test_titled_csv_drops_top_lines_by_place_only(spark, tmp_path):
+    for name, title in (("a.csv", "Total"), ("b.csv", "Other")):
+        (tmp_path / name).write_text(f"{title}\nid,name\n1,a\n{title}\nid,name\n2,b\n")
+    got = files.read_csv(spark, str(tmp_path), skip_rows=1)
+    assert sorted(r["id"] for r in got.collect()) == ["1", "1", "2", "2", "Other", "Total", "id", "id"]
+
+
+def test_ingest_counts_all_batches(spark, tmp_path):
+    spark.range(130).repartition(130).write.parquet(str(tmp_path / "in"))
+    n = ingest_new(
+        spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), "id long", max_files=1
+    )
+    assert n == 130 == spark.read.parquet(str(tmp_path / "out")).count()

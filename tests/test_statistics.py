@@ -237,3 +237,11 @@ def test_degenerate_groups_give_nothing_instead_of_failing(spark):
     assert len(table) == 3
     assert T.wilcoxon(df.filter("k = 'one'"), "v", ["k"]).first()["p_value"] == 0.5
     assert len(T.shapiro(df, "v", ["k"]).collect()) == 3
+
+
+def test_rank_sum_tail_is_never_negative():
+    from tallgrain.functions.distributions import rank_sum_sf
+
+    top = 8 * 12_500
+    assert rank_sum_sf(top, 8, 12_500) == pytest.approx(1 / math.comb(12_508, 8), rel=1e-9)
+    assert rank_sum_sf(0, 8, 12_500) == 1.0
