@@ -14,6 +14,8 @@ Control strings inside a role or text are escaped, reversibly:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,39 +73,44 @@ def paths(messages: DataFrame, best: int = 1, label: str = "chat") -> DataFrame:
         up.select("tree", "node", F.col("n").alias("jump"), F.col("score").alias("total"), F.lit(1).cast("long").alias("depth")),
         f"{label}-jumps",
     )
-    rounds, most = [], nodes.count()
+    rounds, ended, most = [], [step.where("jump is null")], nodes.count()
     # After n rounds a message with a jump left is 2^n steps deep, or on its way into a cycle.
     while (1 << len(rounds)) <= most and not step.where("jump is not null").isEmpty():
-        rounds.append(step)
-        far = step.select(
+        going = step.where("jump is not null")  # who has met the root is not joined again
+        rounds.append(going)
+        known = reduce(DataFrame.unionByName, ended, going)
+        far = known.select(
             F.col("tree").alias("t"),
             F.col("node").alias("n"),
             F.col("jump").alias("jump2"),
             F.col("total").alias("total2"),
             F.col("depth").alias("depth2"),
         )
-        met = step.join(far, F.col("tree").eqNullSafe(F.col("t")) & (F.col("jump") == F.col("n")), "left")
+        met = going.join(far, F.col("tree").eqNullSafe(F.col("t")) & (F.col("jump") == F.col("n")))
         step = written(
             met.select(
                 "tree",
                 "node",
                 F.col("jump2").alias("jump"),
-                (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
-                (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
+                (F.col("total") + F.col("total2")).alias("total"),
+                (F.col("depth") + F.col("depth2")).alias("depth"),
             ),
             f"{label}-jumps",
         )
+        ended.append(step.where("jump is null"))
+    step = reduce(DataFrame.unionByName, ended)
     answered = nodes.where("parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("n")).distinct()
-    leaves = step.where("jump is null").join(
+    leaves = step.join(
         answered, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_anti"
     )
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node"))
     marked = leaves.withColumn("path", rank).where(F.col("path") <= best).select("tree", "path", "node")
     for jumps in reversed(rounds):
-        over = jumps.where("jump is not null").select(F.col("tree").alias("t"), F.col("node").alias("n"), "jump")
+        over = jumps.select(F.col("tree").alias("t"), F.col("node").alias("n"), "jump")
         reached = marked.join(over, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")))
+        # Every distance is one sum of powers of two, so no message is marked twice.
         marked = marked.unionByName(reached.select("tree", "path", F.col("jump").alias("node")))
-        marked = written(marked.distinct(), f"{label}-marked")
+        marked = written(marked, f"{label}-marked")
     depth = step.select(F.col("tree").alias("t"), F.col("node").alias("n"), "depth")
     return marked.join(depth, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))).select(
         "tree", "path", "node", "depth"
