@@ -15,9 +15,10 @@ A suffix array over a whole corpus can't be held anywhere, so suffixes are first
    anchor with the text of each range.  A task sorts all suffixes of many anchors at once, takes
    the longest common prefixes of neighbours, and scans them with a stack; each interval of at least
    ``width`` whose occurrences follow different bytes is a maximal repeat with all its occurrences.
-3. *Hot anchors.*  An anchor with more than ``GROUP`` different ranges is dealt in several parts.
-   Each part's suffix array settles what is inside it, and only the first occurrence of each
-   string is compared between the parts, by the string's hash.
+3. *Hot anchors.*  Ranges of an anchor with more than ``GROUP`` different ones are cut in two and
+   dealt by twice as much of their text.  Where that still gathers more than ``GROUP``, it is dealt
+   in several parts: each part's suffix array settles what is inside it, and only the first
+   occurrence of each string is compared between the parts, by the string's hash.
 
 No step gathers a group: a hot passage is one row a block after step 1, and a hot anchor is cut.
 """
@@ -369,41 +370,79 @@ def _between_parts(strings: DataFrame, width: int) -> DataFrame:
     return dealt.sortWithinPartitions("one", "two", "doc", "start").mapInArrow(run, "doc long, start long, size long")
 
 
+def _halves(pieces: list[bytes], anchors: np.ndarray, width: int) -> Iterator[tuple[int, int, int, int]]:
+    """(piece, first start, number of starts, key): ranges cut in two, keyed by more of their text.
+
+    Starts with more than ``half`` bytes before the anchor share the ``half + 1`` bytes before it;
+    the others share what follows it.  Equal strings hold their anchor at the same place, so they
+    fall into the same half with the same key.
+    """
+    prefix = _HASH.prefix(np.frombuffer(b"".join(pieces), np.uint8))
+    grams, half, base = _HASH.windows(prefix, GRAM), (width - GRAM) // 2, 0
+    out: list[tuple[int, int, int]] = []
+    shared: list[tuple[int, int]] = []
+    for i, (piece, anchor) in enumerate(zip(pieces, anchors)):
+        starts = len(piece) - width + 1
+        at = int(np.argmax(grams[base : base + len(piece) - GRAM + 1] == anchor))
+        cut = min(max(at - half, 0), starts)
+        if cut > 0:
+            out.append((i, 0, cut))
+            shared.append((base + at - half - 1, base + at + GRAM))
+        if cut < starts:
+            out.append((i, cut, starts - cut))
+            shared.append((base + at, base + at - half + width))
+        base += len(piece)
+    low, high = np.array(shared, np.int64).reshape(-1, 2).T
+    keys = _HASH.spans(prefix, low, high).view(np.int64).tolist()
+    yield from ((*line, key) for line, key in zip(out, keys))
+
+
+def _crowded(ranges: DataFrame, group: int) -> DataFrame:
+    """Anchors with more than ``group`` ranges: a small table, written so that its size is known."""
+    counted = ranges.groupBy("anchor").agg(F.count("*").alias("ranges"))
+    return written(counted.where(F.col("ranges") > group), "repeats-crowded")
+
+
 def _texts_of(docs: DataFrame, ranges: DataFrame, width: int, group: int) -> DataFrame:
-    """The open ranges with their text, dealt by anchor; hot anchors in parts."""
-    count = ranges.groupBy("anchor").agg(F.count("*").alias("ranges")).where(F.col("ranges") > group)
-    dealt = ranges.join(count, "anchor", "left").select(
-        "doc",
-        F.struct(
-            "anchor",
-            F.when(
-                F.col("ranges").isNotNull(),
-                F.pmod(F.xxhash64("doc", "start"), F.ceil(F.col("ranges") / group)),
-            ).otherwise(0).alias("part"),
-            F.col("ranges").isNotNull().cast("int").alias("hot"),
-            "start",
-            "size",
-        ).alias("r"),
+    """The open ranges with their text, dealt by anchor; hot anchors by more text, then in parts."""
+    dealt = ranges.join(_crowded(ranges, group), "anchor", "left").select(
+        "doc", F.struct("anchor", F.col("ranges").isNotNull().alias("hot"), "start", "size").alias("r")
     )
     found = dealt.groupBy("doc").agg(F.collect_list("r").alias("ranges"))  # at most a document's length
-    names = ["anchor", "part", "hot", "doc", "start", "text"]
+    kinds = {"anchor": pa.int64(), "halved": pa.bool_(), "doc": pa.int64(), "start": pa.int64(), "text": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 some = batch.slice(i, 256)
                 out: list[tuple] = []
+                hot: list[tuple] = []
                 for doc, text, ranges in zip(*(some.column(k).to_pylist() for k in range(3))):
                     raw = text.encode()
                     for r in ranges:
                         a = r["start"]
-                        out.append((r["anchor"], r["part"], r["hot"], doc, a, raw[a : a + r["size"] - 1 + width]))
+                        line = (r["anchor"], False, doc, a, raw[a : a + r["size"] - 1 + width])
+                        (hot if r["hot"] else out).append(line)
+                if hot:
+                    anchors = np.array([line[0] for line in hot], np.int64).view(np.uint64)
+                    for k, low, n, key in _halves([line[-1] for line in hot], anchors, width):
+                        _, _, doc, a, piece = hot[k]
+                        out.append((key, True, doc, a + low, piece[low : low + n - 1 + width]))
                 if out:
-                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
-
-    texts = docs.join(found, "doc").mapInArrow(run, "anchor long, part long, hot int, doc long, start long, text binary")
-    return texts.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+                    columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds.values())]
+                    yield pa.RecordBatch.from_arrays(columns, list(kinds))
+
+    made = docs.join(found, "doc").mapInArrow(run, "anchor long, halved boolean, doc long, start long, text binary")
+    texts = written(made, "repeats-texts")
+    crowded = F.col("ranges").isNotNull()
+    parted = texts.where("halved").join(_crowded(texts.where("halved"), group), "anchor", "left").select(
+        "anchor",
+        F.when(crowded, F.pmod(F.xxhash64("doc", "start"), F.ceil(F.col("ranges") / group))).otherwise(0).alias("part"),
+        crowded.cast("int").alias("hot"),
+        *("doc", "start", "text"),
+    )
+    whole = texts.where("not halved").select("anchor", F.lit(0).alias("part"), F.lit(0).alias("hot"), "doc", "start", "text")
+    return whole.unionByName(parted).repartition("anchor", "part").sortWithinPartitions("anchor", "part")
 
 
 def repeat_spans(
