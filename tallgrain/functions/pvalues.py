@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
@@ -138,18 +137,51 @@ def shapiro_tail(w: Column, n: Column) -> Column:
     return _double_udf(2, lambda w, n: D.shapiro_p(w, int(n)))(w, n)
 
 
-def score_sums(start: Column, stop: Column, total: Column) -> Column:
-    """Sum and sum of squares of the normal scores of the places start+1 .. stop."""
-
-    def body(start: pd.Series, stop: pd.Series, total: pd.Series) -> pd.DataFrame:
-        one, two = [], []
-        for a, b, n in zip(start, stop, total):
-            m = np.fromiter((D.normal_score(i, n) for i in range(a + 1, b + 1)), float, b - a)
-            one.append(m.sum())
-            two.append((m * m).sum())
-        return pd.DataFrame({"s": one, "ss": two})
-
-    return F.pandas_udf(body, "s double, ss double")(start, stop, total)
+# fixed values: Wichura's rational approximations of the normal quantile (1988), lowest power first;
+# for the middle, the near and the far tail
+_QUANTILE = (
+    (
+        (3.3871328727963666080, 133.14166789178437745, 1971.5909503065514427, 13731.693765509461125,
+         45921.953931549871457, 67265.770927008700853, 33430.575583588128105, 2509.0809287301226727),
+        (1.0, 42.313330701600911252, 687.18700749205790830, 5394.1960214247511077,
+         21213.794301586595867, 39307.895800092710610, 28729.085735721942674, 5226.4952788528545610),
+    ),
+    (
+        (1.42343711074968357734, 4.63033784615654529590, 5.76949722146069140550, 3.64784832476320460504,
+         1.27045825245236838258, 0.241780725177450611770, 0.0227238449892691845833, 0.000774545014278341407640),
+        (1.0, 2.05319162663775882187, 1.67638483018380384940, 0.689767334985100004550,
+         0.148103976427480074590, 0.0151986665636164571966, 0.000547593808499534494600, 1.05075007164441684324e-9),
+    ),
+    (
+        (6.65790464350110377720, 5.46378491116411436990, 1.78482653991729133580, 0.296560571828504891230,
+         0.0265321895265761230930, 0.00124266094738807843860, 2.71155556874348757815e-5, 2.01033439929228813265e-7),
+        (1.0, 0.599832206555887937690, 0.136929880922735805310, 0.0148753612908506148525,
+         0.000786869131145613259100, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15),
+    ),
+)
+
+
+def _ratio(part: int, x: Column) -> Column:
+    sides = []
+    for coefs in _QUANTILE[part]:
+        out = F.lit(coefs[-1])
+        for c in reversed(coefs[:-1]):
+            out = out * x + F.lit(c)
+        sides.append(out)
+    return sides[0] / sides[1]
+
+
+def normal_quantile(p: Column) -> Column:
+    """The normal quantile as a plain expression, for 0 < p < 1."""
+    q = p - 0.5
+    r = F.sqrt(-F.log(F.least(p, 1 - p)))
+    tail = F.signum(q) * F.when(r <= 5, _ratio(1, r - 1.6)).otherwise(_ratio(2, r - 5))
+    return F.when(F.abs(q) <= 0.425, q * _ratio(0, 0.180625 - q * q)).otherwise(tail)
+
+
+def normal_score(place: Column, total: Column) -> Column:
+    """Expected place of the ``place``-th of ``total`` sorted values on the normal scale."""
+    return normal_quantile((place - 0.375) / (total + 0.25))
 
 
 def decide(p, alpha: float = 0.05) -> Column:

@@ -21,31 +21,24 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFra
     return counted.filter(F.col("_n") >= total.scalar() * share).select(*keys)
 
 
-def spread_join(
-    facts: DataFrame,
-    dims: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    share: float = 0.01,
-) -> DataFrame:
-    """Inner or left join of facts to a table with unique keys, safe for any spread of keys.
-
-    The few hot keys are met by a broadcast of their lines (at most ``1 / share``); the other
-    rows take a normal join.  Rows without a key match nothing and are not shuffled: a left
-    join keeps them as they are.  All parts together are the whole result.
+def spread_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Inner or left join of facts to a smaller table, safe for any spread of keys.
+
+    One read of each side.  The facts of a hot key are split between tasks by adaptive execution
+    (``session.tune``), which repeats the key's few lines of ``dims`` for each piece; a side whose
+    measured size is small is broadcast.  Rows without a key match nothing: an inner join drops
+    them before the shuffle, a left join spreads them by a hash of the row.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
     on = list(on)
-    keyed = facts.filter(~_keyless(on))
-    hot = F.broadcast(hot_keys(facts, on, share))
-    hot_lines = F.broadcast(dims.join(hot, on, "left_semi"))
-    frequent = keyed.join(hot, on, "left_semi").join(hot_lines, on, how)
-    rest = keyed.join(hot, on, "left_anti").join(dims, on, how)
-    joined = frequent.unionByName(rest)
+    keyed = dims.filter(~_keyless(on))
     if how == "inner":
-        return joined
-    return joined.unionByName(facts.filter(_keyless(on)), allowMissingColumns=True)
+        return facts.filter(~_keyless(on)).join(keyed, on)
+    # keyless rows get a number of their own to be dealt by; dims have none that is not null
+    spread = F.when(_keyless(on), F.xxhash64(*facts.columns)).otherwise(F.lit(0))
+    dealt = facts.withColumn("_spread", spread).join(keyed.withColumn("_spread", F.lit(0).cast("long")), [*on, "_spread"], how)
+    return dealt.drop("_spread")
 
 
 def aligned_ratio(num: DataFrame, den: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -20,6 +20,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 # One sketch yields up to this many candidate edges; they are thinned to what the data needs.
 MAX_EDGES = 4096
 # Rows one (group, range) should hold at most, ties counted once.
@@ -332,13 +334,11 @@ def exact_quantiles(
         ((F.col("_low") >= F.col("_off")) & (F.col("_low") < F.col("_off") + F.col("_rows")))
         | ((F.col("_high") >= F.col("_off")) & (F.col("_high") < F.col("_off") + F.col("_rows")))
     )
-    small = grid.small(2 * len(probs) * len(cols))
-    if small:
-        # few lines, as the size check says: fetched once instead of being worked out twice
-        targets = df.sparkSession.createDataFrame(targets.collect(), targets.schema)
+    # written once: the planner then knows its size, and broadcasts it or not by that
+    targets = stored(targets, "quantile-places")
     wanted = targets.select(*keys, "_range").distinct()
     counted = (
-        long.join(F.broadcast(wanted) if small else wanted, [*keys, "_range"], "left_semi")
+        long.join(wanted, [*keys, "_range"], "left_semi")
         .groupBy(*keys, "_range", "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -346,7 +346,7 @@ def exact_quantiles(
     values = counted.select(
         *keys, "_range", "_value", "_n", F.sum("_n").over(run).alias("_run")
     )
-    matched = values.join(F.broadcast(targets) if small else targets, [*keys, "_range"])
+    matched = values.join(targets, [*keys, "_range"])
     first = F.col("_off") + F.col("_run") - F.col("_n")
     last = F.col("_off") + F.col("_run")
 

@@ -267,7 +267,8 @@ def shapiro(
     )
     # a long run of ties must not be scored by the one task that held its line
     pieces = pieces.repartition(*by, "_v", "_k")
-    scored = pieces.withColumn("_s", P.score_sums(F.col("_start"), F.col("_stop"), F.col("total")))
+    places = pieces.withColumn("_i", F.explode(F.sequence(F.col("_start") + 1, F.col("_stop"))))
+    scored = places.withColumn("_s", P.normal_score(F.col("_i"), F.col("total")))
 
     def at(place: Column) -> Column:
         hit = (F.col("before") < place) & (place <= F.col("before") + F.col("tie"))
@@ -276,8 +277,8 @@ def shapiro(
     total = F.col("total")
     sums = scored.groupBy(*by).agg(
         F.max("total").alias("n"),
-        F.sum("_s.ss").alias("score_sq"),
-        F.sum(F.col("_s.s") * F.col("_v")).alias("score_x"),
+        F.sum(F.col("_s") * F.col("_s")).alias("score_sq"),
+        F.sum(F.col("_s") * F.col("_v")).alias("score_x"),
         at(F.lit(1)).alias("x1"),
         at(F.lit(2)).alias("x2"),
         at(total - 1).alias("y2"),

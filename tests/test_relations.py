@@ -30,7 +30,7 @@ def skew(spark):
 def test_spread_join_is_a_join(skew, partitions, how, shuffle):
     partitions(shuffle)
     facts, dims = skew
-    assert rows(joins.spread_join(facts, dims, ["k"], how, share=0.1)) == rows(facts.join(dims, ["k"], how))
+    assert rows(joins.spread_join(facts, dims, ["k"], how)) == rows(facts.join(dims, ["k"], how))
 
 
 def test_hot_keys_are_few(skew):

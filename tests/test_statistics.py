@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallgrain.functions import distributions as D
 from tallgrain.functions.pvalues import decide
@@ -245,3 +246,20 @@ def test_rank_sum_tail_is_never_negative():
     top = 8 * 12_500
     assert rank_sum_sf(top, 8, 12_500) == pytest.approx(1 / math.comb(12_508, 8), rel=1e-9)
     assert rank_sum_sf(0, 8, 12_500) == 1.0
+
+
+def test_normal_quantile_expression(spark):
+    from statistics import NormalDist
+
+    from tallgrain.functions.pvalues import normal_quantile
+
+    ps = [1e-300, 1e-14, 1e-9, 0.001, 0.02, 0.074, 0.076, 0.3, 0.5, 0.7, 0.924, 0.926, 0.999, 1 - 1e-9]
+    df = spark.createDataFrame([(p,) for p in ps], "p double")
+    got = {r.p: r.z for r in df.select("p", normal_quantile(F.col("p")).alias("z")).collect()}
+    assert got == {p: pytest.approx(NormalDist().inv_cdf(p), rel=1e-12, abs=1e-15) for p in ps}
+
+
+def test_shapiro_with_long_ties_needs_no_python_per_row(spark):
+    df = spark.range(6000).select((F.col("id") % 3).alias("v"))
+    found = T.shapiro(df, "v", p_value=False)
+    assert 0 < found.first()["w"] < 1
