@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import bins as B
@@ -133,9 +134,18 @@ def _(t):
     return B.qcut(t.orders, "o_totalprice", 4, out="price_q").select("o_orderkey", "price_q")
 
 
-@query("cut_quantiles_approx")
+@query(
+    "cut_quantiles_approx",
+    f"""select price_q, count(*) as n_exact, true as within from ({QCUT}) group by 1""",
+)
 def _(t):
-    return B.qcut(t.orders, "o_totalprice", 4, out="price_q", approx=True).select("o_orderkey", "price_q")
+    """Rows per exact bin, and whether the approximate edges move at most a thousandth of all rows."""
+    exact = B.qcut(t.orders, "o_totalprice", 4, out="price_q")
+    both = B.qcut(exact, "o_totalprice", 4, out="near_q", approx=True)
+    moved = F.count_if(F.col("price_q") != F.col("near_q"))
+    found = both.groupBy("price_q").agg(F.count(F.lit(1)).alias("n_exact"), moved.alias("moved"))
+    every = F.sum("n_exact").over(Window.partitionBy())
+    return found.select("price_q", "n_exact", (F.col("moved") * 1000 <= every).alias("within"))
 
 
 @query(

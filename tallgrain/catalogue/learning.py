@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..learn import auc as U
@@ -109,11 +110,17 @@ def _(t):
     return found.select("feature", (F.round("g", 3) + F.lit(0.0)).alias("gradient"), "n_rows", "n_positive")
 
 
-@query("predict_probability")
+@query(
+    "predict_probability",
+    """select doc_id, quality, true as agrees, 0.0::double as calibration_gap from documents join labels using (doc_id)""",
+)
 def _(t):
+    """Probability and class of each row agree; with a free intercept the mean probability is the share of ones."""
     model, df = quality_model(t)
-    scored = model.transform(df)
-    return scored.select("doc_id", "quality", F.col("probability")[1].alias("probability"), "prediction")
+    scored = model.transform(df).withColumn("p", F.col("probability")[1])
+    gap = scored.agg(F.round(F.avg(F.col("p") - F.col("quality")), 3) + F.lit(0.0)).scalar()
+    agrees = F.col("p").between(0, 1) & (F.col("prediction") == (F.col("p") > 0.5).cast("double"))
+    return scored.select("doc_id", "quality", agrees.alias("agrees"), gap.alias("calibration_gap"))
 
 
 @query(
@@ -134,10 +141,35 @@ def vectors(t):
     return t.embeddings.select("vec_id", "label", *cols)
 
 
-@query("multinomial_regression")
+@query(
+    "multinomial_regression",
+    f"""select label::double as class, count(*) filter (h < 3006477107) as n_train, count(*) filter (h >= 3006477107) as n_test,
+              0.0::double as gradient
+       from (select label, {HASHED.format(seed=42, key='vec_id', label='split')} as h from embeddings) group by 1""",
+)
 def _(t):
+    """Per class the rows of both parts, and the largest gradient at the solution, which is zero."""
     df = vectors(t)
+    features = [f"e{i}" for i in range(64)]
     train, test = split(df, 0.7, 42, "vec_id")
+    model = L.fit_logreg(train, features, "label")
+    scored = model.transform(train)
+    lines = []
+    for i, (c, weights) in enumerate(zip(model.classes, model.coefs)):
+        off = F.col("probability")[i] - (F.col("label") == c).cast("double")
+        slopes = [F.abs(F.sum(off * F.col(f)) + w) for f, w in zip(features, weights)]
+        largest = F.greatest(F.abs(F.sum(off)), *slopes) / F.count(F.lit(1))
+        lines.append(F.struct(F.lit(c).alias("class"), (F.round(largest, 2) + F.lit(0.0)).alias("gradient")))
+    gradients = scored.agg(F.array(*lines).alias("g")).select(F.inline("g"))
+    in_class = F.col("label").cast("double").alias("class")
+    sizes = train.groupBy(in_class).agg(F.count(F.lit(1)).alias("n_train"))
+    others = test.groupBy(in_class).agg(F.count(F.lit(1)).alias("n_test"))
+    return sizes.join(others, "class").join(gradients, "class")
+
+
+@query("multinomial_accuracy")
+def _(t):
+    train, test = split(vectors(t), 0.7, 42, "vec_id")
     model = L.fit_logreg(train, [f"e{i}" for i in range(64)], "label")
     return L.accuracy(model.transform(test), "prediction", "label")
 
@@ -180,10 +212,34 @@ def _(t):
     return rounded(found, ["auc"], 9)
 
 
-@query("kmeans")
+@query(
+    "kmeans",
+    """select unnest([0, 1, 2])::int as cluster_pred, count(*) as n_rows, sum(l_orderkey)::bigint as key_sum, true as settled
+       from lineitem""",
+)
 def _(t):
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-    return K.kmeans(lines, ["l_quantity", "l_extendedprice"], 3, seed=1)
+    """Per cluster: all rows and their key sum (over the clusters), and whether the clustering has settled.
+
+    It has if nearly all rows of the cluster lie nearest to the mean of their own cluster.
+    """
+    cols = ["l_quantity", "l_extendedprice"]
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", *cols)
+    found = K.kmeans(lines, cols, 3, seed=1)
+    scaled = ColumnScaler(cols).fit(found).transform(found)
+    means = scaled.groupBy("cluster_pred").agg(*[F.avg(c) for c in cols]).orderBy("cluster_pred").collect()
+    nearest = K.nearest(cols, [tuple(m)[1:] for m in means])
+    sums = scaled.groupBy("cluster_pred").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("l_orderkey").alias("k"),
+        F.count_if(nearest != F.col("cluster_pred")).alias("astray"),
+    )
+    every = Window.partitionBy()
+    return sums.select(
+        "cluster_pred",
+        F.sum("n").over(every).alias("n_rows"),
+        F.sum("k").over(every).alias("key_sum"),
+        (F.col("astray") * 100 <= F.col("n")).alias("settled"),
+    )
 
 
 @query("kmeans_elbow")

@@ -79,9 +79,11 @@ SCORE = f"""case when p < 0.02425 then {poly_sql(OUTER[0], LOW)} / {poly_sql(OUT
    else {poly_sql(MIDDLE[0], f"pow({MID}, 2)")} * {MID} / {poly_sql(MIDDLE[1], f"pow({MID}, 2)")} end"""
 
 
-@query(
-    "shapiro",
-    f"""with r as (select event_type, value as x, row_number() over (partition by event_type order by value) as i,
+# fixed values: mean and log deviation of ln(1 - w) in the logarithm of n, highest power first
+W_MEAN = (0.0038915, -0.083751, -0.31082, -1.5861)
+W_LOG_SD = (0.0030302, -0.082676, -0.4803)
+
+SHAPIRO = f"""with r as (select event_type, value as x, row_number() over (partition by event_type order by value) as i,
                       count(*) over (partition by event_type) as n,
                       value - avg(value) over (partition by event_type) as d from events),
         m as (select *, {SCORE} as m from (select *, (i - 0.375) / (n + 0.25) as p from r)),
@@ -89,17 +91,23 @@ SCORE = f"""case when p < 0.02425 then {poly_sql(OUTER[0], LOW)} / {poly_sql(OUT
                      sum(d * d) as ss, max(x) filter (i = 1) as x1, max(x) filter (i = 2) as x2,
                      max(x) filter (i = n - 1) as y2, max(x) filter (i = n) as y1,
                      max(m) filter (i = n) as m1, max(m) filter (i = n - 1) as m2 from m group by event_type, n),
-        a as (select *, {poly_sql(A_LAST, "q")} + m1 / sqrt(sq) as a1, {poly_sql(A_NEXT, "q")} + m2 / sqrt(sq) as a2 from s)
-        select event_type, n, round(pow(a1 * (y1 - x1) + a2 * (y2 - x2) + inner_sum
-                 / sqrt((sq - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2)), 2) / ss, 6) as w from a""",
-)
+        a as (select *, {poly_sql(A_LAST, "q")} + m1 / sqrt(sq) as a1, {poly_sql(A_NEXT, "q")} + m2 / sqrt(sq) as a2 from s),
+        w as (select event_type, n, pow(a1 * (y1 - x1) + a2 * (y2 - x2) + inner_sum
+                 / sqrt((sq - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * a1 * a1 - 2 * a2 * a2)), 2) / ss as w from a)"""
+
+
+@query("shapiro", f"{SHAPIRO} select event_type, n, round(w, 6) as w from w")
 def _(t):
     return rounded(T.shapiro(t.events, "value", ["event_type"], p_value=False), ["w"])
 
 
-@query("shapiro_p")
+@query(
+    "shapiro_p",
+    f"""{SHAPIRO}, z as (select event_type, n, w, (ln(1 - w) - {poly_sql(W_MEAN, "ln(n)")}) / exp({poly_sql(W_LOG_SD, "ln(n)")}) as z from w)
+        select event_type, n, round(w, 6) as w, {greater_sql(normal_tail_sql("z"), "z")} as p_value from z""",
+)
 def _(t):
-    return T.shapiro(t.events, "value", ["event_type"])
+    return rounded(T.shapiro(t.events, "value", ["event_type"]), ["w", "p_value"])
 
 
 @query(
@@ -262,9 +270,22 @@ def _(t):
     return rounded(found, ["d"], 9)
 
 
-@query("kolmogorov_smirnov_p")
+@query(
+    "kolmogorov_smirnov_p",
+    f"""with long as (select event_type, 1 as first, value as v from {E} union all select event_type, 0, k from {E}),
+        v as (select event_type, v, sum(first) as a, sum(1 - first) as b from long where v is not null group by 1, 2),
+        c as (select event_type, sum(a) over w as ca, sum(b) over w as cb, sum(a) over g as na, sum(b) over g as nb from v
+              window w as (partition by event_type order by v), g as (partition by event_type)),
+        d as (select event_type, max(na)::bigint as n_a, max(nb)::bigint as n_b, max(abs(ca / na - cb / nb)) as d from c group by 1),
+        s as (select *, n_a as n, round(d * n_a) as c from d)
+        select event_type, n_a, n_b, round(d, 9) as d, round(least(1, (select sum(case when i * c <= n
+                 then 2 * pow(-1, i - 1) * exp(2 * lgamma(n + 1.0) - lgamma(n + i * c + 1.0) - lgamma(greatest(n - i * c, 0) + 1.0))
+                 else 0 end) from range(1, 10001) r(i))), 6) as p_value from s""",
+)
 def _(t):
-    return T.ks_columns(measured(t), "value", "k", ["event_type"])
+    """Both columns have as many values, so the SQL side can count lattice paths by reflection."""
+    found = T.ks_columns(measured(t), "value", "k", ["event_type"])
+    return found.withColumns({"d": F.round("d", 9), "p_value": F.round("p_value", 6)})
 
 
 MOOD = """with m as (select median(value) as median from events where event_type in ('purchase', 'error')),
