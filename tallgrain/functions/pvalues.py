@@ -79,8 +79,8 @@ def hypergeom_tail(k: Column, total: Column, marked: Column, drawn: Column) -> C
 def rank_sum_tail(u: Column, n1: Column, n2: Column, ties: Column) -> Column:
     """Two-sided p of the rank-sum test; ``ties`` is the sum of t^3 - t over tied values.
 
-    Exact for up to 8 values on a side without ties, else normal with tie and continuity
-    correction.
+    Exact if the smaller side has at most 8 values and there are no ties, whatever the larger
+    side's size; else normal with tie and continuity correction.
     """
 
     def p(u, n1, n2, ties):
@@ -88,7 +88,7 @@ def rank_sum_tail(u: Column, n1: Column, n2: Column, ties: Column) -> Column:
         if n1 == 0 or n2 == 0:
             return float("nan")
         u = max(u, n1 * n2 - u)
-        if min(n1, n2) <= 8 and ties == 0 and n1 * n2 <= 100_000:
+        if min(n1, n2) <= 8 and ties == 0:
             return min(1.0, 2.0 * D.rank_sum_sf(u, min(n1, n2), max(n1, n2)))
         n = n1 + n2
         var = n1 * n2 / 12.0 * ((n + 1) - ties / (n * (n - 1.0)))

@@ -116,6 +116,34 @@ def test_mannwhitney_exact(spark):
     assert row["u"] == 9 and row["p_value"] == pytest.approx(0.1)
 
 
+def test_mannwhitney_exact_against_a_hot_group(spark):
+    """Up to 8 untied values stay exact however many stand on the other side."""
+    v = F.col("id").cast("double")
+    big = spark.range(200_000).select(F.lit("b").alias("g"), v.alias("v"))
+    df = big.unionByName(spark.range(200_000, 200_001).select(F.lit("a").alias("g"), v.alias("v")))
+    row = T.mannwhitney(df, "v", "g", "a", "b").first()
+    assert row["u"] == 200_000 and row["p_value"] == pytest.approx(2 / 200_001, rel=1e-12)
+    # all 8 on top: one arrangement of C(n + 8, 8) on each side
+    df = big.unionByName(spark.range(200_000, 200_008).select(F.lit("a").alias("g"), v.alias("v")))
+    assert T.mannwhitney(df, "v", "g", "b", "a").first()["p_value"] == pytest.approx(2 / math.comb(200_008, 8), rel=1e-12)
+
+
+@pytest.mark.parametrize("n1, n2", [(1, 9), (3, 5), (5, 3), (4, 60), (7, 70), (8, 300)])
+def test_rank_sum_counts_against_plain_counting(n1, n2):
+    # whole numbers: ways[a][u] choices of a of the first b + a values, by whether the last is taken
+    ways = [[1] + [0] * (n1 * n2)] + [[0] * (n1 * n2 + 1) for _ in range(n1)]
+    for place in range(1, n1 + n2 + 1):
+        for a in range(min(n1, place), 0, -1):
+            gain = place - a  # values of the other side below the taken one
+            if gain <= n2:
+                for u in range(n1 * n2, gain - 1, -1):
+                    ways[a][u] += ways[a - 1][u - gain]
+    counts, total = ways[n1], math.comb(n1 + n2, n1)
+    assert sum(counts) == total
+    for u in {0, 1, n1 * n2 // 3, n1 * n2 // 2, n1 * n2 // 2 + 1, n1 * n2 - 5, n1 * n2}:
+        assert D.rank_sum_sf(u, n1, n2) == sum(counts[u:]) / total
+
+
 def test_kruskal_published(spark):
     """Mucociliary efficiency, Hollander and Wolfe: H = 0.77, p = 0.68."""
     x = [2.9, 3.0, 2.5, 2.6, 3.2]
