@@ -165,7 +165,8 @@ cc-by-nc; creativecommons org licenses by nc [1-4] [05]; creativecommons; 1
 cc-by-nc-sa; creativecommons org licenses by nc sa [1-4] [05]; creativecommons; 1
 cc-by-nc-nd; creativecommons org licenses by nc nd [1-4] [05]; creativecommons; 1
 cc-by; cc by licen[cs]e; cc by; 0.8
-creative-commons; creative commons licen[cs]e|some rights reserved; creative commons; 0.6
+creative-commons; creative commons licen[cs]e; creative commons; 0.6
+creative-commons; some rights reserved; rights reserved; 0.6
 ofl; this font software is licensed under the sil open font license; open font; 1
 ofl; scripts sil org ofl; ofl; 0.9
 wtfpl; you just do what the fuck you want to; fuck you want; 0.95

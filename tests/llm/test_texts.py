@@ -115,6 +115,43 @@ def test_license_base_places_against_a_plain_scan(spark, odd, empty):
     assert licenses.scan(odd).count() == len(ODD) and licenses.scan(empty).count() == 0
 
 
+def shortest_and_longer(parsed):
+    """Texts of a parsed pattern: every alternative, every optional part with and without."""
+    out = [""]
+    for kind, value in parsed:
+        name = str(kind)
+        if name == "LITERAL":
+            more = [chr(value)]
+        elif name == "BRANCH":
+            more = [x for branch in value[1] for x in shortest_and_longer(branch)]
+        elif name == "SUBPATTERN":
+            more = shortest_and_longer(value[-1])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            least, most, what = value
+            more = [x * n for n in sorted({least, min(most, least + 1)}) for x in shortest_and_longer(what)]
+        elif name == "IN":
+            (first, low), *_ = value
+            more = ["w" if str(first) == "CATEGORY" else chr(low[0] if str(first) == "RANGE" else low)]
+        else:
+            assert name == "ANY"
+            more = ["x"]
+        out = [a + b for a in out for b in dict.fromkeys(more)]
+    return out
+
+
+def test_every_alternative_of_a_license_rule_holds_its_keyword():
+    for rule, compiled in zip(licenses.rules(), licenses.scanner().compiled):
+        for text in shortest_and_longer(re._parser.parse(rule.pattern)):
+            assert compiled.fullmatch(text), (rule, text)
+            assert rule.keyword in text, (rule, text)
+
+
+def test_some_rights_reserved_needs_no_other_words():
+    assert licenses.scan_text("Photos: some rights reserved.")[5:] == ("creative-commons", 0.6)
+    assert licenses.scan_text("a Creative Commons license")[5:] == ("creative-commons", 0.6)
+    assert licenses.scan_text("All rights reserved.")[5:] == ("proprietary", 0.5)
+
+
 def test_license_rules_find_their_keywords_and_settle_overlaps():
     # What the keywords let through is what all rules would find.
     every = licenses.rules()
