@@ -244,11 +244,17 @@ def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", width: i
 
 
 def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``df`` whose key is the smallest of its group; all columns stay.
+    """One row of each group of near copies, the one with the smallest key; all columns stay.
 
-    A key that several rows share is kept once; rows without a key stay as they are.
+    Rows are told apart by key and text: different texts under one key are compared like any
+    others, and rows equal in both are kept once.  A row without a key stays if no row with one is
+    near it; of several such rows near each other one stays.
     """
-    keyed = df.where(F.col(key).isNotNull())
-    groups = near_groups(keyed, text, key, **options)
-    copies = groups.where(F.col(key) != F.col("component_id")).select(key)
-    return keyed.join(copies, key, "left_anti").dropDuplicates([key]).unionByName(df.where(F.col(key).isNull()))
+    if {"_one", "_two"} & set(df.columns):
+        raise ValueError("columns '_one' and '_two' are used inside")
+    both = [F.isnull(key), F.isnull(text), F.col(key), F.col(text)]
+    marked = df.withColumns({"_one": F.xxhash64(F.lit(1), *both), "_two": F.xxhash64(F.lit(2), *both)})
+    row = F.struct(F.isnull(key).alias("last"), F.col(key).alias("key"), "_one", "_two")
+    groups = near_groups(marked.select(text, row.alias("_row")), text, "_row", **options)
+    copies = groups.where("_row <> component_id").select("_row._one", "_row._two")
+    return marked.join(copies, ["_one", "_two"], "left_anti").dropDuplicates(["_one", "_two"]).select(*df.columns)

@@ -118,6 +118,29 @@ def test_near_groups_against_brute_force(spark):
     assert simhash.near_groups(df.limit(0)).count() == 0
 
 
+def test_keep_one_drops_copies_and_not_their_keys(spark):
+    one = " ".join(f"a{i}" for i in range(80))
+    two = " ".join(f"b{i}" for i in range(80))
+    three = " ".join(f"c{i}" for i in range(80))
+    rows = [
+        (1, one, "kept"),
+        (5, one.upper(), "copy of 1"),
+        (5, two, "only the key is that of a copy"),
+        (7, three, "kept"),
+        (7, "other words under the same key", "kept"),
+        (7, three, "kept"),
+        (None, two, "copy of 5"),
+        (None, "no key, no copy", "kept"),
+        (None, "no key, no copy", "kept"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, note string").repartition(4)
+    left = simhash.keep_one(df)
+    assert left.columns == df.columns
+    want = [rows[0], rows[2], rows[3], rows[4], rows[7]]
+    assert sorted(map(tuple, left.collect()), key=str) == sorted(want, key=str)
+    assert simhash.keep_one(df.limit(0)).count() == 0
+
+
 def test_links_never_grow_with_the_square():
     fp = np.array([1 << i for i in range(40)] + [0], np.uint64)
     assert len(simhash._links_in_bucket(fp, 4)) == len(fp) - 1
