@@ -445,27 +445,41 @@ def _texts_of(docs: DataFrame, ranges: DataFrame, width: int, group: int) -> Dat
     return whole.unionByName(parted).repartition("anchor", "part").sortWithinPartitions("anchor", "part")
 
 
+def _numbered(df: DataFrame, text: str, key: str) -> DataFrame:
+    """``df`` with ``doc``: one number for each pair of key and text, in the order of the keys.
+
+    It is the key itself where no key has two texts.  Otherwise pairs are numbered after a sort by
+    key and hash of the text, without gathering a key in one task, and the rows written once.
+    """
+    present = F.col(key).isNotNull() & F.col(text).isNotNull()
+    plain = F.when(present, F.col(key).cast("long"))
+    marked = df.withColumns({"doc": plain, "_text_hash": F.when(present, F.xxhash64(text))})
+    pairs = marked.where(present).select("doc", "_text_hash").distinct()
+    if pairs.groupBy("doc").count().where("count > 1").isEmpty():
+        return df.withColumn("doc", plain)
+    numbers = pairs.orderBy("doc", "_text_hash").withColumn("_number", F.monotonically_increasing_id())
+    joined = marked.join(written(numbers, "repeats-numbers"), ["doc", "_text_hash"], "left")
+    return written(joined.select(*df.columns, F.col("_number").alias("doc")), "repeats-numbered")
+
+
 def repeat_spans(
     df: DataFrame,
     text: str = "text",
-    key: str = "doc_id",
     width: int = WIDTH,
     *,
     block: int = BLOCK,
     many: int = MANY,
     group: int = GROUP,
 ) -> DataFrame:
-    """(doc, spans): for each key with anything to remove, its sorted list of (start, size) in bytes.
+    """(doc, spans): for each ``doc`` with anything to remove, its sorted list of (start, size) in bytes.
 
-    Rows without key or text have nothing to remove.  Rows that repeat a key count as one document
-    read twice: neither is earlier than the other.  ``block``, ``many`` and ``group`` steer the
-    spread of work; results do not depend on them.
+    ``df`` comes from ``_numbered``; rows without a number have nothing to remove.  Rows that
+    repeat a number count as one document read twice: neither is earlier than the other.
+    ``block``, ``many`` and ``group`` steer the spread of work; results do not depend on them.
     """
     if width <= GRAM or width - GRAM + 1 > 255:
         raise ValueError(f"width must be between {GRAM + 1} and {GRAM + 254}")
-    docs = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(key).cast("long").alias("doc"), F.col(text).alias("text")
-    )
+    docs = df.where(F.col("doc").isNotNull()).select("doc", F.col(text).alias("text"))
     first = written(_settled(_ranges(docs, width, block, many), width), "repeats-ranges")
     second = written(_compared(_texts_of(docs, first.where("open"), width, group), width, group), "repeats-compared")
     third = _between_parts(second.where("size = 0"), width)
@@ -489,8 +503,9 @@ def _cut(raw: bytes, spans: list[dict] | None) -> tuple[list[tuple[int, int]], i
 
 
 def _with_spans(df: DataFrame, text: str, key: str, width: int, **spread: int) -> DataFrame:
-    spans = repeat_spans(df, text, key, width, **spread)
-    return df.join(spans, df[key].cast("long") == spans["doc"], "left").drop("doc")
+    """``df`` with ``spans``; different texts under one key are documents of their own."""
+    numbered = _numbered(df, text, key)
+    return numbered.join(repeat_spans(numbered, text, width, **spread), "doc", "left").drop("doc")
 
 
 def digests(df: DataFrame, width: int = WIDTH, **spread: int) -> DataFrame:
@@ -535,8 +550,8 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", width
 
     A character is cut only if all its bytes are; a text may become empty, null stays null.
     """
-    if "spans" in df.columns or "doc" in df.columns:
-        raise ValueError("columns 'spans' and 'doc' are used inside")
+    if {"spans", "doc", "_text_hash", "_number"} & set(df.columns):
+        raise ValueError("columns 'spans', 'doc', '_text_hash' and '_number' are used inside")
     names = df.columns
     at = names.index(text)
 

@@ -55,6 +55,35 @@ def test_repeats_of_odd_tables(spark):
     assert suffix.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_repeats_of_different_texts_under_one_key(spark):
+    rng = random.Random(11)
+
+    def letters(n):
+        return "".join(rng.choice("abcdefgh") for _ in range(n))
+
+    shared, far = letters(130), letters(140)
+    rows = [
+        (1, letters(50) + shared + letters(300) + far, "a"),
+        (1, letters(20), "b"),
+        (1, shared + letters(7), "c"),
+        (1, letters(150), "d"),
+        (0, letters(30) + far, "e"),
+        (2, shared + "xyz" + far + "x", "f"),
+        (2, "y" * 40, "g"),
+        (None, shared, "h"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, other string").repartition(4)
+    left = suffix.remove_repeats(df)
+    assert left.columns == df.columns and left.count() == len(rows)
+    full, got = {o: t for _, t, o in rows}, {r.other: r.text for r in left.collect()}
+    assert got["f"] == "xyzx" and all(got[o] == full[o] for o in "bdegh")
+    cut = {o: full[o].replace(far, "") for o in "ac"}  # 0 has that passage earlier
+    # of the two rows under key 1 that hold the other passage, one keeps it
+    assert (got["a"], got["c"]) in {(cut["a"].replace(shared, ""), cut["c"]), (cut["a"], cut["c"].replace(shared, ""))}
+    sizes = {(r.n_bytes, r.n_removed) for r in suffix.digests(df).collect()}
+    assert sizes == {(len(full[o]), len(full[o]) - len(got[o])) for o in full}
+
+
 def test_maximal_repeats_hold_all_occurrences():
     texts = [b"P" * 3 + b"abcdefgh" * 20 + b"Q", b"R" + b"abcdefgh" * 20, b"zz" + b"abcdefgh" * 20]
     array = suffix.SuffixArray(texts, np.array([1, 2, 3]), np.array([0, 0, 0]), 100)
