@@ -21,14 +21,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Hasher, crc_remainder, seeded, steps, text_bytes
+from .common import Hasher, crc_remainder, seeded, steps, text_bytes, written
 
 #: The answer for a text without any letter.
 UNKNOWN = "und"
 WIDTHS = (2, 3, 4)
+#: Rows that each language has in the sample, if it has as many.
+FLOOR = 20
 
 _LOWER = np.full(256, 32, np.uint8)
 _LOWER[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -174,6 +176,18 @@ def _calibrate(raw: np.ndarray, truth: np.ndarray, precision: float) -> tuple[fl
     return temperature, float(score[order[good[-1]]]) if len(good) else 1.0
 
 
+def _dealt(marks: DataFrame, kept: Column, max_rows: int) -> DataFrame:
+    """(_key, _turn): at most ``max_rows`` keys; ``_turn`` is 0 for the first of each language."""
+    # Tasks drop all but the first rows of a language before they are shuffled.
+    place = F.row_number().over(Window.partitionBy("_lang").orderBy(kept, "_u", "_key"))
+    early = marks.withColumn("_place", place).where(F.col("_place") <= FLOOR)
+    one = early.where("_place = 1").select("_key", "_u", F.lit(0).alias("_turn"))
+    few = early.orderBy("_place", "_u", "_key").limit(max_rows // 2).select("_key", "_u", F.lit(1).alias("_turn"))
+    rest = marks.orderBy("_u", "_key").limit(max_rows).select("_key", "_u", F.lit(2).alias("_turn"))
+    turns = one.unionByName(few).unionByName(rest).groupBy("_key", "_u").agg(F.min("_turn").alias("_turn"))
+    return written(turns.orderBy("_turn", "_u", "_key").limit(max_rows).select("_key", "_turn"), "language-keys")
+
+
 def fit(
     docs: DataFrame,
     text: str = "text",
@@ -190,22 +204,27 @@ def fit(
 ) -> LanguageModel:
     """Train on at most ``max_rows`` rows with text and language; others take no part.
 
-    The sample is taken on keys alone.  One task reads its texts once per epoch in a seeded order;
-    the rows kept for calibration come last.  Without any row the model knows no language.
+    The sample is taken on keys and languages alone: the first rows of each language that any row
+    has, ``FLOOR`` if they fill at most half of the sample, then rows of all languages by chance.
+    A language is left out only if there are more languages than ``max_rows``.  One task reads the
+    texts once per epoch in a seeded order; the rows kept for calibration come last.  Without any
+    row the model knows no language.
     """
     some = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    keys = some.select(F.col(key).alias("_key"), seeded(seed, F.col(key)).alias("_u")).orderBy("_u", "_key").limit(max_rows)
     kept = F.pmod(F.xxhash64(F.lit(seed + 1), "_key"), F.lit(5)) == 0
+    marks = some.select(F.col(key).alias("_key"), seeded(seed, F.col(key)).alias("_u"), F.col(lang).alias("_lang"))
+    keys = _dealt(marks, kept, max_rows)
+    kept = kept & (F.col("_turn") > 0)  # what a language has first is learnt from
     rows = (
-        some.join(F.broadcast(keys.distinct()), F.col(key).eqNullSafe(F.col("_key")))
-        .select(F.col(text).alias("text"), F.col(lang).alias("lang"), "_key")
+        some.join(F.broadcast(keys), F.col(key).eqNullSafe(F.col("_key")))
+        .select(F.col(text).alias("text"), F.col(lang).alias("lang"), "_key", "_turn")
         .withColumn("epoch", F.explode(F.when(kept, F.array(F.lit(epochs + 1))).otherwise(F.sequence(F.lit(1), F.lit(epochs)))))
         .withColumn("_u", F.xxhash64(F.lit(seed), "epoch", "_key"))
         .repartition(1)
         .sortWithinPartitions("epoch", "_u", "_key", "text", "lang")
         .select("text", "lang", "epoch")
     )
-    sample = some.join(F.broadcast(keys.distinct()), F.col(key).eqNullSafe(F.col("_key")))
+    sample = some.join(F.broadcast(keys), F.col(key).eqNullSafe(F.col("_key")))
     langs = tuple(r[0] for r in sample.select(lang).distinct().orderBy(lang).collect())  # at most max_rows
     if not langs:
         return LanguageModel((), np.zeros((1 << bits, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)

@@ -91,6 +91,21 @@ def test_language_on_held_out_rows(spark, odd, empty):
     assert {r.lang_pred for r in untaught.predict(odd).collect()} == {"und"}
 
 
+def test_rare_languages_are_learnt(spark):
+    common = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("the cat sat on the mat").alias("text"), F.lit("en").alias("lang"))
+    rare = [(5000 + i, "größe straße übermäßig", "de") for i in range(30)]
+    rare += [(6000 + i, "слово", f"x{i}") for i in range(5)]
+    docs = common.unionByName(spark.createDataFrame(rare, "doc_id long, text string, lang string"))
+    model = language.fit(docs, max_rows=100)
+    assert set(model.langs) == {"en", "de", *(f"x{i}" for i in range(5))}
+    marks = docs.select(F.col("doc_id").alias("_key"), F.rand(3).alias("_u"), F.col("lang").alias("_lang"))
+    keys = language._dealt(marks, F.col("_key") % 5 == 0, 100)
+    counts = {r.lang: r["count"] for r in docs.join(keys, docs["doc_id"] == keys["_key"]).groupBy("lang").count().collect()}
+    assert counts["de"] >= language.FLOOR and sum(counts.values()) == 100
+    guess = {r.text: r.lang_pred for r in model.predict(docs.where("doc_id in (1, 5000)")).collect()}
+    assert guess == {"the cat sat on the mat": "en", "größe straße übermäßig": "de"}
+
+
 def plain_places(text):
     lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower)
