@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import bpe, chat, language, licenses, mixing, quality, rules, simhash, suffix, topk
+from . import bpe, chat, language, licenses, mixing, packing, quality, rules, simhash, spelling, suffix, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -239,3 +239,21 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op12_mixture_packing")
+def mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, in sequences that each mirror the sources' shares of all tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), F.col("source"))
+
+
+@query("op13_spelling_variants")
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated long word with its commoner spelling, if one is an edit away."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
