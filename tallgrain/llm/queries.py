@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import bpe, chat, language, licenses, mixing, packing, quality, rules, simhash, spelling, suffix, topk
+from . import bpe, chat, collocations, language, licenses, mixing, packing, quality, rules, simhash, spelling, suffix, topk
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -241,6 +241,12 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_collocations")
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of two to four words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
