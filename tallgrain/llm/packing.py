@@ -20,8 +20,8 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
-from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,21 +34,65 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: Segments that a worker remembers; what is beyond is encoded again.
-REMEMBERED = 1 << 18
-#: Characters of text that are encoded at once.
-STEP_CHARS = 1 << 20
+#: Characters of text whose segments are told apart together.
+STEP_CHARS = 1 << 23
+#: Pieces that are encoded together.
+JOINED = 1 << 12
 #: Queues with a share of their own; sources beyond share one queue.
 MAX_QUEUES = 1024
 #: Entries of the (queue x packet) matrices that one numpy step fills.
 STEP_CELLS = 1 << 22
 
 
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Places of blanks that follow a character other than white space, as far as a look at bytes tells.
+
+    No match of a byte-level tokenizer's splitting pattern holds white space after something else,
+    so a text may be cut there without a change of its ids.  After characters of three bytes that
+    begin with E1, E2 or E3, some of which are white space, nothing is cut.
+    """
+    at = np.flatnonzero(data == 32)
+    at = at[at > 0]
+    one = data[at - 1]
+    two, three, four = (np.where(at >= k, data[at - k], 0) for k in (2, 3, 4))
+    plain = (one > 32) & (one < 127)
+    plain |= (one >= 128) & (two >= 0xC3) & (two < 0xE0)
+    plain |= (one >= 128) & (two >= 128) & (two < 0xC0) & (three >= 0xE4) & (three < 0xF0)
+    plain |= (one >= 128) & (three >= 128) & (three < 0xC0) & (four >= 0xF0)
+    return at[plain]
+
+
+def simple_pattern() -> re.Pattern:
+    """The splitting pattern of byte-level tokenizers for code points below U+0250.
+
+    There the categories of Unicode are settled, so no library differs from another.
+    """
+    kinds = {"L": "", "N": ""}
+    for c in map(chr, range(0x250)):
+        kind = unicodedata.category(c)[0]
+        if kind in kinds:
+            kinds[kind] += c  # letters and digits mean themselves in a class
+    space = "\\t-\\r \x85\xa0"
+    runs = f" ?[{kinds['L']}]+| ?[{kinds['N']}]+| ?[^{space}{kinds['L']}{kinds['N']}]+"
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|{runs}|[{space}]+(?![^{space}])|[{space}]+")
+
+
+def byte_characters() -> str:
+    """The character that stands for each byte in the tokens of a byte-level vocabulary.
+
+    Bytes that print in Latin-1 stand for themselves, the others follow from U+0100 on.
+    """
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return "".join(chr(b if b in plain else next(others)) for b in range(0x100))
+
+
 class Encoder:
-    """Ids of whole texts by a tokenizer file, each different segment encoded once.
+    """Ids of whole texts by a tokenizer file, each different piece of a step's texts encoded once.
 
-    No match of a byte-level tokenizer's splitting pattern holds white space after something
-    else, so a text may be cut before every blank that follows a character other than white space.
+    Segments of code points below U+0250 are split into pieces here, and the tokenizer's model gets
+    different pieces only; other segments go through the tokenizer as they are.  The numbers of
+    bytes that ids stand for tell where each piece begins among the ids.
     """
 
     def __init__(self, path: str):
@@ -57,35 +101,83 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-        self.irregular = re.compile(r"\s(?= )")
-        self.cuts = re.compile(r"(?<=\S)(?= )")
-
-    def segments(self, text: str) -> list[str]:
-        if self.irregular.search(text):
-            return self.cuts.split(text)
-        first, *others = text.split(" ")
-        return ([first] if first else []) + [" " + other for other in others]
-
-    def _learn(self, segments: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)
-        self.known.update((s, array("I", e.ids).tobytes()) for s, e in zip(segments, found))
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text as 32-bit integers."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        cut = [self.segments(text) for text in texts]
-        new = {s for some in cut for s in some}.difference(self.known)
-        short = [s for s in new if len(s) <= 1000]
-        if short:
-            self._learn(short)
-        for segment in new.difference(short):
-            self._learn([segment])
-        for some in cut:
-            yield b"".join(map(self.known.__getitem__, some))
-        for segment in new.difference(short):
-            del self.known[segment]
+        self.model = Tokenizer(self.tokenizer.model)  # takes pieces, in the characters of its bytes
+        tokens = self.tokenizer.get_vocab()
+        self.width = np.zeros(max(tokens.values()) + 1, np.int64)  # a byte is one character of a token
+        self.width[list(tokens.values())] = list(map(len, tokens))
+        self.pattern, self.characters = simple_pattern(), byte_characters()
+
+    def _pieces(self, pieces: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of pieces, number of ids of each)."""
+        at, raw = _bytes(pieces)
+        spelled = raw.tobytes().decode("latin-1").translate(self.characters)
+        ends = at.tolist()
+        words = [spelled[a:b] for a, b in zip(ends, ends[1:])]
+        many = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        found = self.model.encode_batch_fast(many, is_pretokenized=True, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, np.int64), *(np.array(e.ids, np.int64) for e in found)])
+        return ids, self._sizes(ids, at)
+
+    def _sizes(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Numbers of ids between places that are given in bytes."""
+        reached = np.concatenate([[0], np.cumsum(self.width[ids])])
+        places = np.searchsorted(reached, at)
+        if len(ids) < places[-1] or not (reached[places] == at).all():
+            raise RuntimeError("an id goes over a border")
+        return np.diff(places)
+
+    def _segments(self, segments: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all segments, number of ids of each)."""
+        at, raw = _bytes(segments)
+        last, before = raw[at[1:] - 1], raw[np.maximum(at[1:] - 2, 0)]
+        # Blanks may be cut off behind these, so such segments may stand behind each other.
+        free = (raw[at[:-1]] == 32) & (((last > 32) & (last < 127)) | ((last >= 128) & (before >= 0xC3)))
+        free &= np.add.reduceat(raw >= 0xC9, at[:-1], dtype=np.int64) == 0
+        simple = segments.filter(pa.array(free))
+        ends, data = _bytes(simple)
+        pieces = pa.array(self.pattern.findall(data.tobytes().decode()), pa.large_string()).dictionary_encode()
+        flat, size = self._pieces(pieces.dictionary)
+        code = np.asarray(pieces.indices)
+        ids = gathered(flat, (np.cumsum(size) - size)[code], size[code])
+        own = np.zeros(len(segments), np.int64)
+        own[free] = self._sizes(ids, ends)
+        found = self.tokenizer.encode_batch_fast(segments.filter(pa.array(~free)).to_pylist(), add_special_tokens=False)
+        own[~free] = list(map(len, found))
+        first = np.zeros(len(segments), np.int64)
+        first[free] = np.cumsum(own[free]) - own[free]
+        first[~free] = len(ids) + np.cumsum(own[~free]) - own[~free]
+        return gathered(np.concatenate([ids, *(np.array(e.ids, np.int64) for e in found)]), first, own), own
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each)."""
+        raw = [t.encode() for t in texts]
+        bounds = np.concatenate([[0], np.cumsum(list(map(len, raw)))])
+        data = b"".join(raw)
+        if not data:
+            return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+        begin = np.zeros(len(data) + 1, bool)
+        begin[bounds] = True
+        begin[cuts(np.frombuffer(data, np.uint8))] = True
+        offsets = np.flatnonzero(begin)
+        segments = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        flat, size = self._segments(segments.dictionary)
+        code = np.asarray(segments.indices)
+        reached = np.concatenate([[0], np.cumsum(size[code])])[np.searchsorted(offsets, bounds)]
+        return gathered(flat, (np.cumsum(size) - size)[code], size[code]), np.diff(reached)
+
+
+def _bytes(strings: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of strings without nulls."""
+    _, offsets, data = strings.buffers()
+    at = np.frombuffer(offsets, np.int64)[strings.offset : strings.offset + len(strings) + 1] if len(strings) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return at - at[0], raw[at[0] : at[-1]]
+
+
+def gathered(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The slices ``flat[first : first + size]`` one after the other."""
+    ends = np.cumsum(size)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)]
 
 
 @lru_cache(maxsize=4)
@@ -94,11 +186,10 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def id_lists(found: list[np.ndarray]) -> pa.Array:
+def id_lists(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
     """An Arrow list column of 32-bit ids."""
-    ends = np.cumsum([0, *map(len, found)])
-    flat = np.concatenate([np.zeros(0, np.int32), *(f.view("<i4") for f in found)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
 
 
 def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
@@ -121,27 +212,26 @@ def tokens(df: DataFrame, path: str, queue: Column, key: str, text: str, end_id:
     ``before`` counts the tokens of the same queue that stand earlier in the same partition.
     """
     chosen = df.select(F.col(key).alias("key"), F.coalesce(queue.cast("string"), F.lit("")).alias("name"), F.col(text).alias("text"))
-    last = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, met = TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             for first, texts in _texts(batch.column(2)):
                 some = batch.slice(first, len(texts))
-                queues = some.column(1).to_pylist()
-                ids = [np.frombuffer(x + last, "<u4") for x in encoder(path).encode(texts)]
+                ids, count = encoder(path).encode(texts)
+                ends = np.cumsum(count)
+                ids = np.insert(ids, ends, end_id)
                 before = []
-                for name, x in zip(queues, ids):
+                for name, n in zip(some.column(1).to_pylist(), (count + 1).tolist()):
                     before.append(met[name])
-                    met[name] += len(x)
+                    met[name] += n
                 yield pa.RecordBatch.from_arrays(
                     [
                         some.column(0),
                         some.column(1),
-                        pa.array(np.full(len(ids), part, np.int64)),
+                        pa.array(np.full(len(texts), part, np.int64)),
                         pa.array(before, pa.int64()),
-                        pa.array(map(len, ids), pa.int64()),
-                        id_lists(ids),
+                        pa.array(count + 1),
+                        id_lists(ids, count + 1),
                     ],
                     ["key", "name", "part", "before", "n_tokens", "ids"],
                 )
@@ -294,7 +384,8 @@ def pack(
         weights = np.array([targets.get(name, others) for name, _ in own])
     numbers = spark.createDataFrame([(name, i) for i, (name, _) in enumerate(own)], "name string, queue long")
     numbered = cells.join(F.broadcast(numbers), "name", "left").fillna(len(own), ["queue"])
-    placed = made.join(_bases(numbered), ["name", "part"]).select(
+    bases = written(_bases(numbered), "packing-bases")  # its size is known then, which decides how it is joined
+    placed = made.join(bases, ["name", "part"]).select(
         "key", "queue", (F.col("base") + F.col("before")).alias("at"), "n_tokens", "ids"
     )
     return _cut(placed, Schedule(sizes, weights, width, grain), key, with_ids)
@@ -325,7 +416,7 @@ def _cut(placed: DataFrame, schedule: Schedule, key: str, with_ids: bool) -> Dat
                     pa.array(offset),
                 ]
                 if with_ids:
-                    columns.append(id_lists([flat[a:b] for a, b in zip(low.tolist(), (low + length).tolist())]))
+                    columns.append(id_lists(gathered(flat, low, length), length))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = placed.schema["key"].dataType.simpleString()
