@@ -5,17 +5,22 @@ is a pure function of the value, so it is the same in every pass and on every re
 Equal values are counted together before any shuffle, which turns the most frequent
 value of a group into a single row.  Running totals are then taken inside a
 (group, range), and the totals of the earlier ranges are added.
+
+The sketch is made in stages: tasks' sketches meet in a fixed number of slots, and only the
+slots' marks, a fixed number again, come together.  Where the counts of the ranges show that
+one holds too many rows, it gets a sketch and edges of its own, until none is too full.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 from operator import or_
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +29,12 @@ from ..session import stored
 
 # One sketch yields up to this many candidate edges; they are thinned to what the data needs.
 MAX_EDGES = 4096
-# Rows one (group, range) should hold at most, ties counted once.
+# Rows one range should hold at most; rows of one value are never parted, and count as one line.
 ROWS_PER_RANGE = 1_000_000
+# Sketches of tasks are merged in so many slots, each by a task of its own.
+SKETCH_SLOTS = 64
+# Edges of one column that reach the driver at most.
+MOST_EDGES = 1 << 17
 # Group tables up to this many rows may be broadcast.
 SMALL_GROUPS = 50_000
 
@@ -90,43 +99,108 @@ def number(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("double")
 
 
+def _merged_marks(lists: Sequence[tuple[int, Sequence[float]]], marks: int) -> list[float]:
+    """Marks at equal shares of all rows, from the marks of slots with their numbers of rows."""
+    lists = [(n, found) for n, found in lists if found]
+    if not lists:
+        return []
+    values = np.concatenate([np.array(found, float) for _, found in lists])
+    weights = np.concatenate([np.full(len(found), n / len(found)) for n, found in lists])
+    order = np.argsort(values, kind="stable")
+    reached = np.cumsum(weights[order])
+    at = np.searchsorted(reached, reached[-1] * np.arange(1, marks) / marks)
+    return values[order][np.minimum(at, len(values) - 1)].tolist()
+
+
+def _numbered(df: DataFrame, cols: Sequence[str], edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    """(column number, range, value) of every value that is present."""
+    ranged = df.select(*cols)
+    for i, c in enumerate(cols):
+        ranged = with_range(ranged, c, edges[c], f"_r{i}")
+    cells = [F.struct(F.lit(i).alias("c"), F.col(f"_r{i}").alias("r"), number(df, c).alias("v")) for i, c in enumerate(cols)]
+    return ranged.select(F.inline(F.array(*cells))).where(F.col("v").isNotNull() & ~F.isnan("v"))
+
+
+def refined_edges(
+    df: DataFrame, cols: Sequence[str], edges: Mapping[str, Sequence[float]], limit: int
+) -> dict[str, list[float]]:
+    """Edges with more of them inside ranges of more than ``limit`` rows, until no such range is left.
+
+    A range of a single value can't be cut.  Each round counts all ranges of all columns in one
+    aggregation; the too full ones are sketched side by side, one group each.
+    """
+    now = {c: sorted(edges[c]) for c in cols}
+    while True:
+        cells = _numbered(df, cols, now)
+        counts = cells.groupBy("c", "r").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        full = counts.where((F.col("n") > limit) & (F.col("low") < F.col("high"))).collect()
+        full = [x for x in full if len(now[cols[x["c"]]]) < MOST_EDGES]
+        if not full:
+            return now
+        marks = min(MAX_EDGES, 2 * math.ceil(max(x["n"] for x in full) / limit))
+        wanted = F.expr("array(" + ",".join(f"{i / marks}D" for i in range(1, marks)) + ")")
+        asked = df.sparkSession.createDataFrame([(x["c"], x["r"]) for x in full], "c int, r int")
+        inside = cells.join(F.broadcast(asked), ["c", "r"])
+        found = inside.groupBy("c", "r").agg(F.percentile_approx("v", wanted, 4 * marks).alias("e")).collect()
+        low = {(x["c"], x["r"]): x["low"] for x in full}
+        fresh: dict[str, set[float]] = defaultdict(set)
+        for x in found:
+            for value, times in Counter(x["e"]).items():
+                # a value that fills several marks gets a range of its own
+                new = [value] if times == 1 else [value, float(np.nextafter(value, math.inf))]
+                fresh[cols[x["c"]]].update(v for v in new if v > low[(x["c"], x["r"])])
+        grown = {c: sorted({*now[c], *fresh[c]}) for c in cols}
+        if grown == now:
+            return now
+        now = grown
+
+
 def value_grid(
-    df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), ranges: int | None = None
+    df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), ranges: int | None = None, limit: int | None = None
 ) -> ValueGrid:
-    """Edges for every column from one map-side aggregation; a few numbers reach the driver."""
+    """Edges for every column from one map-side aggregation; a few numbers reach the driver.
+
+    No range holds more than ``limit`` rows (default ``ROWS_PER_RANGE``), but for one of a single value.
+    """
     spark = df.sparkSession
+    limit = limit or ROWS_PER_RANGE
     slots = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
     marks = min(MAX_EDGES, max(512, 16 * slots))
     # as text: building thousands of literals one by one costs more than the scan
     wanted = F.expr("array(" + ",".join(f"{i / marks}D" for i in range(1, marks)) + ")")
-    groups = F.approx_count_distinct(F.struct(*by)) if by else F.lit(1)
     seen = df.select(
-        *by,
+        (F.spark_partition_id() % SKETCH_SLOTS).alias("_slot"),
         (F.rand(1) < SKETCH_SHARE).alias("_seen"),
+        (F.xxhash64(*by) if by else F.lit(0).cast("bigint")).alias("_group"),
         *[number(df, c).alias(f"_v{i}") for i, c in enumerate(cols)],
     )
     picked = [
         F.percentile_approx(F.when(F.col("_seen"), F.col(f"_v{i}")), wanted, 4 * marks).alias(f"e{i}")
         for i in range(len(cols))
     ]
-    row = seen.agg(F.count(F.lit(1)).alias("n"), groups.alias("g"), *picked).first()
+    sketch = [F.hll_sketch_agg("_group").alias("g")] if by else []
+    parts = seen.groupBy("_slot").agg(F.count(F.lit(1)).alias("n"), *sketch, *picked)
+    groups = F.hll_sketch_estimate(F.hll_union_agg("g")) if by else F.lit(1)
+    lists = [F.collect_list(F.struct("n", f"e{i}")).alias(f"e{i}") for i in range(len(cols))]
+    row = parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), groups.alias("g"), *lists).first()
     if ranges is None:
-        ranges = max(slots, math.ceil(row["n"] / ROWS_PER_RANGE))
+        ranges = max(slots, math.ceil(row["n"] / limit))
     ranges = max(1, min(ranges, marks))
     # a key is hot if it alone would fill more than an even share of the slots
     hot_share = max(HOT_SHARE, 1 / slots)
     edges, frequent = {}, {}
     for i, c in enumerate(cols):
-        found = row[f"e{i}"] or []
+        found = _merged_marks(row[f"e{i}"], marks)
         step = marks / ranges
         thinned = [found[int(k * step) - 1] for k in range(1, ranges)] if found else []
         edges[c] = sorted({e for e in thinned if math.isfinite(e)})
         # a value that fills several marks in a row holds that share of the rows
-        seen = Counter(found)
-        frequent[c] = [v for v, k in seen.items() if k >= max(2, marks * hot_share / 2)]
-    return ValueGrid(edges, frequent, row["n"], max(1, row["g"]), hot_share)
+        frequent[c] = [v for v, k in Counter(found).items() if k >= max(2, marks * hot_share / 2)]
+    if row["n"] > limit:
+        edges = refined_edges(df, cols, edges, limit)
+    return ValueGrid(edges, frequent, row["n"], max(1, row["g"] or 1), hot_share)
 
 
 def with_range(df: DataFrame, col: str, edges: Sequence[float], out: str = "_range") -> DataFrame:
@@ -256,6 +330,32 @@ def global_rank(df: DataFrame, order_by: str, method: str = "avg", out: str = "r
     return group_rank(df, order_by, (), method, out)
 
 
+def order_values(df: DataFrame, col: str, places: Sequence[int]) -> tuple[int, dict[int, object]]:
+    """(number of values, value at each place counted from 0 in ascending order, ties repeated).
+
+    Ranges are counted first; only values of the ranges that hold a wanted place are looked at.
+    Values come in the column's own type.  Places that there are not are left out.
+    """
+    some = present(df, [col]).select(col)
+    ranged = with_range(some, col, value_grid(some, [col]).edges[col])
+    sizes = dict(sorted(tuple(r) for r in ranged.groupBy("_range").count().collect()))
+    ends = np.cumsum(list(sizes.values()), dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    inside: dict[int, list[int]] = defaultdict(list)
+    for place in {p for p in places if 0 <= p < total}:
+        inside[int(np.searchsorted(ends, place, "right"))].append(place)
+    if not inside:
+        return total, {}
+    numbers = list(sizes)
+    asked = [(numbers[i], place, place - int(ends[i]) + sizes[numbers[i]]) for i, some_ in inside.items() for place in some_]
+    wanted = F.broadcast(df.sparkSession.createDataFrame(asked, "_range int, _place bigint, _at bigint"))
+    counted = ranged.where(F.col("_range").isin([numbers[i] for i in inside])).groupBy("_range", col).agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.partitionBy("_range").orderBy(col)
+    met = counted.withColumn("_to", F.sum("_n").over(run)).join(wanted, "_range")
+    hit = met.where((F.col("_at") < F.col("_to")) & (F.col("_at") >= F.col("_to") - F.col("_n")))
+    return total, {r[0]: r[1] for r in hit.select("_place", col).collect()}
+
+
 def row_slice(
     df: DataFrame,
     order_by: str,
@@ -263,13 +363,25 @@ def row_slice(
     stop: int | None = None,
     cols: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Rows by position in the order of a unique key, columns by position."""
-    placed = group_rank(df, order_by, (), "min", "_place")
-    test = F.col("_place") > start  # a null place never passes
-    if stop is not None:
-        test = test & (F.col("_place") <= stop)
+    """Rows by position in the order of a unique key, columns by position.
+
+    The keys at both ends are found first and become a filter that reaches the scan; no row is
+    ranked.  Rows with an equal key share its first position.
+    """
+    start = max(start, 0)
+    wanted = [start - 1, start] + ([stop - 1] if stop is not None else [])
+    total, values = order_values(df, order_by, wanted)
     names = [df.columns[i] for i in cols] if cols is not None else df.columns
-    return placed.filter(test).select(*names)
+    kept = present(df, [order_by])
+    key, kind = F.col(order_by), df.schema[order_by].dataType
+    if start >= total or (stop is not None and stop <= start):
+        return kept.where(F.lit(False)).select(*names)
+    first = F.lit(values[start]).cast(kind)
+    # the key before may be the same: its rows stand at an earlier position
+    kept = kept.where(key > first if values.get(start - 1) == values[start] else key >= first)
+    if stop is not None and stop < total:
+        kept = kept.where(key <= F.lit(values[stop - 1]).cast(kind))
+    return kept.select(*names)
 
 
 def exact_quantiles(
@@ -330,32 +442,32 @@ def exact_quantiles(
                 (spot - low).alias("_part"),
             )
         )
-    targets = placed.select(*keys, "_range", "_rows", "_off", F.inline(F.array(*ends))).filter(
-        ((F.col("_low") >= F.col("_off")) & (F.col("_low") < F.col("_off") + F.col("_rows")))
-        | ((F.col("_high") >= F.col("_off")) & (F.col("_high") < F.col("_off") + F.col("_rows")))
+    inside = F.filter(
+        F.array(*ends),
+        lambda e: ((e["_low"] >= F.col("_off")) & (e["_low"] < F.col("_off") + F.col("_rows")))
+        | ((e["_high"] >= F.col("_off")) & (e["_high"] < F.col("_off") + F.col("_rows"))),
     )
-    # written once: the planner then knows its size, and broadcasts it or not by that
-    targets = stored(targets, "quantile-places")
-    wanted = targets.select(*keys, "_range").distinct()
+    targets = placed.select(*keys, "_range", "_off", inside.alias("_ends")).where(F.size("_ends") > 0)
+    if grid.small(2 * len(probs) * len(cols)):
+        targets = F.broadcast(targets)
+    else:
+        # written once: the planner then knows its size, and broadcasts it or not by that
+        targets = stored(targets, "quantile-places")
     counted = (
-        long.join(wanted, [*keys, "_range"], "left_semi")
+        long.join(targets, [*keys, "_range"])
         .groupBy(*keys, "_range", "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.first("_off").alias("_off"), F.first("_ends").alias("_ends"))
     )
     run = Window.partitionBy(*keys, "_range").orderBy("_value")
-    values = counted.select(
-        *keys, "_range", "_value", "_n", F.sum("_n").over(run).alias("_run")
-    )
-    matched = values.join(targets, [*keys, "_range"])
-    first = F.col("_off") + F.col("_run") - F.col("_n")
-    last = F.col("_off") + F.col("_run")
+    placed = counted.withColumn("_last", F.col("_off") + F.sum("_n").over(run))
+    values = placed.select(*keys, "_value", (F.col("_last") - F.col("_n")).alias("_first"), "_last", F.inline("_ends"))
 
     def at(place: str) -> Column:
-        hit = (F.col(place) >= first) & (F.col(place) < last)
+        hit = (F.col(place) >= F.col("_first")) & (F.col(place) < F.col("_last"))
         return F.max(F.when(hit, F.col("_value")))
 
     return (
-        matched.groupBy(*keys, "prob", "_part")
+        values.groupBy(*keys, "prob", "_part")
         .agg(at("_low").alias("_a"), at("_high").alias("_b"))
         .select(
             *keys, "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")).alias("quantile")

@@ -118,3 +118,50 @@ def test_no_range_holds_a_whole_group(spark, data, partitions):
     sizes = R.with_range(counted, "v", grid.edges["v"]).groupBy("g", "_range").count()
     shares = sizes.agg(F.max("count") / F.sum("count")).first()[0]
     assert shares < 0.25
+
+
+def test_ranges_that_are_too_full_are_cut_again(spark):
+    n = 20_000
+    df = spark.range(0, n, 1, 9).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5.0))  # a third of the rows is one value
+        .when(F.col("id") % 3 == 1, 5.0 + F.col("id") / 1e12)  # a third lies next to it
+        .otherwise(F.exp(F.col("id") / 1000.0))
+        .alias("v")
+    )
+    grid = R.value_grid(df, ["v"], ranges=2, limit=300)
+    ranged = R.with_range(df, "v", grid.edges["v"])
+    sizes = ranged.groupBy("_range").agg(F.count("v").alias("n"), F.countDistinct("v").alias("d"))
+    assert sizes.where("n > 300 and d > 1").count() == 0
+    got = R.tie_table(df, "v", grid=grid).agg(F.sum(F.col("n") * F.col("rank")), F.max("total")).first()
+    assert got == (n * (n + 1) / 2, n)
+
+
+def test_sketches_meet_in_slots(spark):
+    df = spark.range(0, 5000, 1, 200).select((F.col("id") % 977).cast("double").alias("v"), (F.col("id") % 7).alias("g"))
+    grid = R.value_grid(df, ["v"], ["g"], ranges=16)
+    assert grid.rows == 5000 and 6 <= grid.groups <= 8 and len(grid.edges["v"]) == 15
+    sizes = [r["count"] for r in R.with_range(df, "v", grid.edges["v"]).groupBy("_range").count().collect()]
+    assert max(sizes) < 3 * 5000 / 16
+    assert R.value_grid(df.limit(0), ["v"], ["g"]).rows == 0
+
+
+def test_order_values_and_slices(spark, data):
+    pdf, df = data
+    ordered = np.sort(pdf["v"].dropna().to_numpy())
+    places = [0, 1, 17, 1500, len(ordered) - 1, len(ordered), -1]
+    total, got = R.order_values(df, "v", places)
+    assert total == len(ordered) and got == {p: ordered[p] for p in places[:5]}
+    keyed = spark.range(0, 1000, 1, 5).select((F.col("id") * 3 + 2**60).alias("k"), F.col("id").alias("x"))
+    keyed = keyed.unionByName(spark.sql("select cast(null as bigint) k, 1L x")).repartition(6)
+    for start, stop in [(0, 5), (10, 20), (995, None), (0, None), (990, 2000), (1000, 1001), (5, 5)]:
+        rows = R.row_slice(keyed, "k", start, stop, [1])
+        assert sorted(r.x for r in rows.collect()) == list(range(1000))[start:stop]
+    plan = R.row_slice(keyed, "k", 10, 20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+
+
+def test_slices_share_the_position_of_equal_keys(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (2,), (2,), (3,)], "k int")
+    assert sorted(r.k for r in R.row_slice(df, "k", 1, 4).collect()) == [2, 2, 2]
+    assert sorted(r.k for r in R.row_slice(df, "k", 0, 1).collect()) == [1, 1]
+    assert sorted(r.k for r in R.row_slice(df, "k", 3).collect()) == [3]
