@@ -1,13 +1,17 @@
 """Phrase collocations by stripes.
 
 A stripe belongs to a prefix and counts the words that follow it.  Tasks build stripes of one-word
-and of three-word prefixes from their texts; equal prefixes meet and their stripes are added
-element by element.  The added stripes hold everything that is asked for:
+prefixes from their texts, then stripes of three-word prefixes; equal prefixes meet and their
+stripes are added element by element.  The added stripes hold everything that is asked for:
 
 * an element is the count of the prefix extended by that word (phrases of two and four words),
 * a stripe's total, the ends of pieces included, is the count of the prefix itself (one and three),
 * the largest element that extends a phrase says whether a longer phrase subsumes it.
 
+A phrase is rare if two neighbours in it are, so the pairs of the first stripes leave most of the
+longer ones out: their hashes set bits of a field whose size is bounded, and a pair without its
+bit is rare for sure.  Where the field is full of bits, more moves and the results are the same.
+
 Tasks add up before anything moves, so the commonest prefix is a row a task.  A stripe that is long
 for its task is cut by a hash of the following word, and its parts are added apart; a mark tells
 the place of the uncut ones that there are such parts, and only then are sums passed on to be
@@ -22,10 +26,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import mixed, written
 from .simhash import _LOWER as LOWER
 
 #: What a byte is: 0 of a word, 1 between words, 2 between pieces.
@@ -39,6 +45,9 @@ STEP_WORDS = (1 << 20) - 1
 #: A stripe of more words than this, and than a 1,024th of its step, is cut into parts.
 LONG, PARTS = 64, 16
 
+#: Bits of the field of frequent pairs: so many for each, between these bounds.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 27
+
 STRIPES = "width int, lang string, prefix string, part int, cut boolean, total long, nexts array<string>, counts array<long>"
 NAMES = [c.split()[0] for c in STRIPES.split(", ")]
 #: Columns of which rows are parts of one stripe, in the order of sorting.
@@ -130,10 +139,52 @@ def _key(codes: list[np.ndarray]) -> np.ndarray:
     return first
 
 
+def _hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of strings."""
+    return np.array([xxhash.xxh64_intdigest(w) for w in words.cast(pa.large_binary()).to_pylist()], np.uint64)
+
+
+def pair_bits(lang: np.ndarray, one: np.ndarray, two: np.ndarray, size: int) -> np.ndarray:
+    """Bits of pairs in a field of ``size`` bits, from the hashes of language and words."""
+    return mixed(mixed(mixed(lang) + one) + two) & np.uint64(size - 1)
+
+
+def pair_field(pairs: DataFrame) -> np.ndarray:
+    """The field of bits of the pairs in (lang, phrase), eight to a byte."""
+    size = LEAST_BITS
+    wanted = min(MOST_BITS, BITS_EACH * pairs.count())
+    while size < wanted:
+        size *= 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang, one, two = (_hashes(c) for c in batch.columns)
+            bits = np.unique(pair_bits(lang, one, two, size))
+            place, first = np.unique(bits // np.uint64(64), return_index=True)
+            value = np.bitwise_or.reduceat(np.uint64(1) << (bits % np.uint64(64)), first) if len(bits) else bits
+            yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64)), pa.array(value.view(np.int64))], ["place", "bits"])
+
+    words = [F.substring_index("phrase", " ", 1), F.substring_index("phrase", " ", -1)]
+    found = pairs.select("lang", *words).mapInArrow(run, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits"))
+    field = np.zeros(size // 64, np.uint64)
+    rows = found.toArrow()  # a number for every 64 bits of the field at most
+    field[rows.column("place").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return field
+
+
 def stripes(
-    df: DataFrame, lang: str, text: str, step_bytes: int = STEP_BYTES, step_words: int = STEP_WORDS, long: int = LONG
+    df: DataFrame,
+    lang: str,
+    text: str,
+    field: Broadcast | None = None,
+    step_bytes: int = STEP_BYTES,
+    step_words: int = STEP_WORDS,
+    long: int = LONG,
 ) -> DataFrame:
-    """Stripes of one-word and three-word prefixes, each task's own.  The sizes only steer the work."""
+    """Each task's stripes of one-word prefixes, or, given a field of frequent pairs, of three-word ones.
+
+    The last three sizes only steer the work.
+    """
     named = df.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")), F.col(text))
 
     def step(langs: pa.Array, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -145,22 +196,29 @@ def stripes(
         own = np.asarray(langs.indices)[doc].astype(np.int64)
         code = np.asarray(words.indices).astype(np.int64) + 1
         later = []
-        for k in (1, 2, 3):
+        for k in (1, 2, 3) if field else (1,):
             w = np.zeros(len(code), np.int64)
             w[:-k] = np.where(piece[k:] == piece[:-k], code[k:], 0)
             later.append(w)
+        if field:
+            spelled, tongue = _hashes(names), _hashes(langs.dictionary)
+            often = later[0] > 0
+            size = 64 * len(field.value)
+            bits = pair_bits(tongue[own[often]], spelled[code[often] - 1], spelled[later[0][often] - 1], size)
+            often[often] = (field.value[bits // np.uint64(64)] >> (bits % np.uint64(64))) & np.uint64(1) > 0
+            full = np.zeros(len(code), bool)
+            full[:-1] = often[:-1] & often[1:] & (later[1][:-1] > 0)
+            later[2][:-2] = np.where(often[2:], later[2][:-2], 0)  # what follows a rare pair counts as an end
+            own, code, later = own[full], code[full], [w[full] for w in later]
         for i in range(0, len(code), step_words):
-            most = max(long, min(step_words, len(code) - i) / 1024)
             some = [x[i : i + step_words] for x in (own, code, *later)]
+            most = max(long, len(some[0]) / 1024)
             spelled = names
             if len(names) > step_words:  # number the words of this step anew
                 every, back = np.unique(np.concatenate([[0], *some[1:]]), return_inverse=True)
-                spelled = names.take(pa.array(every[1:] - 1))
-                some = [some[0], *np.split(back[1:], 4)]
-            yield _rows(1, spelled, langs.dictionary, some[:3], most)
-            full = some[3] > 0
-            if full.any():
-                yield _rows(3, spelled, langs.dictionary, [x[full] for x in some], most)
+                spelled = names.take(pa.array(every[every > 0] - 1))
+                some = [some[0], *np.split(back[1:], len(some) - 1)]
+            yield _rows(3 if field else 1, spelled, langs.dictionary, some, most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, langs = [], 0, []
@@ -264,6 +322,7 @@ def added(parts: DataFrame, least: int) -> DataFrame:
             held = one_row(some.slice(cut).combine_chunks())
         if held is not None:
             yield from settle(held, sums)
+        if sums:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(list(sums), pa.string()),
@@ -283,10 +342,16 @@ def phrases(df: DataFrame, lang: str = "lang", text: str = "text", least: int =
 
     ``words`` is 0 in the row of each language that counts all its words.
     """
-    sums = written(added(stripes(df, lang, text, **sizes), least), "collocation-sums")
-    again = sums.where("open").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
-    again = again.where((F.col("n") >= least) | (F.col("words") == 0))
-    return written(sums.where("not open").drop("open").unionByName(again), "collocation-phrases")
+
+    def whole(parts: DataFrame, label: str) -> DataFrame:
+        sums = written(added(parts, least), f"{label}-sums")
+        again = sums.where("open").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
+        again = again.where((F.col("n") >= least) | (F.col("words") == 0))
+        return written(sums.where("not open").drop("open").unionByName(again), label)
+
+    short = whole(stripes(df, lang, text, **sizes), "collocation-pairs")
+    field = df.sparkSession.sparkContext.broadcast(pair_field(short.where("words = 2")))
+    return short.unionByName(whole(stripes(df, lang, text, field, **sizes), "collocation-phrases"))
 
 
 def _wide(column: str):
