@@ -45,8 +45,11 @@ def thread(messages: DataFrame, conv: str = "conv_id", turn: str = "turn") -> Da
     """(tree, node, parent, score): messages in turn order, each answering the one before.
 
     Turns that tie are put in order by role and text.  The score counts turns, so the whole thread
-    is the best path.  Rows without a conversation form one of their own.
+    is the best path.  Rows without a conversation form one of their own.  Repeated rows are turns
+    of their own; an empty table gives no rows.  Columns other than conversation, turn, role and
+    text are left out, so their names can't clash.
     """
+    messages = messages.select(*dict.fromkeys([conv, turn, "role", "text"]))
     order = Window.partitionBy(conv).orderBy(turn, "role", "text")
     node = F.row_number().over(order).cast("long")
     return (

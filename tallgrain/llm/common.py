@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -45,15 +45,37 @@ def crc_remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def early(marks: DataFrame, u: Column, max_rows: int) -> DataFrame:
+    """Different rows of a slim table with small ``u``, the ``max_rows`` smallest among them.
+
+    Rows above a threshold, set from the number of all rows, are dropped where they are read, so that
+    tasks don't send ``max_rows`` each to the one that ends the choice.  Where many rows are equal the
+    threshold may leave too few; then all are looked at.
+    """
+    below = (2 * max_rows + 64) / max(1, marks.count())
+    few = marks.where(u < below).distinct()
+    return few if below >= 1 or few.limit(max_rows).count() == max_rows else marks.distinct()
+
+
 def sampled(marks: DataFrame, key: str, max_rows: int, seed: int) -> DataFrame:
-    """At most ``max_rows`` rows of a slim table, chosen by a seeded hash of the key."""
+    """At most ``max_rows`` different rows of a slim table, chosen by a seeded hash of the key."""
     u = seeded(seed, F.col(key))
-    return marks.orderBy(u, *sorted(marks.columns)).limit(max_rows)
+    return early(marks, u, max_rows).orderBy(u, *sorted(marks.columns)).limit(max_rows)
+
+
+def one_text(rows: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+    """(keys, text): of rows with equal keys the one whose text has the least hash."""
+    least = F.min(F.struct(F.xxhash64(text).alias("h"), F.col(text).alias("t"))).alias("least")
+    return rows.groupBy(*keys).agg(least).select(*keys, F.col("least.t").alias(text))
 
 
 def sampled_texts(docs: DataFrame, marks: DataFrame, key: str, max_rows: int, seed: int) -> DataFrame:
-    """``docs`` joined with a sample of ``marks``; only keys and marks move, at most ``max_rows``."""
-    return docs.join(F.broadcast(sampled(marks, key, max_rows, seed)), key)
+    """(key, marks, text) of at most ``max_rows`` rows: a sample of ``marks``, each with one text of its key.
+
+    Only keys and marks move before the choice.
+    """
+    chosen = docs.select(key, "text").join(F.broadcast(sampled(marks, key, max_rows, seed)), key)
+    return one_text(chosen, marks.columns, "text")
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Hasher, crc_remainder, seeded, steps, text_bytes, written
+from .common import Hasher, crc_remainder, early, seeded, steps, text_bytes, written
 
 #: The answer for a text without any letter.
 UNKNOWN = "und"
@@ -178,12 +178,17 @@ def _calibrate(raw: np.ndarray, truth: np.ndarray, precision: float) -> tuple[fl
 
 def _dealt(marks: DataFrame, kept: Column, max_rows: int) -> DataFrame:
     """(_key, _turn): at most ``max_rows`` keys; ``_turn`` is 0 for the first of each language."""
-    # Tasks drop all but the first rows of a language before they are shuffled.
-    place = F.row_number().over(Window.partitionBy("_lang").orderBy(kept, "_u", "_key"))
-    early = marks.withColumn("_place", place).where(F.col("_place") <= FLOOR)
-    one = early.where("_place = 1").select("_key", "_u", F.lit(0).alias("_turn"))
-    few = early.orderBy("_place", "_u", "_key").limit(max_rows // 2).select("_key", "_u", F.lit(1).alias("_turn"))
-    rest = marks.orderBy("_u", "_key").limit(max_rows).select("_key", "_u", F.lit(2).alias("_turn"))
+    # Tasks drop all but the first rows of a language before they are shuffled, and each of the parts
+    # into which a language is dealt drops all but its first.
+    best = [kept, F.col("_u"), F.col("_key")]
+    part = F.row_number().over(Window.partitionBy("_lang", F.pmod(F.xxhash64("_key"), F.lit(64))).orderBy(*best))
+    parted = marks.withColumn("_part", part).where(F.col("_part") <= FLOOR).select(*marks.columns).distinct()
+    place = F.row_number().over(Window.partitionBy("_lang").orderBy(*best))
+    firsts = written(parted.withColumn("_place", place).where(F.col("_place") <= FLOOR), "language-firsts")
+    one = firsts.where("_place = 1").select("_key", "_u", F.lit(0).alias("_turn"))
+    few = firsts.orderBy("_place", "_u", "_key").limit(max_rows // 2).select("_key", "_u", F.lit(1).alias("_turn"))
+    rest = early(marks.select("_key", "_u"), F.col("_u"), max_rows)
+    rest = rest.orderBy("_u", "_key").limit(max_rows).select("_key", "_u", F.lit(2).alias("_turn"))
     turns = one.unionByName(few).unionByName(rest).groupBy("_key", "_u").agg(F.min("_turn").alias("_turn"))
     return written(turns.orderBy("_turn", "_u", "_key").limit(max_rows).select("_key", "_turn"), "language-keys")
 
@@ -210,22 +215,27 @@ def fit(
     texts once per epoch in a seeded order; the rows kept for calibration come last.  Without any
     row the model knows no language.
     """
-    some = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
+    named = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    some = named.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     kept = F.pmod(F.xxhash64(F.lit(seed + 1), "_key"), F.lit(5)) == 0
-    marks = some.select(F.col(key).alias("_key"), seeded(seed, F.col(key)).alias("_u"), F.col(lang).alias("_lang"))
+    slim = some.select("_key", seeded(seed, F.col("_key")).alias("_u"), F.col("lang").alias("_lang"))
+    marks = written(slim, "language-marks")  # texts are read for them once
     keys = _dealt(marks, kept, max_rows)
     kept = kept & (F.col("_turn") > 0)  # what a language has first is learnt from
+    # One row of each key, so that the sample is bounded however often a key occurs.
+    near = F.broadcast(keys.select(F.col("_key").alias("_chosen"), "_turn"))
+    met = some.join(near, F.col("_key").eqNullSafe(F.col("_chosen"))).drop("_chosen")
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "lang")).alias("least")
+    single = met.groupBy("_key", "_turn").agg(least).select("_key", "_turn", "least.text", "least.lang")
+    sample = written(single, "language-sample")
     rows = (
-        some.join(F.broadcast(keys), F.col(key).eqNullSafe(F.col("_key")))
-        .select(F.col(text).alias("text"), F.col(lang).alias("lang"), "_key", "_turn")
-        .withColumn("epoch", F.explode(F.when(kept, F.array(F.lit(epochs + 1))).otherwise(F.sequence(F.lit(1), F.lit(epochs)))))
+        sample.withColumn("epoch", F.explode(F.when(kept, F.array(F.lit(epochs + 1))).otherwise(F.sequence(F.lit(1), F.lit(epochs)))))
         .withColumn("_u", F.xxhash64(F.lit(seed), "epoch", "_key"))
         .repartition(1)
         .sortWithinPartitions("epoch", "_u", "_key", "text", "lang")
         .select("text", "lang", "epoch")
     )
-    sample = some.join(F.broadcast(keys), F.col(key).eqNullSafe(F.col("_key")))
-    langs = tuple(r[0] for r in sample.select(lang).distinct().orderBy(lang).collect())  # at most max_rows
+    langs = tuple(r[0] for r in sample.select("lang").distinct().orderBy("lang").collect())  # at most max_rows
     if not langs:
         return LanguageModel((), np.zeros((1 << bits, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
 

@@ -116,8 +116,8 @@ def mix(
     leaf's budget ends is taken whole, so a leaf gives less than one document too much.  Repeated
     rows are documents of their own; empty texts come along in the epochs that are taken whole.
     """
-    if "epoch" in df.columns:
-        raise ValueError("column 'epoch' exists already")
+    if taken := {c for c in df.columns if c == "epoch" or c.startswith("_")}:
+        raise ValueError(f"columns {sorted(taken)} exist already; names with a leading '_' are used inside")
     names = [f"_level_{k}" for k in range(len(levels))]
     named = df.withColumns({n: F.coalesce(c.cast("string"), F.lit("")) for n, (c, _) in zip(names, levels.values())})
     slim = written(named.select(*names, F.col(key).alias("_key"), word_count(F.col(text)).alias("_tokens")), "mix-sizes")

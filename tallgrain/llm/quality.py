@@ -223,5 +223,5 @@ def held_out(doc_id: Column) -> Column:
 def fit_on_labels(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, seed: int = 5, **options) -> QualityModel:
     """Train on at most ``max_rows`` of the documents that ``labels`` marks, without the held-out third."""
     known = labels.select("doc_id", F.col("quality").alias("label")).where(~held_out(F.col("doc_id")) & F.col("label").isin(0, 1))
-    sample = sampled_texts(docs.select("doc_id", "text"), known.distinct(), "doc_id", max_rows, seed)
+    sample = sampled_texts(docs, known, "doc_id", max_rows, seed)
     return fit(sample, seed=seed, **options)

@@ -59,11 +59,17 @@ def repeated_words(words: Column) -> Column:
     return bound(bound(bound(words, windows), places), covered)
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_lines", "_upper", "_shouts")
+
+
 def counts(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and four helpers.
 
-    Null texts count as empty; every count is then 0.
+    Null texts count as empty; every count is then 0.  Repeated rows are counted alike, an empty
+    table gives no rows.  A column that has the name of a count already is an error.
     """
+    if taken := {*COUNTS} & set(df.columns):
+        raise ValueError(f"columns {sorted(taken)} exist already")
     whole = F.coalesce(F.col(text), F.lit(""))
     words = F.filter(F.split(whole, SPACE), lambda w: w != "")
     lines = F.filter(F.split(whole, "\n"), lambda line: line.rlike(NOT_SPACE))
@@ -194,7 +200,7 @@ def fit(
 
 def fit_on_labels(docs: DataFrame, marks: DataFrame, max_rows: int = 20_000, seed: int = 3, **options) -> DecisionList:
     """Learn from at most ``max_rows`` of the documents in ``marks`` (doc_id, label), by a seeded hash."""
-    sample = sampled_texts(docs.select("doc_id", "text"), marks.select("doc_id", "label").distinct(), "doc_id", max_rows, seed)
+    sample = sampled_texts(docs, marks.select("doc_id", "label"), "doc_id", max_rows, seed)
     return fit(sample, seed=seed, **options)
 
 

@@ -448,17 +448,22 @@ def _texts_of(docs: DataFrame, ranges: DataFrame, width: int, group: int) -> Dat
 def _numbered(df: DataFrame, text: str, key: str) -> DataFrame:
     """``df`` with ``doc``: one number for each pair of key and text, in the order of the keys.
 
-    It is the key itself where no key has two texts.  Otherwise pairs are numbered after a sort by
-    key and hash of the text, without gathering a key in one task, and the rows written once.
+    It is the key itself where every text has one and no key has two texts.  Otherwise pairs are
+    numbered after a sort by key and hash of the text, without gathering a key in one task, and the
+    rows written once; texts without a key come after all others.
     """
-    present = F.col(key).isNotNull() & F.col(text).isNotNull()
+    present = F.col(text).isNotNull()
     plain = F.when(present, F.col(key).cast("long"))
     marked = df.withColumns({"doc": plain, "_text_hash": F.when(present, F.xxhash64(text))})
     pairs = marked.where(present).select("doc", "_text_hash").distinct()
-    if pairs.groupBy("doc").count().where("count > 1").isEmpty():
+    if pairs.groupBy("doc").count().where("count > 1 or doc is null").isEmpty():
         return df.withColumn("doc", plain)
-    numbers = pairs.orderBy("doc", "_text_hash").withColumn("_number", F.monotonically_increasing_id())
-    joined = marked.join(written(numbers, "repeats-numbers"), ["doc", "_text_hash"], "left")
+    numbers = pairs.orderBy(F.col("doc").asc_nulls_last(), "_text_hash")
+    numbers = numbers.select(
+        F.col("doc").alias("_doc"), F.col("_text_hash").alias("_hash"), F.monotonically_increasing_id().alias("_number")
+    )
+    same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("_text_hash") == F.col("_hash"))
+    joined = marked.join(written(numbers, "repeats-numbers"), same, "left")
     return written(joined.select(*df.columns, F.col("_number").alias("doc")), "repeats-numbered")
 
 
@@ -473,7 +478,7 @@ def repeat_spans(
 ) -> DataFrame:
     """(doc, spans): for each ``doc`` with anything to remove, its sorted list of (start, size) in bytes.
 
-    ``df`` comes from ``_numbered``; rows without a number have nothing to remove.  Rows that
+    ``df`` comes from ``_numbered``; rows without a number have no text.  Rows that
     repeat a number count as one document read twice: neither is earlier than the other.
     ``block``, ``many`` and ``group`` steer the spread of work; results do not depend on them.
     """
@@ -509,7 +514,11 @@ def _with_spans(df: DataFrame, text: str, key: str, width: int, **spread: int) -
 
 
 def digests(df: DataFrame, width: int = WIDTH, **spread: int) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row; null text is empty."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row; null text is empty.
+
+    Rows without a key come after all others, in the order of a hash of their texts.  Rows equal
+    in key and text are one document, so neither is earlier than the other.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -550,8 +559,8 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", width
 
     A character is cut only if all its bytes are; a text may become empty, null stays null.
     """
-    if {"spans", "doc", "_text_hash", "_number"} & set(df.columns):
-        raise ValueError("columns 'spans', 'doc', '_text_hash' and '_number' are used inside")
+    if {"spans", "doc", "_doc", "_text_hash", "_hash", "_number"} & set(df.columns):
+        raise ValueError("columns 'spans', 'doc', '_doc', '_text_hash', '_hash' and '_number' are used inside")
     names = df.columns
     at = names.index(text)
 
