@@ -17,6 +17,7 @@ from ..sources.files import write_csv
 from . import query
 from .cleaning import HASHED
 from .statistics import measured
+from .statistics import f_tail_sql, normal_tail_sql, t_tail_sql
 from .summaries import rounded
 
 
@@ -417,6 +418,14 @@ EXPERIMENT = """with e as (select *, cast(json_extract_string(props, '$.k') as i
    gaps as (select domain, g, abs(d - m) as z from two join own using (domain, g)),
    each as (select domain, g, count(*) as n, avg(z) as m, var_pop(z) as v from gaps group by 1, 2),
    grand as (select domain, sum(n * m) / sum(n) as mm from each group by 1),
+   shape as (select domain, g, measure, count(x) as n, avg(pow(x - m, 3)) / pow(avg(pow(x - m, 2)), 1.5) as s
+             from (select *, avg(x) over (partition by domain, g, measure) as m
+                   from (select domain, g, unnest(['pre', 'post', 'diff']) as measure, unnest([pre, post, d]) as x from l))
+             group by 1, 2, 3),
+   slope as (select domain, g, count(*) as n, regr_slope(post, pre) as s from l group by 1, 2),
+   mood as (select domain, n, n * pow(greatest(abs(aa * bb - ab * ba) - n / 2, 0), 2)
+              / ((aa + ab) * (ba + bb) * (aa + ba) * (ab + bb)::double) as s
+            from (select *, aa + ab + ba + bb as n from cells)),
    levene as (select domain, sum(n)::bigint as n, (sum(n) - 2) * sum(n * pow(m - mm, 2)) / sum(n * v) as s
               from each join grand using (domain) group by 1),
    lines as (select domain, 'paired_t' as test, g as about, n, s from paired
@@ -428,6 +437,9 @@ EXPERIMENT = """with e as (select *, cast(json_extract_string(props, '$.k') as i
      union all select domain, 'kolmogorov_smirnov', 'purchase / error', n, s from smirnov
      union all select domain, 'fisher_median', 'purchase / error', n, s from fisher
      union all select domain, 'levene', 'purchase / error', n, s from levene
+     union all select domain, 'mood_median', 'purchase / error', n, s from mood
+     union all select domain, 'skewness_' || measure, g, n, s from shape
+     union all select domain, 'line_pre_post', g, n, s from slope
      union all select domain, 'kruskal_wallis', 'all groups', n, s from wallis)
    select domain, test, about, n::bigint as n, round(s::double, 6) as statistic from lines"""
 
@@ -440,6 +452,59 @@ def _(t):
     return rounded(some, ["statistic"]).select("domain", "test", "about", "n", "statistic")
 
 
+PAIRS = f"""with e as (select *, cast(json_extract_string(props, '$.k') as int) as k from events),
+   l as (select domain, "group" as g, post - pre as d from {SCORES}),
+   asked as (select x.g as a, y.g as b from (select distinct g from l) x, (select distinct g from l) y where x.g < y.g),
+   two as (select domain, a, b, g, d from asked join l on g = a or g = b),
+   steps as (select domain, a, b, d, count(*) filter (g = a) as x, count(*) filter (g = b) as y from two group by all),
+   walk as (select *, sum(x) over w as cx, sum(y) over w as cy, sum(x) over p as na, sum(y) over p as nb
+            from steps window w as (partition by domain, a, b order by d), p as (partition by domain, a, b)),
+   ranks as (select domain, a, b, max(na)::double as na, max(nb)::double as nb, sum(x * (cy - y + y / 2.0)) as u,
+               sum(pow(x + y, 3) - (x + y)) as ties, max(abs(cx / na - cy / nb)) as d from walk group by 1, 2, 3),
+   whitney as (select *, (greatest(u, na * nb - u) - na * nb / 2 - 0.5)
+                 / sqrt(na * nb / 12 * ((na + nb + 1) - ties / ((na + nb) * (na + nb - 1)))) as z from ranks),
+   moments as (select domain, a, b, count(*)::double as n, count(*) filter (g = a)::double as na, count(*) filter (g = b)::double as nb,
+                 avg(d) filter (g = a) - avg(d) filter (g = b) as gap, var_samp(d) filter (g = a) as va,
+                 var_samp(d) filter (g = b) as vb, median(d) as m, median(d) filter (g = a) as am, median(d) filter (g = b) as bm
+               from two group by 1, 2, 3),
+   student as (select *, gap / sqrt(((na - 1) * va + (nb - 1) * vb) / (n - 2)) as c, n - 2 as nu from moments),
+   tested as (select *, c / sqrt(1 / na + 1 / nb) as t from student),
+   cells as (select domain, a, b, count(*) filter (g = a and d > m) as aa, count(*) filter (g = b and d > m) as ab,
+               count(*) filter (g = a and d < m) as ba, count(*) filter (g = b and d < m) as bb
+             from two join moments using (domain, a, b) group by 1, 2, 3),
+   sums as (select *, aa + ab as mk, aa + ba as dr, aa + ab + ba + bb as n from cells),
+   mood as (select *, n * pow(greatest(abs(aa * bb - ab * ba) - n / 2, 0), 2)
+              / ((aa + ab) * (ba + bb) * (aa + ba) * (ab + bb)::double) as chi from sums),
+   fisher as (select domain, a, b, sum(exp(lgamma(mk + 1.0) - lgamma(i + 1.0) - lgamma(mk - i + 1.0) + lgamma(n - mk + 1.0)
+                - lgamma(dr - i + 1.0) - lgamma(n - mk - dr + i + 1.0) - lgamma(n + 1.0) + lgamma(dr + 1.0) + lgamma(n - dr + 1.0))) as p
+              from sums, lateral (select unnest(range(aa, least(mk, dr) + 1)) as i) group by 1, 2, 3),
+   gaps as (select domain, a, b, g, abs(d - case when g = a then am else bm end) as z from two join moments using (domain, a, b)),
+   each as (select domain, a, b, g, count(*)::double as n, avg(z) as m, var_pop(z) as v from gaps group by 1, 2, 3, 4),
+   grand as (select domain, a, b, sum(n * m) / sum(n) as mm from each group by 1, 2, 3),
+   levene as (select domain, a, b, sum(n) as n, (sum(n) - 2) * sum(n * pow(m - mm, 2)) / sum(n * v) as w, sum(n) - 2 as nu
+              from each join grand using (domain, a, b) group by 1, 2, 3),
+   lines as (
+     select domain, a, b, 'mann_whitney' as test, na + nb as n, u as s, 2 * u / (na * nb) - 1 as effect, least(1, 2 * {normal_tail_sql("z")}) as p from whitney
+     union all select domain, a, b, 'kolmogorov_smirnov', na + nb, d, d, null from ranks
+     union all select domain, a, b, 'independent_t', n, t, c, 2 * {t_tail_sql("t", "nu")} from tested
+     union all select domain, a, b, 'fisher_median', n, aa * bb / (ba * ab), aa * bb / (ba * ab), p from sums join fisher using (domain, a, b)
+     union all select domain, a, b, 'mood_median', n, chi, null, 2 * {normal_tail_sql("sqrt(chi)")} from mood
+     union all select domain, a, b, 'levene', n, w, null, {f_tail_sql("w", "1", "nu")} from levene)
+   select domain, test, a || ' / ' || b as about, n::bigint as n, round(s::double, 6) as statistic,
+     round(effect::double, 6) as effect, round(p::double, 5) as p_value from lines"""
+
+
+@query("experiment_pairs", PAIRS)
+def _(t):
+    """Every pair of groups: statistics, effects and p-values (the distance test's has a query of its own)."""
+    report = X.experiment_report(experiment(t), "event_type", DOMAINS)
+    some = report.where(F.col("about").contains(" / "))
+    p = F.when(F.col("test") != "kolmogorov_smirnov", F.round("p_value", 5))
+    return rounded(some.withColumn("p_value", p), ["statistic", "effect"]).select(
+        "domain", "test", "about", "n", "statistic", "effect", "p_value"
+    )
+
+
 @query(
     "experiment_change",
     f"""with e as (select *, cast(json_extract_string(props, '$.k') as int) as k from events),

@@ -44,24 +44,38 @@ def wilcoxon(
     """
     by = list(by)
     some = present(df, [col, *by])
-    x = F.col(col).cast("double")
+    size, positive = signed_size(F.col(col).cast("double"), transform)
+    sized = some.select(*by, size.alias("_size"), positive.alias("_positive"))
+    table = tie_table(sized, "_size", by, weights={"positive": F.count_if("_positive")})
+    return signed_rank_of(table, by, p_value)
+
+
+def signed_size(x: Column, transform: str | None = None) -> tuple[Column, Column]:
+    """(size, positive) of the values of a signed-rank test; a value without a logarithm has size -1."""
     if transform == "log":
-        some = some.withColumn("_x", F.when(x > 0, F.log(x)))
-    else:
-        some = some.withColumn("_x", x)
-    sizes = some.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("_x").isNull()).alias("n_dropped"),
-        F.count_if(F.col("_x") == 0).alias("n_zero"),
-    )
-    used = some.filter(F.col("_x") != 0).withColumn("_size", F.abs("_x"))
-    table = tie_table(
-        used, "_size", by, weights={"positive": F.count_if(F.col("_x") > 0)}
-    )
-    ranks = table.groupBy(*by).agg(
-        F.sum("n").alias("n_used"), F.sum(F.col("positive") * F.col("rank")).alias("w"), _ties()
+        x = F.when(x > 0, F.log(x))
+    return F.coalesce(F.abs(x), F.lit(-1.0)), F.coalesce(x > 0, F.lit(False))
+
+
+def signed_rank_of(table: DataFrame, by: Sequence[str], p_value: bool = True) -> DataFrame:
+    """The signed-rank test of each group from its ties of ``_size`` (n, tie, rank, positive).
+
+    What was dropped and what is zero come first in the order, so their number is what ranks are
+    too large by.
+    """
+    by = list(by)
+    size, t = F.col("_size"), F.col("tie").cast("double")
+    sums = table.groupBy(*by).agg(
+        F.sum("n").alias("n_rows"),
+        F.coalesce(F.sum(F.when(size < 0, F.col("n"))), F.lit(0)).alias("n_dropped"),
+        F.coalesce(F.sum(F.when(size == 0, F.col("n"))), F.lit(0)).alias("n_zero"),
+        F.coalesce(F.sum(F.when(size > 0, F.col("n"))), F.lit(0)).alias("n_used"),
+        F.sum(F.when(size > 0, F.col("positive") * F.col("rank"))).alias("_w"),
+        F.sum(F.when(size > 0, F.col("positive"))).alias("_p"),
+        F.sum(F.when(size > 0, F.col("n") * (t * t - 1))).alias("ties"),
     )
-    out = side_by_side(by, sizes, ranks)
+    w = F.col("_w") - F.col("_p") * (F.col("n_dropped") + F.col("n_zero"))
+    out = sums.select(*by, "n_rows", "n_dropped", "n_zero", "n_used", w.alias("w"), "ties")
     n = F.col("n_rows").cast("double")
     z = (F.col("w") - n * (n + 1) / 4) / F.sqrt(n * (n + 1) * (2 * n + 1) / 24)
     out = out.withColumn("effect_r", z / F.sqrt(n))
@@ -251,6 +265,13 @@ def shapiro(
     by = list(by)
     some = present(df, [col, *by]).select(*by, F.col(col).cast("double").alias("_v"))
     table = tie_table(some, "_v", by, grid=grid.renamed(_v=col) if grid else None)
+    spread = some.groupBy(*by).agg((F.var_pop("_v") * F.count("_v")).alias("ss"))
+    return shapiro_of(table, spread, by, p_value)
+
+
+def shapiro_of(table: DataFrame, spread: DataFrame, by: Sequence[str], p_value: bool = True) -> DataFrame:
+    """The test of each group from its ties of ``_v`` (before, tie, total) and its sum of squares ``ss``."""
+    by = list(by)
     piece = F.lit(PLACES_PER_LINE)
     pieces = table.select(
         *by,
@@ -284,7 +305,6 @@ def shapiro(
         at(total - 1).alias("y2"),
         at(total).alias("y1"),
     )
-    spread = some.groupBy(*by).agg((F.var_pop("_v") * F.count("_v")).alias("ss"))
     both = side_by_side(by, sums, spread)
     w = P.shapiro_stat(
         *[F.col(c) for c in ("n", "score_sq", "score_x", "ss", "x1", "x2", "y2", "y1")]
