@@ -2,15 +2,42 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 
-#: Seconds between two looks at the progress reports, of which Spark keeps the last hundred.
-LOOK_S = 1
+class RowLedger(StreamingQueryListener):
+    """Input rows of every batch, by run and batch id; each report reaches it, however many there are.
+
+    The end of a run is told after all its batches, so a ledger that has seen it is complete.
+    """
+
+    def __init__(self) -> None:
+        self.rows: dict[str, dict[int, int]] = defaultdict(dict)
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.rows[str(event.progress.runId)][event.progress.batchId] = event.progress.numInputRows
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+    def total(self, run_id: str) -> int:
+        """Rows of a run that has been awaited."""
+        self.ended[run_id].wait()
+        return sum(self.rows[run_id].values())
 
 
 def ingest_new(
@@ -47,14 +74,14 @@ def ingest_new(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    run = writer.start(target)
-    read: dict[int, int] = {}  # rows by batch: Spark keeps only the latest reports, so look often
-    while True:
-        ended = run.awaitTermination(LOOK_S)
-        read.update({p["batchId"]: p["numInputRows"] for p in run.recentProgress})
-        if ended:
-            break
-    return sum(read.values())
+    ledger = RowLedger()
+    spark.streams.addListener(ledger)
+    try:
+        run = writer.start(target)
+        run.awaitTermination()
+        return ledger.total(str(run.runId))
+    finally:
+        spark.streams.removeListener(ledger)
 
 
 def ingest_counts(
