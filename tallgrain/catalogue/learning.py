@@ -212,8 +212,50 @@ def _(t):
     return rounded(found, ["auc"], 9)
 
 
+def kmeans_sql(table: str, ids: str, key: str, cols: list[str], ks: list[int], seed: int, steps: int, last: str) -> str:
+    """The clustering in SQL: far-apart starts in a seeded sample, then a fixed number of Lloyd's steps.
+
+    ``last`` reads scaled (ids, x) and centres (k, c, m), c numbering them in ascending order.
+    """
+    stats = ", ".join(f"avg({c}::double) as m{i}, stddev_pop({c}::double) as s{i}" for i, c in enumerate(cols))
+    scaled = ", ".join(f"({c}::double - m{i}) / s{i}" for i, c in enumerate(cols))
+    means = ", ".join(f"avg(x[{i + 1}])" for i in range(len(cols)))
+    return f"""with recursive stats as (select {stats} from {table}),
+        scaled as (select {ids}, [{scaled}] as x, {HASHED.format(seed=seed, key=key, label='kmeans')} as u, {key} as key,
+                     row_number() over () as id from {table}, stats),
+        sample as (select x, row_number() over (order by u, key, x) as i from scaled qualify i <= 512),
+        chain as (select 1 as n, [x] as chosen from sample where i = 1 union all
+          select n + 1, list_append(any_value(chosen), arg_max(x, list_min(list_transform(chosen, lambda z: list_distance(z, x)))))
+          from chain, sample where n < {max(ks)} group by n),
+        lloyd as (select 0 as step, k, c, chosen[c] as m from chain, (select unnest({ks}) as k), range(1, {max(ks) + 1}) r(c)
+                  where n = {max(ks)} and c <= k union all
+          select step + 1, k, c, [{means}] from (
+            select step, k, id, any_value(x) as x, arg_min(c, list_distance(m, x)) as c from lloyd, scaled where step < {steps} group by 1, 2, 3)
+          group by step, k, c),
+        centres as (select k, row_number() over (partition by k order by m) - 1 as c, m from lloyd where step = {steps}),
+        near as (select k, id, arg_min(c, list_distance(m, x))::int as c, pow(min(list_distance(m, x)), 2) as gap
+                 from scaled, centres group by 1, 2) {last}"""
+
+
+LINE = "l_orderkey, l_linenumber, l_partkey"
+
+
 @query(
     "kmeans",
+    kmeans_sql(
+        "lineitem", LINE, "l_orderkey", ["l_quantity", "l_extendedprice"], [3], 1, 12,
+        f"select {LINE}, c as cluster_pred from near join scaled using (id)",
+    ),
+)
+def _(t):
+    """Every row with its cluster after twelve steps."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    found = K.kmeans(lines, ["l_quantity", "l_extendedprice"], 3, seed=1, key="l_orderkey", max_iter=12, settled=0.0)
+    return found.drop("l_quantity", "l_extendedprice")
+
+
+@query(
+    "kmeans_settled",
     """select unnest([0, 1, 2])::int as cluster_pred, count(*) as n_rows, sum(l_orderkey)::bigint as key_sum, true as settled
        from lineitem""",
 )
@@ -224,7 +266,7 @@ def _(t):
     """
     cols = ["l_quantity", "l_extendedprice"]
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", *cols)
-    found = K.kmeans(lines, cols, 3, seed=1)
+    found = K.kmeans(lines, cols, 3, seed=1, key="l_orderkey")
     scaled = ColumnScaler(cols).fit(found).transform(found)
     means = scaled.groupBy("cluster_pred").agg(*[F.avg(c) for c in cols]).orderBy("cluster_pred").collect()
     nearest = K.nearest(cols, [tuple(m)[1:] for m in means])
@@ -242,9 +284,34 @@ def _(t):
     )
 
 
-@query("kmeans_elbow")
+@query(
+    "kmeans_elbow",
+    kmeans_sql(
+        "embeddings", "vec_id", "vec_id", [f"embedding[{i + 1}]" for i in range(64)], list(range(1, 10)), 1, 10,
+        "select k::int as k, round(sum(gap), 4) as wcss from near group by k",
+    ),
+)
+def _(t):
+    """Cost of one to nine clusters after ten steps, all in the same reads."""
+    found = K.elbow(vectors(t), [f"e{i}" for i in range(64)], seed=1, key="vec_id", max_iter=10, settled=0.0)
+    return rounded(found, ["wcss"], 4)
+
+
+@query(
+    "kmeans_saved",
+    kmeans_sql(
+        "part", "p_partkey, p_size, p_retailprice", "p_partkey", ["p_size", "p_retailprice"], [2, 3, 6], 5, 10,
+        "select p_partkey, p_size, p_retailprice, max(c) filter (k = 2) as cluster_2, max(c) filter (k = 3) as cluster_3, "
+        "max(c) filter (k = 6) as cluster_6 from near join scaled using (id) group by 1, 2, 3",
+    ),
+)
 def _(t):
-    return K.elbow(vectors(t), [f"e{i}" for i in range(64)], seed=1)
+    """Two, three and six clusters next to the original columns, saved and read back."""
+    some = t.part.select("p_partkey", "p_size", "p_retailprice")
+    found = K.kmeans_many(some, ["p_size", "p_retailprice"], [2, 3, 6], seed=5, key="p_partkey", max_iter=10, settled=0.0)
+    path = shared_dir(t.spark, "clusters")
+    found.write.parquet(path)
+    return t.spark.read.parquet(path)
 
 
 @query(
