@@ -85,10 +85,45 @@ def quality_model(t):
     return L.fit_logreg(scaler.transform(df), FEATURES, "quality"), scaler.transform(df)
 
 
-@query("logistic_regression")
+RAW = """raw as (select n_chars / 1000 as f1, (length(text) - length(replace(text, ' ', ''))) / length(text) as f2,
+     (lang = 'en')::int::double as f3, try_cast(regexp_extract(source, '([0-9]+)', 1) as double) as f4, quality::double as y
+   from documents join labels using (doc_id))"""
+
+
+def descent_sql(rows: str, size: int, steps: int) -> str:
+    """Accelerated gradient steps to the optimum of the penalised log loss; ``rows`` defines data (x, y).
+
+    Each x begins with 1; ``walk`` then has the weights in ``w`` at ``step`` = ``steps``.
+    """
+    ahead = "(any_value(w)[i] + 0.95 * any_value(v)[i])"
+    sums = ", ".join(f"sum(off * x[{i + 1}])" for i in range(size))
+    pull = f"0.95 * any_value(v)[i] - 4.0 / ({size} * any_value(n) + 4) * ([{sums}][i] + case when i > 1 then {ahead} else 0 end)"
+    zeros = "[" + ", ".join(["0.0::double"] * size) + "]"
+    index = f"range(1, {size + 1})"
+    return f"""with recursive {rows}, size as (select count(*) as n from data),
+        walk as (select 0 as step, {zeros} as w, {zeros} as v union all
+          select step + 1, list_transform({index}, lambda i: any_value(w)[i] + {pull}), list_transform({index}, lambda i: {pull})
+          from (select step, w, v, n, x, 1 / (1 + exp(-list_inner_product(list_transform({index}, lambda i: w[i] + 0.95 * v[i]), x))) - y as off
+                from walk, data, size where step < {steps}) group by step)"""
+
+
+SCALED_RAW = RAW + """, stats as (select avg(f1) as m1, stddev_pop(f1) as s1, avg(f2) as m2, stddev_pop(f2) as s2,
+     avg(f3) as m3, stddev_pop(f3) as s3, avg(f4) as m4, stddev_pop(f4) as s4 from raw),
+   data as (select [1.0::double, (f1 - m1) / s1, (f2 - m2) / s2, (f3 - m3) / s3, (f4 - m4) / s4] as x, y
+            from raw, stats where f1 + f2 + f3 + f4 is not null)"""
+
+
+@query(
+    "logistic_regression",
+    descent_sql(SCALED_RAW, 5, 800)
+    + """, terms as (select unnest(range(0, 5)) as position,
+           unnest(['Intercept', 'size_thousands', 'share_blank', 'is_en', 'source_no']) as feature_name, unnest(w) as b
+         from walk where step = 800)
+       select position::int as position, feature_name, round(b, 6) as coefficient, round(exp(b), 6) as odds_ratio from terms""",
+)
 def _(t):
     model, _ = quality_model(t)
-    return L.coef_table(t.spark, model)
+    return rounded(L.coef_table(t.spark, model), ["coefficient", "odds_ratio"], 6)
 
 
 @query(
@@ -112,6 +147,24 @@ def _(t):
 
 @query(
     "predict_probability",
+    descent_sql(
+        RAW.replace("select n_chars", "select doc_id, n_chars")
+        + SCALED_RAW.removeprefix(RAW).replace("as x, y", "as x, y, doc_id"),
+        5,
+        800,
+    )
+    + """, found as (select doc_id, y, 1 / (1 + exp(-list_inner_product(w, x))) as p from walk, data where step = 800)
+       select doc_id, y::int as quality, round(p, 6) as probability, (p > 0.5)::int::double as prediction from found""",
+)
+def _(t):
+    """Probability of the positive class, and the class, of each row."""
+    model, df = quality_model(t)
+    scored = model.transform(df).select("doc_id", F.col("quality").cast("int").alias("quality"), F.col("probability")[1].alias("probability"), "prediction")
+    return rounded(scored.where("probability is not null"), ["probability"], 6)
+
+
+@query(
+    "probability_calibration",
     """select doc_id, quality, true as agrees, 0.0::double as calibration_gap from documents join labels using (doc_id)""",
 )
 def _(t):
