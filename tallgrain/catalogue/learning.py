@@ -90,20 +90,21 @@ RAW = """raw as (select n_chars / 1000 as f1, (length(text) - length(replace(tex
    from documents join labels using (doc_id))"""
 
 
-def descent_sql(rows: str, size: int, steps: int) -> str:
+def descent_sql(rows: str, size: int, steps: int, bound: float | None = None, momentum: float = 0.95) -> str:
     """Accelerated gradient steps to the optimum of the penalised log loss; ``rows`` defines data (x, y).
 
-    Each x begins with 1; ``walk`` then has the weights in ``w`` at ``step`` = ``steps``.
+    Each x begins with 1; ``walk`` then has the weights in ``w`` at ``step`` = ``steps``.  ``bound``
+    is above the largest eigenvalue of the mean of x times itself.
     """
-    ahead = "(any_value(w)[i] + 0.95 * any_value(v)[i])"
+    ahead = f"(any_value(w)[i] + {momentum} * any_value(v)[i])"
     sums = ", ".join(f"sum(off * x[{i + 1}])" for i in range(size))
-    pull = f"0.95 * any_value(v)[i] - 4.0 / ({size} * any_value(n) + 4) * ([{sums}][i] + case when i > 1 then {ahead} else 0 end)"
+    pull = f"{momentum} * any_value(v)[i] - 4.0 / ({bound or size} * any_value(n) + 4) * ([{sums}][i] + case when i > 1 then {ahead} else 0 end)"
     zeros = "[" + ", ".join(["0.0::double"] * size) + "]"
     index = f"range(1, {size + 1})"
     return f"""with recursive {rows}, size as (select count(*) as n from data),
         walk as (select 0 as step, {zeros} as w, {zeros} as v union all
           select step + 1, list_transform({index}, lambda i: any_value(w)[i] + {pull}), list_transform({index}, lambda i: {pull})
-          from (select step, w, v, n, x, 1 / (1 + exp(-list_inner_product(list_transform({index}, lambda i: w[i] + 0.95 * v[i]), x))) - y as off
+          from (select step, w, v, n, x, 1 / (1 + exp(-list_inner_product(list_transform({index}, lambda i: w[i] + {momentum} * v[i]), x))) - y as off
                 from walk, data, size where step < {steps}) group by step)"""
 
 

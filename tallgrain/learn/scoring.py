@@ -57,14 +57,15 @@ def train(
 
 
 def prediction_report(
-    scored: DataFrame, by: str, flag: str, excluded: Sequence = (), probability: str = "Probability"
+    scored: DataFrame, by: str, flag: str | Sequence[str], excluded: Sequence = (), probability: str = "Probability"
 ) -> DataFrame:
-    """Mean probability by a feature and largest value of a flag, some members left out."""
+    """Mean probability by a feature and largest value of one or more flags, some members left out."""
+    flags = [flag] if isinstance(flag, str) else list(flag)
     kept = scored
     if excluded:
         kept = scored.filter(~F.col(by).isin(*excluded) | F.col(by).isNull())
     return kept.groupBy(by).agg(
         F.avg(probability).alias("mean_probability"),
-        F.max(flag).alias(f"max_{flag}"),
+        *[F.max(f).alias(f"max_{f}") for f in flags],
         F.count(F.lit(1)).alias("n_rows"),
     )

@@ -52,5 +52,5 @@ def score_absence(raw: DataFrame, model: ScoringModel, keep: Sequence[str] = ())
     return model.score(prepared)
 
 
-def absence_report(scored: DataFrame) -> DataFrame:
-    return prediction_report(scored, "Age", "Reason_1")
+def absence_report(scored: DataFrame, flags: str | Sequence[str] = "Reason_1", excluded: Sequence = ()) -> DataFrame:
+    return prediction_report(scored, "Age", flags, excluded)
