@@ -9,6 +9,7 @@ from ..learn.scaler import ColumnScaler
 from ..learn.scoring import ScoringModel
 from ..operators.joins import spread_join
 from ..plans import absence as A
+from ..plans import bank as B
 from ..plans import customer360 as C
 from ..plans import experiment as X
 from ..plans import staging as G
@@ -214,6 +215,43 @@ def _(t):
     return rounded(found, MEANS)
 
 
+def raw_sources(t, root: str) -> dict[str, G.Source]:
+    """The four sources as files below a folder."""
+    for name, df in (("loans", loans(t)), ("demographics", demographics(t)), ("products", products(t))):
+        write_csv(df, f"{root}/{name}.csv")
+    behaviour(t).write.json(f"{root}/behaviour.json")
+    kinds = {"loans": "csv", "demographics": "csv", "products": "csv", "behaviour": "json"}
+    return {n: G.Source(f"{root}/{n}.{k}", k, G.BEHAVIOUR_SCHEMA if k == "json" else None) for n, k in kinds.items()}
+
+
+@query("bank_job", CUSTOMER360)
+def _(t):
+    """Files to staged tables to the merged table, which is read back by its name; run twice."""
+    root = shared_dir(t.spark, "bank")
+    sources, database = raw_sources(t, root), "bank_" + root.rsplit("-", 1)[-1]
+    for seed in (1, 5):  # the second run replaces the first
+        done = B.run_bank_job(t.spark, sources, f"{root}/out", database, seed=seed)
+    return rounded(t.spark.table(done.table), MEANS)
+
+
+@query(
+    "staged_people",
+    """select 'CL' || lpad(c_custkey::varchar, greatest(3, length(c_custkey::varchar))::int, '0') as cliente_id, 'CO' as pais,
+         c_nationkey::varchar as codigo_postal, (c_custkey % 120)::varchar as antiguedad_empleo_meses,
+         case when c_custkey % 17 <> 0 then (c_custkey % 4)::varchar end as hijos, (c_custkey % 3)::varchar as vehiculos,
+         case when c_custkey % 7 <> 0 then ['Bogotá', 'Medellín', 'Cali', 'Barranquilla'][c_nationkey % 4 + 1] end as ciudad,
+         c_mktsegment as empleador, case when c_custkey % 11 <> 0 then ['Propia', 'Arrendada', 'Familiar'][c_custkey % 3 + 1] end
+           as propiedad_vivienda from customer""",
+)
+def _(t):
+    """The rows of a staged table."""
+    root = shared_dir(t.spark, "staged")
+    write_csv(demographics(t), f"{root}/people.csv")
+    source = {"people": G.Source(f"{root}/people.csv", "csv")}
+    done = G.stage_all(t.spark, source, f"{root}/out", "staged_" + root.rsplit("-", 1)[-1])
+    return t.spark.table(done["people"].table)
+
+
 @query(
     "stage_all",
     """select * from (select 'loans' as source, count(*) as n_rows, 0::bigint as n_corrupt from orders

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import normalize_text
 from ..operators.columns import drop_columns, first_columns, to_number
-from ..operators.dateparts import date_parts, to_date10
+from ..operators.dateparts import DateParts, date_parts, to_date10
 from ..operators.describe import collapse_by_key
 from ..operators.encode import OneHot
 from ..operators.impute import Impute, impute_by_role
@@ -60,7 +60,9 @@ def prepare_loans(df: DataFrame, sample: int | None = None, seed: int = 0) -> Da
         some = sample_with_ids(chosen, sample, "id", "CL", seed)
     clean = clean_percent(drop_columns(some, LOAN_DROP), "int_rate")
     dated = to_date10(to_number(clean, LOAN_NUMBERS), ["issue_d"])
-    return term_to_months(date_parts(dated, ["issue_d"]), "term")
+    # without a sample the rows are those of the source, which needs no numbering to be looked at
+    dates = DateParts(["issue_d"]).fit(to_date10(chosen, ["issue_d"]) if sample is None else dated)
+    return term_to_months(dates.transform(dated), "term")
 
 
 def prepare_demographics(df: DataFrame) -> DataFrame:
@@ -88,13 +90,15 @@ def prepare_products(df: DataFrame) -> DataFrame:
     opened = "fecha_apertura_servicio"
     clean = to_number(to_date10(clean, [opened]), PRODUCT_NUMBERS)
     clean = clean.withColumn("servicios_contratados", normalize_text("servicios_contratados"))
+    # a date that no product has no client has either: learnt before the rows are collapsed
+    dates = DateParts([opened]).fit(clean)
     encoder = OneHot(PRODUCT_LEVELS).fit(clean)
     coded, flags = encoder.transform(clean), encoder.column_names()
     rest = [c for c in coded.columns if c not in ("cliente_id", opened, *flags, *PRODUCT_NUMBERS)]
     one = collapse_by_key(
         coded, "cliente_id", PRODUCT_NUMBERS, flags, [opened], rest, [opened, *rest]
     )
-    return date_parts(one, [opened])
+    return dates.transform(one)
 
 
 def merge(loans: DataFrame, people: DataFrame, behaviour: DataFrame, products: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import datetime
 
 import pytest
 
+from tallgrain.plans.bank import run_bank_job
 from tallgrain.plans.staging import BEHAVIOUR_SCHEMA, Source, stage_all
 from tallgrain.session import shared_root
 from tallgrain.sources import files, script, tables
@@ -156,3 +157,23 @@ def test_ingest_counts_all_batches(spark, tmp_path):
         spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), "id long", max_files=1
     )
     assert n == 130 == spark.read.parquet(str(tmp_path / "out")).count()
+
+
+def test_a_table_is_swapped_for_another(spark, tmp_path):
+    tables.ensure_database(spark, "swap_test", f"{tmp_path}/swap_test.db")
+    name = tables.swap_table(spark.range(3), "swap_test", "t", str(tmp_path))
+    before = spark.table(name)
+    assert before.count() == 3
+    grown = spark.table(name).unionByName(spark.range(10, 12))  # reads what it replaces
+    assert tables.swap_table(grown, "swap_test", "t", str(tmp_path)) == name
+    assert rows(spark.table(name)) == [(0,), (1,), (10,), (11,), (2,)]
+    tables.swap_table(spark.range(1).selectExpr("id", "'x' as y"), "swap_test", "t", str(tmp_path))
+    assert spark.table(name).columns == ["id", "y"] and spark.table(name).count() == 1
+    with pytest.raises(Exception, match="no_such_column"):
+        tables.swap_table(spark.range(2).selectExpr("no_such_column"), "swap_test", "t", str(tmp_path))
+    assert spark.table(name).count() == 1
+
+
+def test_bank_job_needs_its_sources(spark, tmp_path):
+    with pytest.raises(ValueError, match="products"):
+        run_bank_job(spark, {"loans": Source("x", "csv"), "demographics": Source("x", "csv"), "behaviour": Source("x", "csv")}, str(tmp_path))
