@@ -85,6 +85,29 @@ def _(t):
     return E.CategoryCodes(["c_mktsegment"]).fit(c).transform(c)
 
 
+@query(
+    "dictionary_codes",
+    """select l_orderkey, l_linenumber, l_partkey, dense_rank() over (order by l_partkey) - 1 as l_partkey_code,
+              dense_rank() over (order by l_returnflag) - 1 as l_returnflag_code from lineitem""",
+)
+def _(t):
+    """Codes of any number of levels, by a join with a table of levels."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    return E.DictionaryCodes(["l_partkey", "l_returnflag"]).fit(lines).transform(lines).drop("l_returnflag")
+
+
+@query(
+    "sparse_one_hot",
+    """select l_orderkey, l_linenumber, l_partkey, (dense_rank() over (order by l_returnflag) - 1) || ' '
+              || (dense_rank() over (order by l_orderkey) - 1 + (select count(distinct l_returnflag) from lineitem)) as places from lineitem""",
+)
+def _(t):
+    """The places of each row's ones among 0/1 columns for all levels of two columns."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    found = E.DictionaryCodes(["l_returnflag", "l_orderkey"]).fit(lines).sparse(lines).drop("l_returnflag")
+    return found.withColumn("places", F.array_join("places", " "))
+
+
 @query(
     "cut_fixed",
     """select l_orderkey, l_linenumber, l_quantity, case when l_quantity > 1 and l_quantity <= 10 then 'few'

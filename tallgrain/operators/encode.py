@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_accents
+from ..session import stored
 
 
 def level_name(c) -> Column:
@@ -118,3 +119,67 @@ class CategoryCodes:
     def transform(self, df: DataFrame) -> DataFrame:
         codes = {f"{c}_code": ordinal(F.col(c).cast("string"), self.levels[c]) for c in self.cols}
         return df.withColumns(codes)
+
+
+class DictionaryCodes:
+    """Codes and sparse one-hot places of columns with any number of levels.
+
+    The levels of all columns are a table, numbered by a distributed sort; no list of them reaches
+    the driver.  Rows find their codes by a join, so a later batch gets the same codes, and a level
+    that was not learnt has none.
+    """
+
+    def __init__(self, cols: Sequence[str]):
+        self.cols = list(cols)
+        self.levels: DataFrame | None = None
+
+    def fit(self, df: DataFrame) -> DictionaryCodes:
+        """Learn (column, value, code, place): ``code`` counts a column's levels from 0 in their order,
+        ``place`` those of all columns.  Numbers are in numeric order, other values in that of their text.
+        """
+        kinds = dict(df.dtypes)
+
+        def numeric(c: str) -> bool:
+            return kinds[c].startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal"))
+
+        cells = [
+            F.struct(
+                F.lit(i).alias("i"),
+                (F.col(c) if numeric(c) else F.lit(None)).cast("double").alias("n"),
+                F.col(c).cast("string").alias("v"),
+            )
+            for i, c in enumerate(self.cols)
+        ]
+        seen = df.select(F.inline(F.array(*cells))).where("v is not null").distinct()
+        # sorted across partitions; a row's place is the rows of earlier partitions and its own number
+        dealt = seen.repartitionByRange("i", "n", "v").sortWithinPartitions("i", "n", "v")
+        inside = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+        placed = stored(dealt.select("i", "v", F.spark_partition_id().alias("p"), inside.alias("k")), "levels")
+        earlier = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = placed.groupBy("p").count().select("p", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("off"))
+        numbered = placed.join(F.broadcast(sizes), "p").select("i", "v", (F.col("off") + F.col("k")).alias("place"))
+        first = numbered.groupBy("i").agg(F.min("place").alias("first"))
+        names = F.get(F.array(*[F.lit(c) for c in self.cols]), F.col("i"))
+        coded = numbered.join(F.broadcast(first), "i").select(
+            names.alias("column"), F.col("v").alias("value"), (F.col("place") - F.col("first")).alias("code"), "place"
+        )
+        self.levels = stored(coded, "level-codes")
+        return self
+
+    def _met(self, df: DataFrame, number: str) -> DataFrame:
+        if self.levels is None:
+            raise ValueError("fit has not been called")
+        for i, c in enumerate(self.cols):
+            own = self.levels.where(F.col("column") == c).select(F.col("value").alias(f"_v{i}"), F.col(number).alias(f"_k{i}"))
+            df = df.join(own, F.col(c).cast("string") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
+        return df
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``<col>_code`` for every column; null and unknown levels have no code."""
+        names = {f"_k{i}": f"{c}_code" for i, c in enumerate(self.cols)}
+        return self._met(df, "code").withColumnsRenamed(names)
+
+    def sparse(self, df: DataFrame, out: str = "places") -> DataFrame:
+        """``df`` with the sorted places of its ones, in one row of 0/1 columns for all levels, as an array."""
+        keys = [f"_k{i}" for i in range(len(self.cols))]
+        return self._met(df, "place").withColumn(out, F.array_sort(F.array_compact(F.array(*keys)))).drop(*keys)

@@ -211,3 +211,31 @@ def test_head_tail_and_top(spark):
 def test_one_hot_takes_timestamp_levels(spark):
     df = spark.sql("select timestamp'2024-01-02 03:04:05' as at union all select timestamp'2023-01-02 03:04:05'")
     assert len(encode.OneHot(["at"]).fit(df).transform(df).columns) == 2
+
+
+def test_dictionary_codes_of_many_levels(spark, monkeypatch):
+    n = 100_000
+    df = spark.range(0, 3 * n, 1, 8).select(
+        "id", (F.col("id") * 7 % n - 50).alias("number"), F.concat(F.lit("v"), F.col("id") % 1000).alias("text")
+    )
+    df = df.withColumn("text", F.when(F.col("id") % 11 > 0, F.col("text")))
+    coder = encode.DictionaryCodes(["number", "text"]).fit(df)
+
+    def refuse(*_):
+        raise AssertionError("collected")
+
+    monkeypatch.setattr(type(df), "collect", refuse)
+    out = coder.transform(df)
+    sparse = coder.sparse(df)
+    monkeypatch.undo()
+    wrong = out.where((F.col("number_code") != F.col("number") + 50) | F.col("number_code").isNull())
+    assert wrong.count() == 0 and out.where("text is null and text_code is not null").count() == 0
+    order = {f"v{i}": k for k, i in enumerate(sorted(range(1000), key=lambda i: f"v{i}"))}
+    got = {r.text: r.text_code for r in out.select("text", "text_code").distinct().collect() if r.text}
+    assert got == order
+    row = sparse.where("id = 5").first()
+    assert row.places == [35, n + order["v5"]] and sparse.where("id = 11").first().places == [77]
+    later = spark.createDataFrame([(1, -50, "new")], "id long, number long, text string")
+    assert coder.transform(later).first()[3:] == (0, None)
+    empty = encode.DictionaryCodes(["text"]).fit(df.limit(0))
+    assert empty.transform(later).first()["text_code"] is None
