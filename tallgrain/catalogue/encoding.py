@@ -157,8 +157,14 @@ def _(t):
     return B.qcut(t.orders, "o_totalprice", 4, out="price_q").select("o_orderkey", "price_q")
 
 
+@query("cut_quantiles_approx")
+def _(t):
+    """Every row with its approximate bin."""
+    return B.qcut(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", 4, out="price_q", approx=True)
+
+
 @query(
-    "cut_quantiles_approx",
+    "cut_quantiles_approx_gap",
     f"""select price_q, count(*) as n_exact, true as within from ({QCUT}) group by 1""",
 )
 def _(t):

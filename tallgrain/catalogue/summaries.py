@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import columns as C
 from ..operators import counts as K
 from ..operators import describe as D
+from ..operators.ranks import exact_quantiles
 from ..operators.bins import cut_equal, decade
 from ..operators.reshape import melt
 from . import query
@@ -358,8 +359,14 @@ def _(t):
 PROFILED = ["l_orderkey", "l_suppkey", "l_quantity", "l_returnflag"]
 
 
+@query("approx_profile")
+def _(t):
+    """The profile with its approximate distinct counts."""
+    return D.approx_profile(t.lineitem, PROFILED)
+
+
 @query(
-    "approx_profile",
+    "approx_profile_gap",
     " union all ".join(
         f"""select '{c}' as column_name, count(distinct {c}) as n_distinct, true as within, count({c}) as non_null,
                    min({c})::varchar as smallest, max({c})::varchar as largest from lineitem"""
@@ -377,6 +384,24 @@ def _(t):
     return both.select("column_name", "n_distinct", within, "non_null", "smallest", "largest")
 
 
+@query(
+    "quantiles_of_large_integers",
+    """with v as (select o_orderstatus, 9007199254740993 + o_orderkey * 7 + o_custkey as x from orders),
+       r as (select *, row_number() over (partition by o_orderstatus order by x) - 1 as place,
+               count(*) over (partition by o_orderstatus) as n from v),
+       p as (select o_orderstatus, n, prob, floor((n - 1) * prob)::bigint as low, (n - 1) * prob - floor((n - 1) * prob) as part
+             from (select distinct o_orderstatus, n from r), (select unnest([0.1, 0.25, 0.5, 0.9]::double[]) as prob))
+       select p.o_orderstatus, prob, (a.x + ((b.x - a.x) * part::decimal(10,9)))::decimal(38,6)::varchar as quantile
+       from p join r a on a.o_orderstatus = p.o_orderstatus and a.place = low
+              join r b on b.o_orderstatus = p.o_orderstatus and b.place = least(low + 1, p.n - 1)""",
+)
+def _(t):
+    """Integers above 2^53, whose quantiles as doubles would be off."""
+    large = (F.lit(9007199254740993) + F.col("o_orderkey") * 7 + F.col("o_custkey")).alias("x")
+    found = exact_quantiles(t.orders.select("o_orderstatus", large), ["x"], [0.1, 0.25, 0.5, 0.9], ["o_orderstatus"], decimal=True)
+    return found.select("o_orderstatus", "prob", F.col("quantile").cast("string").alias("quantile"))
+
+
 @query(
     "mean_median_by_moment",
     """select o_orderstatus, moment, round(avg(score), 6) as mean, round(quantile_cont(score, 0.5), 6) as median

@@ -391,9 +391,14 @@ def exact_quantiles(
     by: Sequence[str] = (),
     ranges: int | None = None,
     grid: ValueGrid | None = None,
+    decimal: bool = False,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: (by, column, prob, quantile).
 
+    Quantiles are doubles.  With ``decimal`` integers and decimals (up to nine places) are put in
+    order and interpolated as such, and quantiles are decimal(38, 6), so that numbers above 2^53
+    keep all their digits.
+
     A first pass counts rows per value range (a map-side aggregation).  That tells which
     ranges hold the wanted places, and only their values are shuffled in the second pass.
     """
@@ -410,14 +415,16 @@ def exact_quantiles(
                 *[
                     F.struct(
                         F.lit(c).alias("column"),
-                        number(df, c).alias("_value"),
+                        (F.col(c).cast("decimal(38,9)") if decimal else number(df, c)).alias("_value"),
                         F.col(f"_range_{c}").alias("_range"),
                     )
                     for c in cols
                 ]
             )
         ),
-    ).filter(F.col("_value").isNotNull() & ~F.isnan("_value"))
+    ).filter(F.col("_value").isNotNull())
+    if not decimal:
+        long = long.filter(~F.isnan("_value"))
     keys = [*by, "column"]
     filled = long.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_rows"))
     whole = Window.partitionBy(*keys)
@@ -466,12 +473,12 @@ def exact_quantiles(
         hit = (F.col(place) >= F.col("_first")) & (F.col(place) < F.col("_last"))
         return F.max(F.when(hit, F.col("_value")))
 
+    part = F.col("_part").cast("decimal(10,9)") if decimal else F.col("_part")
+    quantile = F.col("_a") + (F.col("_b") - F.col("_a")) * part
     return (
         values.groupBy(*keys, "prob", "_part")
         .agg(at("_low").alias("_a"), at("_high").alias("_b"))
-        .select(
-            *keys, "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")).alias("quantile")
-        )
+        .select(*keys, "prob", (quantile.cast("decimal(38,6)") if decimal else quantile).alias("quantile"))
     )
 
 
