@@ -15,6 +15,8 @@ Four differing bits over three segments leave two cases.
 Equal fingerprints are one node from the start, so a hot text is one row.  Keys carry 33 to 36
 bits, so strangers seldom meet.  Within a key, nodes are compared by a search that leaves out what
 is already connected, and only the links that connect something new are kept: never all pairs.
+A key with very many nodes is dealt again: four differing bits leave one of five parts of the bits
+that its nodes don't share untouched, and so on until every key is small enough.
 """
 
 from __future__ import annotations
@@ -27,11 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import mixed, written
 
 #: Most differing bits of a link; the keys below are made for four.
 MAX_BITS = 4
 SEGMENTS = ((42, 22), (21, 21), (0, 21))  # (lowest bit, width)
+#: Nodes of a key that are compared in one task; larger keys are dealt again.
+CROWD = 1 << 14
 
 #: Generator polynomial of the binary Golay code of length 23.
 GENERATOR = 0b101011100011
@@ -164,40 +168,110 @@ def _links_in_bucket(fp: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return out
 
 
-def _links(keyed: DataFrame, bits: int) -> DataFrame:
-    """Verified links among the nodes of each key; rows arrive sorted by key."""
+def _links(keyed: DataFrame, bits: int, limit: int) -> DataFrame:
+    """(a, b, key, mask): verified links among the nodes of each key, and the nodes of crowded keys.
+
+    ``keyed`` has key, fp and mask, the bits that all nodes of a key share.  A link has no key.  Nodes
+    under a key with more than ``limit`` of them are not compared; they come back as ``a``, with their
+    key and mask, as they are read.
+    """
+    names = ["a", "b", "key", "mask"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        held: list[tuple[np.ndarray, ...]] = []  # rows of the last key
+        crowded = None  # the last key, if it is known to be crowded
+
+        def passed(key: np.ndarray, fp: np.ndarray, mask: np.ndarray) -> pa.RecordBatch:
+            none = pa.nulls(len(key), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), none, pa.array(key), pa.array(mask)], names)
 
-        def settle(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+        def settle(key: np.ndarray, fp: np.ndarray, mask: np.ndarray) -> Iterator[pa.RecordBatch]:
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             size = np.diff(np.append(first, len(key)))
             pair = first[size == 2]  # the usual case, all at once
             pair = pair[np.bitwise_count(fp[pair] ^ fp[pair + 1]) <= bits]
             a, b = [fp[pair]], [fp[pair + 1]]
             for s, n in zip(first[size > 2].tolist(), size[size > 2].tolist()):
-                if links := _links_in_bucket(fp[s : s + n], bits):
+                if n > limit:
+                    yield passed(key[s : s + n], fp[s : s + n], mask[s : s + n])
+                elif links := _links_in_bucket(fp[s : s + n], bits):
                     one, two = np.array(links, np.uint64).T
                     a.append(one)
                     b.append(two)
             one, two = np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64)
             both = np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)], axis=1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+            none = pa.nulls(len(both), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), none, none], names)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = np.concatenate([held_key, batch.column(0).to_numpy(zero_copy_only=False)])
-            fp = np.concatenate([held, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
-            cut = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
-            if cut:
-                yield settle(key[:cut], fp[:cut])
-            held_key, held = key[cut:], fp[cut:]
-        if len(held):
-            yield settle(held_key, held)
+            key, fp, mask = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+            rows = (key, fp.view(np.uint64), mask)
+            if crowded is not None:
+                same = int(np.searchsorted(key, crowded, "right"))
+                if same:
+                    yield passed(*(x[:same] for x in rows))
+                if same == len(key):
+                    continue
+                crowded, rows = None, tuple(x[same:] for x in rows)
+            held.append(rows)
+            if held[0][0][0] == rows[0][-1]:  # one key so far
+                if sum(len(x[0]) for x in held) > limit:
+                    crowded = rows[0][-1]
+                    for some in held:
+                        yield passed(*some)
+                    held = []
+                continue
+            rows = tuple(np.concatenate(x) for x in zip(*held))
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))  # the last key may go on in the next batch
+            yield from settle(*(x[:cut] for x in rows))
+            held = [tuple(x[cut:] for x in rows)]
+        if held:
+            yield from settle(*(np.concatenate(x) for x in zip(*held)))
+
+    sorted_ = keyed.select("key", "fp", "mask").repartition("key").sortWithinPartitions("key", "fp")
+    return sorted_.mapInArrow(run, "a long, b long, key long, mask long")
+
+
+def open_blocks(mask: int, blocks: int = MAX_BITS + 1) -> list[int]:
+    """``mask`` with one of ``blocks`` equal parts of its open bits added, for each part."""
+    free = [1 << b for b in range(64) if not mask >> b & 1]
+    ends = [len(free) * i // blocks for i in range(blocks + 1)]
+    return [mask | sum(free[a:b]) for a, b in zip(ends, ends[1:])]
+
+
+def _dealt_again(crowded: DataFrame) -> DataFrame:
+    """Nodes of crowded keys under further keys: of five parts of the open bits one is untouched."""
 
-    return keyed.mapInArrow(run, "a long, b long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp, key, mask = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+            for known in np.unique(mask).tolist():
+                at = np.flatnonzero(mask == known)
+                for wider in open_blocks(known % 2**64):
+                    shared = fp[at].view(np.uint64) & np.uint64(wider)
+                    new = mixed(mixed(key[at].view(np.uint64) + np.uint64(wider)) + shared)
+                    signed = np.full(len(at), np.uint64(wider)).view(np.int64)
+                    columns = [pa.array(new.view(np.int64)), pa.array(fp[at]), pa.array(signed)]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "fp", "mask"])
+
+    return crowded.select("a", "key", "mask").mapInArrow(run, "key long, fp long, mask long")
+
+
+def links(nodes: DataFrame, bits: int, limit: int = CROWD) -> DataFrame:
+    """(a, b): links that connect what is connected among the different fingerprints ``fp``.
+
+    Keys with more than ``limit`` nodes are dealt again by more of the nodes' bits, until none is
+    left; the limit doubles each time, as a node then lies under up to five times as many keys.
+    """
+    found = written(_links(_keys_of(nodes).withColumn("mask", F.lit(0).cast("long")), bits, limit), "simhash-found")
+    out = found.where("key is null").select("a", "b")
+    while not (crowded := found.where("key is not null")).isEmpty():
+        limit *= 2
+        found = written(_links(_dealt_again(crowded), bits, limit), "simhash-found")
+        out = out.unionByName(found.where("key is null").select("a", "b"))
+    return out
 
 
 def components(links: DataFrame, label: str = "components") -> DataFrame:
@@ -223,7 +297,9 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", width: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
+def near_groups(
+    df: DataFrame, text: str = "text", key: str = "doc_id", width: int = 4, max_bits: int = MAX_BITS, limit: int = CROWD
+) -> DataFrame:
     """(key, fp, component_id) of every row: the smallest key connected by links, itself included.
 
     Rows with equal fingerprints are linked, texts without words (fingerprint 0) too.  Repeated
@@ -233,8 +309,7 @@ def near_groups(df: DataFrame, text: str = "text", key: str = "doc_id", width: i
         raise ValueError(f"max_bits must be between 0 and {MAX_BITS}")
     prints = written(fingerprints(df, text, key, width), "simhash-prints")
     nodes = written(prints.groupBy("fp").agg(F.min(key).alias("first_key")), "simhash-nodes")
-    keyed = _keys_of(nodes).repartition("key").sortWithinPartitions("key", "fp")
-    roots = components(_links(keyed, max_bits), "simhash-links")
+    roots = components(links(nodes, max_bits, limit), "simhash-links")
     grouped = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "first_key", F.coalesce("root", "fp").alias("root")
     )

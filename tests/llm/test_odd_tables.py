@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallgrain.llm import chat, language, mixing, quality, queries, rules, suffix, topk
+from tallgrain.llm import chat, language, mixing, quality, queries, rules, simhash, suffix, topk
 from tallgrain.llm.common import sampled, sampled_texts
 
 from .test_corpus import plain_repeats
@@ -99,3 +99,56 @@ def test_names_that_clash(spark):
     odd = turns.withColumns({"tree": F.lit(9), "node": F.lit(1), "score": F.lit("x"), "parent": F.lit(0), "path": F.lit(0)})
     made = chat.conversations(chat.thread(odd))
     assert made.count() == 1 and made.first()["tree"] == 1
+
+
+def test_blocks_of_open_bits():
+    for mask in (0, 0b1011, (1 << 60) - 1):
+        wider = simhash.open_blocks(mask)
+        assert len(wider) == 5 and all(w & mask == mask for w in wider)
+        added = [w & ~mask for w in wider]
+        assert sum(added) == ~mask % 2**64 and sum(a.bit_count() for a in added) == 64 - mask.bit_count()
+
+
+@pytest.mark.parametrize("limit", [4, 60, 1 << 14])
+def test_crowded_keys_lose_no_link(spark, limit):
+    rng = random.Random(3)
+    prints = set()
+    for _ in range(4):
+        centre = rng.getrandbits(64)
+        for _ in range(120):
+            near = centre
+            for b in rng.sample(range(64), rng.randrange(5)):
+                near ^= 1 << b
+            prints.add(near)
+    prints = sorted(prints)
+    group = {p: p for p in prints}
+    for i, a in enumerate(prints):
+        for b in prints[i + 1 :]:
+            if (a ^ b).bit_count() <= 4 and group[a] != group[b]:
+                one, two = sorted((group[a], group[b]))
+                group = {k: one if g == two else g for k, g in group.items()}
+    nodes = spark.createDataFrame([(int(np.uint64(p).view(np.int64)),) for p in prints], "fp long").repartition(3)
+    found = {frozenset((r.a, r.b)) for r in simhash.links(nodes, 4, limit).collect()}
+    assert all((np.uint64(a % 2**64) ^ np.uint64(b % 2**64)).item().bit_count() <= 4 for a, b in map(tuple, found))
+    root = {p: p for p in prints}
+
+    def top(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for pair in found:
+        a, b = (x % 2**64 for x in pair)
+        root[max(top(a), top(b))] = min(top(a), top(b))
+    assert {p: top(p) for p in prints} == group
+
+
+def test_a_hot_key_is_spread(spark):
+    """Many fingerprints that share the upper bits: no task keeps them all."""
+    fp = F.lit(0x5A5A5A5A << 32).bitwiseOR(F.col("id") * 37)
+    nodes = spark.range(20_000).select(fp.cast("long").alias("fp"))
+    keyed = nodes.select(F.lit(1).cast("long").alias("key"), "fp", F.lit(0).cast("long").alias("mask"))
+    first = simhash._links(keyed, 4, 1000)
+    assert first.where("key is not null").count() == 20_000
+    again = simhash._dealt_again(first.where("key is not null"))
+    assert again.count() == 100_000 and again.select("key").distinct().count() > 1000
