@@ -154,3 +154,39 @@ def test_absence_batch_without_some_codes(spark):
     assert [got[1][f"Reason_{i}"] for i in (1, 2, 3, 4)] == [0, 0, 1, 0]
     assert (got[0]["Month_value"], got[0]["Day of the Week"], got[0]["Education"]) == (7, 1, 1)
     assert got[1]["Education"] is None
+
+
+def test_all_clusterings_at_once_equal_each_alone(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame(rng.normal(0, 1, (400, 2)), columns=["x", "z"]).assign(id=np.arange(400))
+    pdf.loc[3, "x"] = np.nan
+    df = spark.createDataFrame(pdf).repartition(4)
+    every = kmeans.fit_kmeans(df, ["x", "z"], [1, 2, 5], seed=3, key="id", max_iter=8, settled=0.0)
+    for k in (1, 2, 5):
+        alone = kmeans.fit_kmeans(df.repartition(2), ["x", "z"], [k], seed=3, key="id", max_iter=8, settled=0.0)[k]
+        assert np.allclose(alone.centres, every[k].centres) and alone.cost == pytest.approx(every[k].cost)
+    both = kmeans.kmeans_many(df, ["x", "z"], [2, 5], seed=3, key="id", max_iter=8, settled=0.0).toPandas()
+    assert list(both.columns) == ["x", "z", "id", "cluster_2", "cluster_5"] and len(both) == 399
+    z = (both[["x", "z"]] - both[["x", "z"]].mean()) / both[["x", "z"]].std(ddof=0)
+    gaps = ((z.to_numpy()[:, None] - every[5].centres[None]) ** 2).sum(axis=2)
+    assert (gaps.argmin(axis=1) == both["cluster_5"]).all() and gaps.min(axis=1).sum() == pytest.approx(every[5].cost)
+
+
+def test_clusterings_of_few_rows(spark):
+    df = spark.createDataFrame([(1.0,), (1.0,), (2.0,)], "x double")
+    assert kmeans.fit_kmeans(df, ["x"], [4])[4].cost == pytest.approx(0)
+    assert kmeans.kmeans(df, ["x"], 2).select("cluster_pred").distinct().count() == 2
+    assert kmeans.elbow(df.limit(0), ["x"], [1, 3]).collect()[1]["wcss"] == 0
+    with pytest.raises(ValueError):
+        kmeans.fit_kmeans(df, ["x"], [0])
+
+
+def test_newton_reaches_the_optimum(spark):
+    pdf = binary(400, 3).assign(twice=lambda d: 2 * d["a"])  # features that depend on each other
+    features = ["a", "b", "c", "twice"]
+    model = logreg.fit_logreg(spark.createDataFrame(pdf).repartition(3), features, "y", c=2.0)
+    x, y, w = pdf[features].to_numpy(), pdf["y"].to_numpy(), np.array(model.coefs[0])
+    p = 1 / (1 + np.exp(-(model.intercepts[0] + x @ w)))
+    assert np.allclose(x.T @ (p - y) + w / 2.0, 0, atol=1e-6) and abs((p - y).sum()) < 1e-6
+    parted = spark.createDataFrame(pd.DataFrame({"a": [-2.0, -1, 1, 2] * 5, "y": [0, 0, 1, 1] * 5}))
+    assert 1 < logreg.fit_logreg(parted, ["a"], "y").coefs[0][0] < 5

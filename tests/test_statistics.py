@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallgrain.functions import distributions as D
 from tallgrain.functions.pvalues import decide
-from tallgrain.stats import corr, moments as M, ranktests as T
+from tallgrain.stats import corr, moments as M, ranktests as T, shared as S
 
 
 @pytest.mark.parametrize(
@@ -291,3 +291,88 @@ def test_shapiro_with_long_ties_needs_no_python_per_row(spark):
     df = spark.range(6000).select((F.col("id") % 3).alias("v"))
     found = T.shapiro(df, "v", p_value=False)
     assert 0 < found.first()["w"] < 1
+
+
+@pytest.fixture(scope="module")
+def scores(spark):
+    rng = np.random.default_rng(12)
+    n = 600
+    pdf = pd.DataFrame(
+        {
+            "g": rng.choice(["a", "b", "c"], n, p=[0.6, 0.3, 0.1]),
+            "dom": rng.choice(["x", "y"], n),
+            "v": np.round(rng.normal(0, 1, n), 1),
+            "w": np.round(rng.exponential(1, n), 1),
+        }
+    )
+    return pdf, spark.createDataFrame(pdf).repartition(5)
+
+
+def same(one, two, keys, columns):
+    a = {tuple(r[k] for k in keys): [r[c] for c in columns] for r in one.collect()}
+    b = {tuple(r[k] for k in keys): [r[c] for c in columns] for r in two.collect()}
+    assert a.keys() == b.keys() and a
+    for k in a:
+        assert a[k] == [pytest.approx(x, abs=1e-9) for x in b[k]], k
+
+
+def test_shared_ties_agree_with_single_tests(scores):
+    _, df = scores
+    ties = S.shared_ties(df, {"v": F.col("v"), "w": F.col("w")}, "g", ["dom"])
+    moments = df.groupBy("dom", "g").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.var_samp("v").alias("var"))
+    moments = moments.withColumn("measure", F.lit("v"))
+    pairs = S.median_tests(ties.pairs(["v"])).where("a = 'a' and b = 'c'")
+    whitney = T.mannwhitney(df, "v", "g", "a", "c", ["dom"])
+    same(pairs, whitney, ["dom"], ["n_a", "n_b", "u", "ties"])
+    same(pairs, T.ks_2samp(df, "v", "g", "a", "c", ["dom"]), ["dom"], ["d"])
+    table = T.median_table(df, "v", "g", "a", "c", ["dom"])
+    same(pairs, T.fisher_exact(table), ["dom"], ["median", "above_a", "above_b", "below_a", "below_b", "odds_ratio"])
+    levene = S.levene_pairs(ties, ["v"]).where("a = 'b' and b = 'c'")
+    same(levene, M.levene(df.where("g <> 'a'"), "v", "g", ["dom"]), ["dom"], ["n", "w", "p_value"])
+    student = S.ttest_pairs(ties, moments).where("a = 'a' and b = 'b'")
+    same(student, M.ttest_ind(df, "v", "g", "a", "b", ["dom"]), ["dom"], ["t", "cohen_d", "p_value"])
+    same(S.kruskal_all(ties, "w"), T.kruskal(df, "w", "g", ["dom"]), ["dom"], ["n", "n_groups", "h", "p_value"])
+    same(S.shapiro_all(ties, moments, "v"), T.shapiro(df, "v", ["dom", "g"]), ["dom", "g"], ["n", "w", "p_value"])
+    same(S.spearman_own(df, ties, "v", "w"), T.spearman(df, "v", "w", ["dom", "g"], p_value=False), ["dom", "g"], ["n", "r"])
+    assert ties.pairs(["v", "w"]).count() == 2 * 2 * 3
+
+
+def test_shared_ties_of_no_rows_and_many_groups(spark, monkeypatch):
+    empty = spark.createDataFrame([], "g string, v double")
+    ties = S.shared_ties(empty, {"v": F.col("v")}, "g")
+    assert ties.names == [] and ties.lines.count() == 0
+    monkeypatch.setattr(S, "MOST_GROUPS", 2)
+    with pytest.raises(ValueError, match="more than 2 groups"):
+        S.group_names(spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "g string"), "g")
+
+
+def test_signed_rank_counts_what_it_drops(spark):
+    df = frame(spark, x=[0.0, 0.0, -1.0, 2.0, 2.0, 3.0, np.nan, -0.5])
+    row = T.wilcoxon(df, "x", p_value=False).first()
+    assert (row["n_rows"], row["n_zero"], row["n_used"], row["n_dropped"]) == (7, 2, 5, 0)
+    assert row["w"] == 3.5 + 3.5 + 5
+    logs = T.wilcoxon(df, "x", transform="log", p_value=False).first()
+    assert (logs["n_dropped"], logs["n_zero"], logs["n_used"], logs["w"]) == (4, 0, 3, 6.0)
+
+
+def test_corr_matrix_with_missing_values(scores):
+    pdf, df = scores
+    holes = df.withColumn("h", F.when(F.col("v") < 1, F.col("v") * 2 + F.col("w")))
+    m = corr.corr_matrix(holes, "dom", ["v", "h"], ["w"], p_value=False)
+    found = {(r["dom"], r["variable"]): (r["n"], r["r"]) for r in m.collect()}
+    for d, part in pdf.groupby("dom"):
+        assert found[d, "v"] == (len(part), pytest.approx(part["v"].rank().corr(part["w"].rank())))
+        some = part[part["v"] < 1]
+        h = some["v"] * 2 + some["w"]
+        assert found[d, "h"] == (len(some), pytest.approx(h.rank().corr(some["w"].rank())))
+
+
+def test_corr_matrix_shuffles_alike_for_few_and_many_columns(spark):
+    df = spark.range(50).select((F.col("id") % 2).alias("g"), *[F.rand(i).alias(f"c{i}") for i in range(8)])
+
+    def exchanges(variables, measures):
+        plan = corr.corr_matrix(df, "g", variables, measures, p_value=False)._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning")
+
+    # one pair and sixteen; frequent values may add a branch, pairs add nothing
+    assert exchanges(["c0", "c1", "c2", "c3"], ["c4", "c5", "c6", "c7"]) <= max(14, exchanges(["c0"], ["c1"]))
