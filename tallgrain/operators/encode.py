@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.text import strip_accents
 from ..session import stored
 
+# a column's levels that are broadcast: all if it has no more, else those with at least this part of its rows
+SENT_LEVELS = 2000
+
 
 def level_name(c) -> Column:
     """Value as part of a column name: lower case, no accents, separators as underscores."""
@@ -126,16 +129,20 @@ class DictionaryCodes:
 
     The levels of all columns are a table, numbered by a distributed sort; no list of them reaches
     the driver.  Rows find their codes by a join, so a later batch gets the same codes, and a level
-    that was not learnt has none.
+    that was not learnt has none.  Columns of few levels, and the frequent levels of others, are
+    joined by broadcast, so that no task gets all rows of a level; at most ``SENT_LEVELS`` of a
+    column are.  Only rare levels meet their rows by a shuffle.
     """
 
     def __init__(self, cols: Sequence[str]):
         self.cols = list(cols)
         self.levels: DataFrame | None = None
+        self.rare: set[str] = set()
 
     def fit(self, df: DataFrame) -> DictionaryCodes:
-        """Learn (column, value, code, place): ``code`` counts a column's levels from 0 in their order,
+        """Learn (column, value, code, place, sent): ``code`` counts a column's levels from 0 in their order,
         ``place`` those of all columns.  Numbers are in numeric order, other values in that of their text.
+        ``sent`` levels are broadcast; ``rare`` names the columns that have others.
         """
         kinds = dict(df.dtypes)
 
@@ -150,28 +157,43 @@ class DictionaryCodes:
             )
             for i, c in enumerate(self.cols)
         ]
-        seen = df.select(F.inline(F.array(*cells))).where("v is not null").distinct()
+        seen = df.select(F.inline(F.array(*cells))).where("v is not null").groupBy("i", "n", "v").agg(F.count(F.lit(1)).alias("rows"))
         # sorted across partitions; a row's place is the rows of earlier partitions and its own number
         dealt = seen.repartitionByRange("i", "n", "v").sortWithinPartitions("i", "n", "v")
         inside = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-        placed = stored(dealt.select("i", "v", F.spark_partition_id().alias("p"), inside.alias("k")), "levels")
+        placed = stored(dealt.select("i", "v", "rows", F.spark_partition_id().alias("p"), inside.alias("k")), "levels")
         earlier = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
         sizes = placed.groupBy("p").count().select("p", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("off"))
-        numbered = placed.join(F.broadcast(sizes), "p").select("i", "v", (F.col("off") + F.col("k")).alias("place"))
-        first = numbered.groupBy("i").agg(F.min("place").alias("first"))
+        numbered = placed.join(F.broadcast(sizes), "p").select("i", "v", "rows", (F.col("off") + F.col("k")).alias("place"))
+        first = numbered.groupBy("i").agg(
+            F.min("place").alias("first"), F.count(F.lit(1)).alias("levels"), F.sum("rows").alias("all_rows")
+        )
+        sent = (F.col("levels") <= SENT_LEVELS) | (F.col("rows") * SENT_LEVELS >= F.col("all_rows"))
         names = F.get(F.array(*[F.lit(c) for c in self.cols]), F.col("i"))
         coded = numbered.join(F.broadcast(first), "i").select(
-            names.alias("column"), F.col("v").alias("value"), (F.col("place") - F.col("first")).alias("code"), "place"
+            names.alias("column"), F.col("v").alias("value"), (F.col("place") - F.col("first")).alias("code"), "place", sent.alias("sent")
         )
         self.levels = stored(coded, "level-codes")
+        # one row per column at most
+        self.rare = {r["column"] for r in self.levels.where("not sent").select("column").distinct().collect()}
         return self
 
     def _met(self, df: DataFrame, number: str) -> DataFrame:
         if self.levels is None:
             raise ValueError("fit has not been called")
         for i, c in enumerate(self.cols):
-            own = self.levels.where(F.col("column") == c).select(F.col("value").alias(f"_v{i}"), F.col(number).alias(f"_k{i}"))
-            df = df.join(own, F.col(c).cast("string") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
+            value, key = F.col(c).cast("string"), f"_k{i}"
+            own = self.levels.where(F.col("column") == c)
+            sent = own.where("sent").select(F.col("value").alias("_v"), F.col(number).alias(key))
+            df = df.join(F.broadcast(sent), value == F.col("_v"), "left").drop("_v")
+            if c not in self.rare:
+                continue
+            # rows that have their code, or no value, get keys of their own and are dealt evenly
+            left = F.col(key).isNull() & value.isNotNull()
+            met = F.when(left, F.concat(F.lit("="), value)).otherwise(F.monotonically_increasing_id().cast("string"))
+            other = own.where("not sent").select(F.concat(F.lit("="), "value").alias("_v"), F.col(number).alias("_r"))
+            df = df.withColumn("_met", met).join(other, F.col("_met") == F.col("_v"), "left")
+            df = df.withColumn(key, F.coalesce(key, "_r")).drop("_met", "_v", "_r")
         return df
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -239,3 +239,35 @@ def test_dictionary_codes_of_many_levels(spark, monkeypatch):
     assert coder.transform(later).first()[3:] == (0, None)
     empty = encode.DictionaryCodes(["text"]).fit(df.limit(0))
     assert empty.transform(later).first()["text_code"] is None
+
+
+def test_dictionary_codes_spread_frequent_levels_and_nulls(spark, monkeypatch, partitions):
+    monkeypatch.setattr(encode, "SENT_LEVELS", 50, raising=False)
+    n = 40_000
+    many = F.when(F.col("id") % 4 == 0, F.lit(7)).when(F.col("id") % 4 > 1, F.col("id"))
+    df = spark.range(0, n, 1, 8).select("id", F.concat(F.lit("f"), F.col("id") % 3).alias("few"), many.alias("many"))
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    partitions(16)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        coder = encode.DictionaryCodes(["many", "few"]).fit(df)
+        out = coder.transform(df).withColumn("part", F.spark_partition_id())
+        most = out.groupBy("part").count().agg(F.max("count")).first()[0]
+        assert most < n / 5
+        assert coder.rare == {"many"} and coder.levels.where("sent").count() == 4
+        rows = out.toPandas()
+        later = spark.createDataFrame([(1, "f1", 9), (2, None, 7), (3, "f2", 2), (4, "f0", None)], "id long, few string, many long")
+        assert sorted(map(tuple, coder.sparse(later).select("id", "places").collect())) == [
+            (1, [20001]), (2, [3]), (3, [0, 20002]), (4, [20000])
+        ]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(rows) == n
+    have = rows["many"].dropna()
+    codes = {v: i for i, v in enumerate(sorted(have.unique()))}
+    assert (rows.loc[have.index, "many_code"] == have.map(codes)).all()
+    assert rows["many_code"].isna().sum() == n // 4
+    assert (rows["few_code"] == rows["few"].str[1:].astype(int)).all()
