@@ -14,6 +14,8 @@ from ..session import stored
 
 # a column's levels that are broadcast: all if it has no more, else those with at least this part of its rows
 SENT_LEVELS = 2000
+# rows of a task that looks up rare levels, so that it reads the same whatever the size of the table
+TASK_ROWS = 100_000
 
 
 def level_name(c) -> Column:
@@ -137,12 +139,12 @@ class DictionaryCodes:
     def __init__(self, cols: Sequence[str]):
         self.cols = list(cols)
         self.levels: DataFrame | None = None
-        self.rare: set[str] = set()
+        self.rare: dict[str, int] = {}
 
     def fit(self, df: DataFrame) -> DictionaryCodes:
         """Learn (column, value, code, place, sent): ``code`` counts a column's levels from 0 in their order,
         ``place`` those of all columns.  Numbers are in numeric order, other values in that of their text.
-        ``sent`` levels are broadcast; ``rare`` names the columns that have others.
+        ``sent`` levels are broadcast; ``rare`` holds the columns that have others, with their filled rows.
         """
         kinds = dict(df.dtypes)
 
@@ -171,11 +173,12 @@ class DictionaryCodes:
         sent = (F.col("levels") <= SENT_LEVELS) | (F.col("rows") * SENT_LEVELS >= F.col("all_rows"))
         names = F.get(F.array(*[F.lit(c) for c in self.cols]), F.col("i"))
         coded = numbered.join(F.broadcast(first), "i").select(
-            names.alias("column"), F.col("v").alias("value"), (F.col("place") - F.col("first")).alias("code"), "place", sent.alias("sent")
+            names.alias("column"), F.col("v").alias("value"), (F.col("place") - F.col("first")).alias("code"), "place", sent.alias("sent"), "all_rows"
         )
-        self.levels = stored(coded, "level-codes")
+        coded = stored(coded, "level-codes")
         # one row per column at most
-        self.rare = {r["column"] for r in self.levels.where("not sent").select("column").distinct().collect()}
+        self.rare = dict(map(tuple, coded.where("not sent").groupBy("column").agg(F.max("all_rows")).collect()))
+        self.levels = coded.drop("all_rows")
         return self
 
     def _met(self, df: DataFrame, number: str) -> DataFrame:
@@ -192,7 +195,8 @@ class DictionaryCodes:
             left = F.col(key).isNull() & value.isNotNull()
             met = F.when(left, F.concat(F.lit("="), value)).otherwise(F.monotonically_increasing_id().cast("string"))
             other = own.where("not sent").select(F.concat(F.lit("="), "value").alias("_v"), F.col(number).alias("_r"))
-            df = df.withColumn("_met", met).join(other, F.col("_met") == F.col("_v"), "left")
+            parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), self.rare[c] // TASK_ROWS + 1)
+            df = df.withColumn("_met", met).repartition(parts, "_met").join(other, F.col("_met") == F.col("_v"), "left")
             df = df.withColumn(key, F.coalesce(key, "_r")).drop("_met", "_v", "_r")
         return df
 
