@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tallgrain.functions import dates, text
 from tallgrain.operators import bins, columns, counts, dateparts, encode, names, recode
 from tallgrain.operators.impute import Impute, impute_by_role
@@ -271,3 +272,21 @@ def test_dictionary_codes_spread_frequent_levels_and_nulls(spark, monkeypatch, p
     assert (rows.loc[have.index, "many_code"] == have.map(codes)).all()
     assert rows["many_code"].isna().sum() == n // 4
     assert (rows["few_code"] == rows["few"].str[1:].astype(int)).all()
+
+
+def test_approximate_bins_keep_every_row_and_the_exact_cut(spark, tmp_path):
+    n = 2003
+    price = F.when(F.col("id") % 100 != 99, (F.col("id") * 37 % n).cast("double"))
+    orders = spark.range(n).select((F.col("id") % 1500).alias("o_orderkey"), price.alias("o_totalprice"))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    found = entry.queries()["cut_quantiles_approx"](spark, str(tmp_path)).toPandas()
+    given = orders.toPandas()
+    key = ["o_orderkey", "o_totalprice"]
+    pd.testing.assert_frame_equal(*[x[key].sort_values(key, ignore_index=True) for x in (found, given)])
+    some = found[found["o_totalprice"].notna()]
+    want = pd.qcut(some["o_totalprice"], 4, labels=False)
+    assert len(found) == n and (some["exact_q"] == want).all() and (some["price_q"] != want).sum() <= n // 1000
+    assert (some["n_exact"] == want.map(want.value_counts())).all()
+    none = found[found["o_totalprice"].isna()]
+    assert len(none) == 20 and none[["price_q", "exact_q"]].isna().all(axis=None) and (none["n_exact"] == 20).all()
+    assert found["within"].all()
