@@ -290,3 +290,18 @@ def test_approximate_bins_keep_every_row_and_the_exact_cut(spark, tmp_path):
     none = found[found["o_totalprice"].isna()]
     assert len(none) == 20 and none[["price_q", "exact_q"]].isna().all(axis=None) and (none["n_exact"] == 20).all()
     assert found["within"].all()
+
+
+def test_approximate_profile_keeps_the_exact_counts(spark, tmp_path):
+    k = F.col("id")
+    lines = spark.range(3000).select(
+        (k % 1000).alias("l_orderkey"), (k % 7).alias("l_suppkey"), F.when(k % 2 == 0, k % 50).alias("l_quantity"),
+        F.concat(F.lit("f"), k % 3).alias("l_returnflag"),
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = {r["column_name"]: r for r in entry.queries()["approx_profile"](spark, str(tmp_path)).collect()}
+    assert {c: r["n_distinct"] for c, r in found.items()} == {
+        "l_orderkey": 1000, "l_suppkey": 7, "l_quantity": 25, "l_returnflag": 3
+    }
+    assert all(r["within"] == (abs(r["approx_distinct"] - r["n_distinct"]) * 10 <= r["n_distinct"]) for r in found.values())
+    assert found["l_quantity"]["non_null"] == 1500 and found["l_quantity"]["largest"] == "48"
