@@ -14,7 +14,8 @@ from ..session import stored
 
 # a column's levels that are broadcast: all if it has no more, else those with at least this part of its rows
 SENT_LEVELS = 2000
-# rows of a task that looks up rare levels, so that it reads the same whatever the size of the table
+# rows of a task that looks up rare levels, so that it reads the same whatever the size of the table;
+# no more rare levels than that are left to Spark, which broadcasts a small table
 TASK_ROWS = 100_000
 
 
@@ -139,12 +140,12 @@ class DictionaryCodes:
     def __init__(self, cols: Sequence[str]):
         self.cols = list(cols)
         self.levels: DataFrame | None = None
-        self.rare: dict[str, int] = {}
+        self.rare: dict[str, tuple[int, int]] = {}
 
     def fit(self, df: DataFrame) -> DictionaryCodes:
         """Learn (column, value, code, place, sent): ``code`` counts a column's levels from 0 in their order,
         ``place`` those of all columns.  Numbers are in numeric order, other values in that of their text.
-        ``sent`` levels are broadcast; ``rare`` holds the columns that have others, with their filled rows.
+        ``sent`` levels are broadcast; ``rare`` holds the columns that have others, with their filled rows and the number of others.
         """
         kinds = dict(df.dtypes)
 
@@ -177,7 +178,8 @@ class DictionaryCodes:
         )
         coded = stored(coded, "level-codes")
         # one row per column at most
-        self.rare = dict(map(tuple, coded.where("not sent").groupBy("column").agg(F.max("all_rows")).collect()))
+        others = coded.where("not sent").groupBy("column").agg(F.max("all_rows"), F.count(F.lit(1))).collect()
+        self.rare = {c: (rows, levels) for c, rows, levels in others}
         self.levels = coded.drop("all_rows")
         return self
 
@@ -195,8 +197,11 @@ class DictionaryCodes:
             left = F.col(key).isNull() & value.isNotNull()
             met = F.when(left, F.concat(F.lit("="), value)).otherwise(F.monotonically_increasing_id().cast("string"))
             other = own.where("not sent").select(F.concat(F.lit("="), "value").alias("_v"), F.col(number).alias("_r"))
-            parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), self.rare[c] // TASK_ROWS + 1)
-            df = df.withColumn("_met", met).repartition(parts, "_met").join(other, F.col("_met") == F.col("_v"), "left")
+            df, (rows, levels) = df.withColumn("_met", met), self.rare[c]
+            if levels > TASK_ROWS:
+                parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // TASK_ROWS + 1)
+                df = df.repartition(parts, "_met")
+            df = df.join(other, F.col("_met") == F.col("_v"), "left")
             df = df.withColumn(key, F.coalesce(key, "_r")).drop("_met", "_v", "_r")
         return df
 
