@@ -2,6 +2,7 @@
 
 import datetime
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -306,3 +307,23 @@ def test_approximate_profile_keeps_the_exact_counts(spark, tmp_path):
     }
     assert all(r["within"] == (abs(r["approx_distinct"] - r["n_distinct"]) * 10 <= r["n_distinct"]) for r in found.values())
     assert found["l_quantity"]["non_null"] == 1500 and found["l_quantity"]["largest"] == "48"
+
+
+@pytest.mark.parametrize("n", [1503, 150_000])
+def test_approximate_bins_hold_the_whole_result_of_the_gap_sql(spark, tmp_path, n):
+    price = (F.col("id") * 7919 % n + 0.25).cast("double")
+    orders = spark.range(n).select((F.col("id") % (n // 2)).alias("o_orderkey"), price.alias("o_totalprice"))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    entry.queries()["cut_quantiles_approx"](spark, str(tmp_path)).write.parquet(f"{tmp_path}/found")
+    with duckdb.connect() as duck:
+        duck.execute(f"create view orders as select * from '{tmp_path}/orders.parquet/*.parquet'")
+        duck.execute(f"create view found as select * from '{tmp_path}/found/*.parquet'")
+
+        def rows(sql):
+            return sorted(duck.execute(sql).fetchall())
+
+        gap = rows(entry.oracle_sql()["cut_quantiles_approx_gap"])
+        assert len(gap) == 4 and rows("select distinct exact_q, n_exact, within from found") == gap
+        assert rows("select exact_q, count(*) from found group by 1") == [r[:2] for r in gap]
+        assert rows("select o_orderkey, exact_q from found") == rows(entry.oracle_sql()["cut_quantiles"])
+        assert rows("select count(*) from found where price_q is distinct from exact_q")[0][0] <= n // 1000
