@@ -327,3 +327,22 @@ def test_approximate_bins_hold_the_whole_result_of_the_gap_sql(spark, tmp_path,
         assert rows("select exact_q, count(*) from found group by 1") == [r[:2] for r in gap]
         assert rows("select o_orderkey, exact_q from found") == rows(entry.oracle_sql()["cut_quantiles"])
         assert rows("select count(*) from found where price_q is distinct from exact_q")[0][0] <= n // 1000
+
+
+@pytest.mark.parametrize("n", [600, 90_000])
+def test_approximate_profile_holds_the_whole_result_of_the_gap_sql(spark, tmp_path, n):
+    k = F.col("id")
+    lines = spark.range(n).select(
+        (k % (n // 3)).alias("l_orderkey"), F.when(k % 4 != 0, k % 90).alias("l_suppkey"),
+        F.when(k % 2 == 0, k % 50).alias("l_quantity"), F.concat(F.lit("f"), k % 3).alias("l_returnflag"),
+    )
+    lines.unionAll(lines.limit(n // 10)).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = entry.queries()["approx_profile"](spark, str(tmp_path))
+    near = {r["column_name"]: r["approx_distinct"] for r in found.collect()}
+    lines = spark.read.parquet(f"{tmp_path}/lineitem.parquet")
+    assert near == lines.agg(*[F.approx_count_distinct(c).alias(c) for c in lines.columns]).first().asDict()
+    with duckdb.connect() as duck:
+        duck.execute(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet/*.parquet'")
+        res = duck.execute(entry.oracle_sql()["approx_profile_gap"])
+        names = [d[0] for d in res.description]
+        assert sorted(map(tuple, found.select(*names).collect())) == sorted(res.fetchall())
